@@ -37,7 +37,13 @@ EXEMPTION_CODES = {
 
 
 def literal_map(values: Mapping[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    quoted = ", ".join(f"{_quote(k)}, {_quote(v)}" for k, v in values.items())
+    return F.expr(f"map({quoted})")
+
+
+def _quote(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def unit_counts(raw: DataFrame, cutoff: str = "2012-04-01", shift: int = 2,
@@ -166,16 +172,19 @@ def registrations(units: DataFrame, listed: DataFrame) -> DataFrame:
         F.max("units").alias("maxunits"),
         F.count_distinct("units").cast("int").alias("diffunits"),
     )
-    published = listed.select(F.col("year").alias("pub_year")).distinct()
-    test = listed.agg(
+    # A due date lies in the years 1 to 9999, so the set of published years that matter is bounded.
+    valid = F.col("year").between(1, 9999)
+    published = listed.agg(
         F.struct(
-            F.count(F.lit(1)).alias("n"), F.count_if(F.col("year").isNull()).alias("unknown")
-        ).alias("test")
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("year").isNull()).alias("unknown"),
+            F.collect_set(F.when(valid, F.col("year"))).alias("years"),
+        ).alias("published")
     ).scalar()
-    never = (test["n"] == 0) | (
-        F.col("pub_year").isNull() & F.col("ucyear").isNotNull() & (test["unknown"] == 0)
+    never = (published["n"] == 0) | (
+        (published["unknown"] == 0) & ~F.array_contains(published["years"], F.col("ucyear"))
     )
-    return grouped.join(published, F.col("ucyear") == F.col("pub_year"), "left").select(
+    return grouped.select(
         "regno", "duedate", "ucyear", "dhcryear", "ucbbl", "dhcrbbl", "maxunits", "diffunits",
         F.when(never, "?").when(F.col("dhcrbbl").isNotNull(), "Y").otherwise("N").alias("indhcr"),
     )

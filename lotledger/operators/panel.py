@@ -17,55 +17,71 @@ PARCEL_COLUMNS = [
     "cd", "ct2010", "cb2010", "council", "zipcode", "address", "ownername", "numbldgs",
     "numfloors", "unitsres", "unitstotal", "yearbuilt", "condono", "lon", "lat",
 ]
+FIELDS = ("uc", "est", "dhcr", "abat")
 POLICIES = ("as_run", "documented", "notes")
 
 
-def crosstab(df: DataFrame, row: str, category: str, value: Column, years: Sequence[int],
-             prefix: str = "", suffix: str = "") -> DataFrame:
+def crosstab(df: DataFrame, row: str, category: str, value: str,
+             years: Sequence[int]) -> DataFrame:
     """One row per ``row`` (NULL included), one column per listed year; other years are ignored.
 
     Conditional maxima give a single aggregation over an input with one row per (row, category).
     """
     return df.groupBy(row).agg(*[
-        F.max(F.when(F.col(category) == y, value)).alias(f"{prefix}{y}{suffix}") for y in years
+        F.expr(f"max(CASE WHEN {category} = {y} THEN {value} END) AS `{y}`") for y in years
     ])
 
 
 def registrations_crosstab(units: DataFrame, years: Sequence[int]) -> DataFrame:
-    return crosstab(units, "ucbbl", "ucyear", F.col("units").cast("int"), years)
+    return crosstab(units, "ucbbl", "ucyear", "cast(units AS int)", years)
 
 
 def listed_crosstab(flags: DataFrame, years: Sequence[int]) -> DataFrame:
-    return crosstab(flags, "dhcrbbl", "dhcryear", F.col("indhcr"), years)
+    return crosstab(flags, "dhcrbbl", "dhcryear", "indhcr", years)
 
 
 def abatements_crosstab(by_year: DataFrame, years: Sequence[int]) -> DataFrame:
-    return crosstab(by_year, "bbl", "year", F.col("abatements"), years)
+    return crosstab(by_year, "bbl", "year", "abatements", years)
 
 
-def panel(units: DataFrame, flags: DataFrame, abatements_by_year: DataFrame, lots: DataFrame,
+def _cells(year: str, uc: str, est: str, dhcr: str, abat: str, years: Sequence[int]) -> Column:
+    fields = (("year", year), ("uc", uc), ("est", est), ("dhcr", dhcr), ("abat", abat))
+    structs = (
+        "named_struct(" + ", ".join(f"'{n}', {text.format(y)}" for n, text in fields) + ")"
+        for y in years
+    )
+    return F.expr(f"array({', '.join(structs)})")
+
+
+def panel(regs: DataFrame, abatements: DataFrame, lots: DataFrame,
           years: Sequence[int]) -> DataFrame:
     """Unfilled panel of every lot with a registration, with its parcel attributes.
 
-    The three cross-tabs are already partitioned by lot when they meet.
+    Bill lines and list entries of a lot meet in one conditional aggregation over the
+    registrations (both lot columns name the same lot when both are set), so they are read once
+    and need no join. Codes are collected per year; there are only as many as the code map has.
     """
-    uc = crosstab(units, "ucbbl", "ucyear", F.col("units").cast("int"), years, "uc")
-    dhcr = crosstab(
-        flags.filter(F.col("dhcrbbl").isNotNull()), "dhcrbbl", "dhcryear", F.col("indhcr"), years,
-        "dhcr",
-    )
-    abat = crosstab(abatements_by_year, "bbl", "year", F.col("abatements"), years, "abat")
-    parcel = lots.select(F.col("bbl").alias("lot_bbl"), "borough", *PARCEL_COLUMNS)
-    cells = F.array(*[
-        F.struct(
-            F.lit(y).alias("year"), F.col(f"uc{y}").alias("uc"), F.lit("N").alias("est"),
-            F.col(f"dhcr{y}").alias("dhcr"), F.col(f"abat{y}").alias("abat"),
+    by_lot = (
+        regs.filter("ucbbl IS NOT NULL OR dhcrbbl IS NOT NULL")
+        .groupBy(F.coalesce("ucbbl", "dhcrbbl").alias("ucbbl"))
+        .agg(
+            F.expr("bool_or(ucbbl IS NOT NULL AND regno IS NOT NULL) AS registered"),
+            *[F.expr(f"cast(sum(CASE WHEN ucyear = {y} AND ucbbl IS NOT NULL "
+                     f"AND regno IS NOT NULL THEN maxunits END) AS int) AS uc{y}") for y in years],
+            *[F.expr(f"max(CASE WHEN dhcryear = {y} AND dhcrbbl IS NOT NULL THEN indhcr END) "
+                     f"AS dhcr{y}") for y in years],
         )
+        .filter("registered")
+    )
+    codes = abatements.groupBy("bbl").agg(*[
+        F.expr(f"nullif(array_join(sort_array(collect_set(CASE WHEN year(activitythrough) = {y} "
+               f"THEN abatement END)), ','), '') AS abat{y}")
         for y in years
     ])
+    parcel = lots.select(F.col("bbl").alias("lot_bbl"), "borough", *PARCEL_COLUMNS)
+    cells = _cells("{0}", "uc{0}", "'N'", "dhcr{0}", "abat{0}", years)
     return (
-        uc.join(abat, F.col("ucbbl") == F.col("bbl"), "left")
-        .join(dhcr, F.col("ucbbl") == F.col("dhcrbbl"), "left")
+        by_lot.join(codes, F.col("ucbbl") == F.col("bbl"), "left")
         .join(parcel, F.col("ucbbl") == F.col("lot_bbl"), "left")
         .select("borough", "ucbbl", cells.alias("cells"), *PARCEL_COLUMNS)
     )
@@ -147,16 +163,15 @@ def fill(panel: DataFrame, years: Sequence[int], policy: str = "as_run") -> Data
 
 
 def cell_of(years: Sequence[int], year: int, field: str) -> Column:
-    return F.col("cells")[years.index(year)][field]
+    return F.expr(f"cells[{years.index(year)}].{field}")
 
 
-def to_wide(panel: DataFrame, years: Sequence[int]) -> DataFrame:
+def to_wide(panel: DataFrame, years: Sequence[int], *more: str) -> DataFrame:
     """``<year>uc, <year>est, <year>dhcr, <year>abat`` columns for each year."""
-    names = [("uc", "uc"), ("est", "est"), ("dhcr", "dhcr"), ("abat", "abat")]
     return panel.select(
         "borough", "ucbbl",
-        *[cell_of(years, y, f).alias(f"{y}{n}") for y in years for f, n in names],
-        *PARCEL_COLUMNS,
+        *[F.expr(f"cells[{i}].{f} AS `{y}{f}`") for i, y in enumerate(years) for f in FIELDS],
+        *PARCEL_COLUMNS, *more,
     )
 
 
@@ -175,13 +190,7 @@ def to_long(panel: DataFrame) -> DataFrame:
 
 def from_wide(wide: DataFrame, years: Sequence[int]) -> DataFrame:
     """Wide table back to the array panel."""
-    cells = F.array(*[
-        F.struct(
-            F.lit(y).alias("year"), F.col(f"{y}uc").alias("uc"), F.col(f"{y}est").alias("est"),
-            F.col(f"{y}dhcr").alias("dhcr"), F.col(f"{y}abat").alias("abat"),
-        )
-        for y in years
-    ])
+    cells = _cells("{0}", "`{0}uc`", "`{0}est`", "`{0}dhcr`", "`{0}abat`", years)
     return wide.select("borough", "ucbbl", cells.alias("cells"), *PARCEL_COLUMNS)
 
 

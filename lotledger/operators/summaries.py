@@ -15,13 +15,8 @@ SPAN_CODES = ("j51", "421a", "scrie", "drie", "420c")
 
 def abatement_span(code: str) -> Column:
     """``first - last`` year in which a lot's cells mention a code, NULL when none does."""
-    hits = F.transform(
-        F.filter("cells", lambda c: F.coalesce(c["abat"].ilike(f"%{code}%"), F.lit(False))),
-        lambda c: c["year"],
-    )
-    return F.concat(
-        F.array_min(hits).cast("string"), F.lit(" - "), F.array_max(hits).cast("string")
-    )
+    hits = f"transform(filter(cells, c -> c.abat ILIKE '%{code}%'), c -> c.year)"
+    return F.expr(f"concat(array_min({hits}), ' - ', array_max({hits}))")
 
 
 def spans(panel: DataFrame, codes: Sequence[str] = SPAN_CODES) -> DataFrame:
@@ -63,7 +58,7 @@ def changes_summary(panel: DataFrame, years: Sequence[int], first: int | None =
 
 
 def _sums(years: Sequence[int], shown: Sequence[int]) -> list[Column]:
-    return [F.sum(cell_of(years, y, "uc")).alias(str(y)) for y in shown]
+    return [F.expr(f"sum(cells[{years.index(y)}].uc) AS `{y}`") for y in shown]
 
 
 def totals(panel: DataFrame, by: str, years: Sequence[int],

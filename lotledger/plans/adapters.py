@@ -8,7 +8,8 @@ bill line it becomes, the status and priority of an order which further lines it
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,67 +56,12 @@ CHARGE_KEYS = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def by_pair(first: Column, second: Column, values: dict[tuple[str, str], str]) -> Column:
-    out = F.lit(None).cast("string")
-    for (a, b), value in values.items():
-        out = F.when((first == a) & (second == b), F.lit(value)).otherwise(out)
-    return out
-
-
-def owners_of_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer with its lot id."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    joined = table(spark, sf_dir, "customer").join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    borough = F.col("n_regionkey") + 1
-    return joined.withColumn("bbl", borough.cast("bigint") * 1_000_000_000 + F.col("c_custkey"))
-
-
-def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parcel attributes, one row per lot."""
-    k = F.col("c_custkey")
-    borough = F.col("n_regionkey") + 1
-    units = F.floor(F.abs("c_acctbal")).cast("int") % 100
-    return owners_of_lots(spark, sf_dir).select(
-        "bbl",
-        borough.alias("borough_no"),
-        borough_code(borough).alias("borough"),
-        F.call_function("div", k, F.lit(10_000)).cast("int").alias("block"),
-        (k % 10_000).cast("int").alias("lot"),
-        (borough * 100 + F.col("n_nationkey")).alias("cd"),
-        (k % 97).cast("string").alias("ct2010"),
-        (k % 911).cast("string").alias("cb2010"),
-        (F.col("n_nationkey") + 1).alias("council"),
-        (F.col("n_nationkey") + 10_000).alias("zipcode"),
-        F.concat(k.cast("string"), F.lit(" MAIN ST")).alias("address"),
-        F.substring("c_mktsegment", 1, 1).alias("ownertype"),
-        F.col("c_name").alias("ownername"),
-        (k % 3 + 1).cast("int").alias("numbldgs"),
-        ((k % 40).cast("float") / 2).cast("float").alias("numfloors"),
-        F.when(k % 13 != 0, units).alias("unitsres"),
-        F.when(k % 11 != 0, units + (k % 5).cast("int")).alias("unitstotal"),
-        (k % 120 + 1900).cast("int").alias("yearbuilt"),
-        F.when(k % 7 == 0, (k % 100).cast("int")).alias("condono"),
-        ((k % 64).cast("float") / 64 - 74).cast("float").alias("lon"),
-        ((k % 32).cast("float") / 64 + 40).cast("float").alias("lat"),
-        F.when(k % 4 == 0, F.concat(F.lit("D"), (k % 6).cast("string"))).alias("histdist"),
-        F.when(k % 9 == 0, F.lit("LANDMARK")).alias("landmark"),
-    )
-
-
-def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders with the lot they bill and the bill day (first day of the quarter)."""
-    customer = owners_of_lots(spark, sf_dir).select("c_custkey", "bbl", "c_name", "n_name")
-    return (
-        table(spark, sf_dir, "orders")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .withColumn("activitythrough", F.trunc("o_orderdate", "quarter"))
+def by_pair(first: str, second: str, values: dict[tuple[str, str], str]) -> Column:
+    """The value of a pair of columns (one SQL text: quicker to build than a chain of calls)."""
+    whens = " ".join(
+        f"WHEN {first} = '{a}' AND {second} = '{b}' THEN '{v}'" for (a, b), v in values.items()
     )
+    return F.expr(f"CASE {whens} END")
 
 
 def _line(df: DataFrame, section, key, value, line, *, day=None, due=None, activity=None,
@@ -136,92 +82,168 @@ def _line(df: DataFrame, section, key, value, line, *, day=None, due=None, activ
     )
 
 
-def rawdata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key/value rows of all bills.
-
-    One branch per kind of order line: a filter on a key then folds to a constant in the other
-    branches, which Catalyst drops together with their scans.
-    """
-    bill = bills(spark, sf_dir)
-    status, at = F.col("o_orderstatus"), F.col("o_orderkey") * 100
-    notice_day = F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(15))
-    notices = bill.filter(status == "O")
-    from_orders = [
-        _line(bill, None, "Owner name",
-              F.when(status == "F", F.concat("c_name", F.lit(" LLC"))).otherwise(F.col("c_name")),
-              at),
-        _line(bill.filter(status != "P"), None, "Mailing address",
-              F.concat("c_name", F.lit("\\n"), "n_name"), at + 1),
-        _line(bill, "details", "annual property tax", F.col("o_totalprice"), at + 2),
-        _line(bill, "details-exemptions",
-              by_pair(F.col("o_orderpriority"), status, EXEMPTION_KEYS), F.lit("-100.0"), at + 3),
-        _line(notices, "nopv", "Gross income", F.col("o_totalprice"), at + 4, day=notice_day),
-        _line(notices, "nopv", "Expenses", F.floor(F.col("o_totalprice") / 4).cast("double"),
-              at + 5, day=notice_day),
-    ]
-    return reduce(DataFrame.unionByName, [charges(spark, sf_dir), *from_orders])
-
-
-def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Charge and payment lines: one row per line item."""
-    items = table(spark, sf_dir, "lineitem").join(
-        bills(spark, sf_dir).select("o_orderkey", "bbl", "activitythrough"),
-        F.col("l_orderkey") == F.col("o_orderkey"),
-    )
-    flag, state = F.col("l_returnflag"), F.col("l_linestatus")
-    fee = (flag == "R") & (state == "O")
-    name = by_pair(flag, state, {k: v[0] for k, v in CHARGE_KEYS.items()})
-    registration = F.concat(
-        F.when(F.col("l_discount") >= 0.08, F.lit("R")).otherwise(F.lit("")),
-        F.col("l_suppkey").cast("string"),
-    )
-    return _line(
-        items,
-        by_pair(flag, state, {k: v[1] for k, v in CHARGE_KEYS.items()}),
-        F.when(fee & (F.col("l_tax") >= 0.08), F.upper(name)).otherwise(name),
-        F.col("l_extendedprice"),
-        F.col("l_orderkey") * 100 + 10 + F.col("l_linenumber"),
-        due=F.when(fee & (F.col("l_discount") > 0), F.col("l_shipdate")),
-        activity=F.when(~fee, F.col("l_shipdate")),
-        meta=F.when(fee & (F.col("l_tax") > 0), registration)
-        .when(flag == "A", F.concat(F.lit("BANK "), F.col("l_suppkey").cast("string"))),
-        apts=F.when(fee, F.col("l_quantity").cast("int")),
-    )
+def once(build: Callable) -> Callable:
+    """Build a view at most once per ``Views`` object, so that its uses share one plan."""
+
+    @wraps(build)
+    def cached(self):
+        if build.__name__ not in self.built:
+            self.built[build.__name__] = build(self)
+        return self.built[build.__name__]
+
+    return cached
 
 
-def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published list: lots by year."""
-    bill = bills(spark, sf_dir)
-    return (
-        bill.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= LIST_FROM))
-        .select(
+class Views:
+    """The adapter views of one table folder (lazy; nothing is read until an action)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.built = spark, sf_dir, {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self.built:
+            self.built[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.built[name]
+
+    @once
+    def owners_of_lots(self) -> DataFrame:
+        """customer with its lot id."""
+        nation = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
+        joined = self.table("customer").join(
+            nation, F.col("c_nationkey") == F.col("n_nationkey")
+        )
+        borough = F.col("n_regionkey") + 1
+        return joined.withColumn("bbl", borough.cast("bigint") * 1_000_000_000 + F.col("c_custkey"))
+
+    @once
+    def lots(self) -> DataFrame:
+        """Parcel attributes, one row per lot."""
+        k = F.col("c_custkey")
+        borough = F.col("n_regionkey") + 1
+        units = F.floor(F.abs("c_acctbal")).cast("int") % 100
+        return self.owners_of_lots().select(
             "bbl",
-            F.year("o_orderdate").alias("year"),
-            F.call_function("div", F.col("bbl"), F.lit(1_000_000_000)).cast("int")
-            .alias("boro_code"),
-            (F.call_function("div", F.col("bbl"), F.lit(10_000)) % 100_000).cast("int")
-            .alias("block"),
-            (F.col("bbl") % 10_000).cast("int").alias("lot"),
+            borough.alias("borough_no"),
+            borough_code(borough).alias("borough"),
+            F.call_function("div", k, F.lit(10_000)).cast("int").alias("block"),
+            (k % 10_000).cast("int").alias("lot"),
+            (borough * 100 + F.col("n_nationkey")).alias("cd"),
+            (k % 97).cast("string").alias("ct2010"),
+            (k % 911).cast("string").alias("cb2010"),
+            (F.col("n_nationkey") + 1).alias("council"),
+            (F.col("n_nationkey") + 10_000).alias("zipcode"),
+            F.concat(k.cast("string"), F.lit(" MAIN ST")).alias("address"),
+            F.substring("c_mktsegment", 1, 1).alias("ownertype"),
+            F.col("c_name").alias("ownername"),
+            (k % 3 + 1).cast("int").alias("numbldgs"),
+            ((k % 40).cast("float") / 2).cast("float").alias("numfloors"),
+            F.when(k % 13 != 0, units).alias("unitsres"),
+            F.when(k % 11 != 0, units + (k % 5).cast("int")).alias("unitstotal"),
+            (k % 120 + 1900).cast("int").alias("yearbuilt"),
+            F.when(k % 7 == 0, (k % 100).cast("int")).alias("condono"),
+            ((k % 64).cast("float") / 64 - 74).cast("float").alias("lon"),
+            ((k % 32).cast("float") / 64 + 40).cast("float").alias("lat"),
+            F.when(k % 4 == 0, F.concat(F.lit("D"), (k % 6).cast("string"))).alias("histdist"),
+            F.when(k % 9 == 0, F.lit("LANDMARK")).alias("landmark"),
         )
-        .distinct()
-    )
 
+    @once
+    def bills(self) -> DataFrame:
+        """orders with the lot they bill and the bill day (first day of the quarter)."""
+        customer = self.owners_of_lots().select("c_custkey", "bbl", "c_name", "n_name")
+        return (
+            self.table("orders")
+            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+            .withColumn("activitythrough", F.trunc("o_orderdate", "quarter"))
+        )
 
-def official(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Official yearly totals by borough."""
-    bill = bills(spark, sf_dir)
-    status = F.col("o_orderstatus")
-    counts = bill.groupBy(
-        F.call_function("div", F.col("bbl"), F.lit(1_000_000_000)).cast("smallint")
-        .alias("borough"),
-        F.year("o_orderdate").alias("year"),
-    ).agg(
-        F.count_if(status == "O").cast("int").alias("add_421a"),
-        (-F.count_if(status == "P")).cast("int").alias("total_sub"),
-    )
-    add = F.col("add_421a") * 1.5
-    return counts.select(
-        F.lit("rgb").alias("source"), "borough", "year", "add_421a", "total_sub",
-        add.cast("float").alias("total_add"),
-        (add + F.col("total_sub")).cast("float").alias("net"),
-    ).filter((F.col("year") < 1998) | (F.col("borough") != 5))
+    @once
+    def rawdata(self) -> DataFrame:
+        """Key/value rows of all bills.
+
+        One branch per kind of order line: a filter on a key then folds to a constant in the other
+        branches, which Catalyst drops together with their scans.
+        """
+        bill = self.bills()
+        status, at = F.col("o_orderstatus"), F.col("o_orderkey") * 100
+        notice_day = F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(15))
+        notices = bill.filter(status == "O")
+        from_orders = [
+            _line(bill, None, "Owner name",
+                  F.when(status == "F", F.concat("c_name", F.lit(" LLC"))).otherwise(F.col("c_name")),
+                  at),
+            _line(bill.filter(status != "P"), None, "Mailing address",
+                  F.concat("c_name", F.lit("\\n"), "n_name"), at + 1),
+            _line(bill, "details", "annual property tax", F.col("o_totalprice"), at + 2),
+            _line(bill, "details-exemptions",
+                  by_pair("o_orderpriority", "o_orderstatus", EXEMPTION_KEYS), F.lit("-100.0"), at + 3),
+            _line(notices, "nopv", "Gross income", F.col("o_totalprice"), at + 4, day=notice_day),
+            _line(notices, "nopv", "Expenses", F.floor(F.col("o_totalprice") / 4).cast("double"),
+                  at + 5, day=notice_day),
+        ]
+        return reduce(DataFrame.unionByName, [self.charges(), *from_orders])
+
+    @once
+    def charges(self) -> DataFrame:
+        """Charge and payment lines: one row per line item."""
+        items = self.table("lineitem").join(
+            self.bills().select("o_orderkey", "bbl", "activitythrough"),
+            F.col("l_orderkey") == F.col("o_orderkey"),
+        )
+        flag, state = F.col("l_returnflag"), F.col("l_linestatus")
+        fee = (flag == "R") & (state == "O")
+        name = by_pair("l_returnflag", "l_linestatus", {k: v[0] for k, v in CHARGE_KEYS.items()})
+        registration = F.concat(
+            F.when(F.col("l_discount") >= 0.08, F.lit("R")).otherwise(F.lit("")),
+            F.col("l_suppkey").cast("string"),
+        )
+        return _line(
+            items,
+            by_pair("l_returnflag", "l_linestatus", {k: v[1] for k, v in CHARGE_KEYS.items()}),
+            F.when(fee & (F.col("l_tax") >= 0.08), F.upper(name)).otherwise(name),
+            F.col("l_extendedprice"),
+            F.col("l_orderkey") * 100 + 10 + F.col("l_linenumber"),
+            due=F.when(fee & (F.col("l_discount") > 0), F.col("l_shipdate")),
+            activity=F.when(~fee, F.col("l_shipdate")),
+            meta=F.when(fee & (F.col("l_tax") > 0), registration)
+            .when(flag == "A", F.concat(F.lit("BANK "), F.col("l_suppkey").cast("string"))),
+            apts=F.when(fee, F.col("l_quantity").cast("int")),
+        )
+
+    @once
+    def listed(self) -> DataFrame:
+        """Published list: lots by year."""
+        bill = self.bills()
+        return (
+            bill.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= LIST_FROM))
+            .select(
+                "bbl",
+                F.year("o_orderdate").alias("year"),
+                F.call_function("div", F.col("bbl"), F.lit(1_000_000_000)).cast("int")
+                .alias("boro_code"),
+                (F.call_function("div", F.col("bbl"), F.lit(10_000)) % 100_000).cast("int")
+                .alias("block"),
+                (F.col("bbl") % 10_000).cast("int").alias("lot"),
+            )
+            .distinct()
+        )
+
+    @once
+    def official(self) -> DataFrame:
+        """Official yearly totals by borough."""
+        bill = self.bills()
+        status = F.col("o_orderstatus")
+        counts = bill.groupBy(
+            F.call_function("div", F.col("bbl"), F.lit(1_000_000_000)).cast("smallint")
+            .alias("borough"),
+            F.year("o_orderdate").alias("year"),
+        ).agg(
+            F.count_if(status == "O").cast("int").alias("add_421a"),
+            (-F.count_if(status == "P")).cast("int").alias("total_sub"),
+        )
+        add = F.col("add_421a") * 1.5
+        return counts.select(
+            F.lit("rgb").alias("source"), "borough", "year", "add_421a", "total_sub",
+            add.cast("float").alias("total_add"),
+            (add + F.col("total_sub")).cast("float").alias("net"),
+        ).filter((F.col("year") < 1998) | (F.col("borough") != 5))

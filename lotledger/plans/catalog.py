@@ -15,66 +15,60 @@ YEARS = ad.YEARS
 FIRST, LAST = YEARS[0], YEARS[-1]
 COUNTED = list(range(1995, 2000))
 CODED = [1998, 1999]
-LOT = 1_000_000_010
+LOT = 1_000_000_018
 
 
-class Tables:
-    """The derived tables of one folder, each built (lazily) on demand."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def lots(self) -> DataFrame:
-        return ad.lots(self.spark, self.sf_dir)
-
-    def raw(self) -> DataFrame:
-        return ad.rawdata(self.spark, self.sf_dir)
-
-    def listed(self) -> DataFrame:
-        return ad.listed(self.spark, self.sf_dir)
-
-    def official(self) -> DataFrame:
-        return ad.official(self.spark, self.sf_dir)
+class Tables(ad.Views):
+    """The adapter views and the tables derived from them."""
 
+    @ad.once
     def counts(self) -> DataFrame:
-        return facts.unit_counts(self.raw(), cutoff=ad.CUTOFF)
+        return facts.unit_counts(self.rawdata(), cutoff=ad.CUTOFF)
 
+    @ad.once
     def abatements(self) -> DataFrame:
-        return facts.abatements(self.raw())
+        return facts.abatements(self.rawdata())
 
+    @ad.once
     def abatements_by_year(self) -> DataFrame:
         return facts.abatements_by_year(self.abatements())
 
+    @ad.once
     def registrations(self) -> DataFrame:
         return facts.registrations(self.counts(), self.listed())
 
+    @ad.once
     def units_by_year(self) -> DataFrame:
         return facts.units_by_year(self.registrations())
 
+    @ad.once
     def listed_by_year(self) -> DataFrame:
         return facts.listed_by_year(self.registrations())
 
+    @ad.once
     def unfilled(self) -> DataFrame:
-        return panel.panel(
-            self.units_by_year(), self.listed_by_year(), self.abatements_by_year(), self.lots(),
-            YEARS,
-        )
+        return panel.panel(self.registrations(), self.abatements(), self.lots(), YEARS)
 
-    def panel(self, policy: str = "as_run") -> DataFrame:
-        return panel.fill(self.unfilled(), YEARS, policy)
+    @ad.once
+    def panel(self) -> DataFrame:
+        return panel.fill(self.unfilled(), YEARS)
 
+    @ad.once
     def estimates(self) -> DataFrame:
-        return facts.value_estimates(self.raw())
+        return facts.value_estimates(self.rawdata())
 
+    @ad.once
     def profile(self) -> DataFrame:
-        return lookup.lot_profile(self.raw(), ad.BILL_DAY)
+        return lookup.lot_profile(self.rawdata(), ad.BILL_DAY)
 
+    @ad.once
     def comparison(self) -> DataFrame:
         return compare.compare_official(self.panel(), self.official())
 
     def exempt(self, mode: str = "intended") -> DataFrame:
         return income.exempt_lots(
-            self.raw(), self.panel(), self.lots(), self.estimates(), YEARS, ad.BILL_DAY, 1996, mode
+            self.rawdata(), self.panel(), self.lots(), self.estimates(), YEARS, ad.BILL_DAY, 1996,
+            mode,
         )
 
 
@@ -84,25 +78,19 @@ def _complete(t: Tables) -> DataFrame:
 
 def _steep(t: Tables) -> DataFrame:
     found = summaries.steep_drops(t.panel(), YEARS, COUNTED)
-    wide = panel.to_wide(found, YEARS).columns
-    cells = [
-        panel.cell_of(YEARS, y, f).alias(f"{y}{f}")
-        for y in YEARS for f in ("uc", "est", "dhcr", "abat")
-    ]
-    kept = [c for c in wide if not c[:4].isdigit()]
-    return found.select(*kept, *cells, "droppercent")
+    return panel.to_wide(found, YEARS, "droppercent")
 
 
 _BUILD: dict[str, Callable[[Tables], DataFrame]] = {
     "lots": lambda t: t.lots(),
-    "rawdata": lambda t: t.raw(),
+    "rawdata": lambda t: t.rawdata(),
     "unit_counts": lambda t: t.counts(),
     "nonnumeric_ids": lambda t: facts.nonnumeric_ids(t.counts()),
     "abatements": lambda t: t.abatements(),
     "abatements_by_year": lambda t: t.abatements_by_year(),
-    "owners": lambda t: facts.owners(t.raw()),
-    "addresses": lambda t: facts.addresses(t.raw()),
-    "owner_addresses": lambda t: facts.owner_addresses(t.raw()),
+    "owners": lambda t: facts.owners(t.rawdata()),
+    "addresses": lambda t: facts.addresses(t.rawdata()),
+    "owner_addresses": lambda t: facts.owner_addresses(t.rawdata()),
     "registrations": lambda t: t.registrations(),
     "units_by_year": lambda t: t.units_by_year(),
     "listed_by_year": lambda t: t.listed_by_year(),
@@ -111,12 +99,14 @@ _BUILD: dict[str, Callable[[Tables], DataFrame]] = {
     "abatements_crosstab": lambda t: panel.abatements_crosstab(t.abatements_by_year(), YEARS),
     "joined_unfilled": lambda t: panel.to_wide(t.unfilled(), YEARS),
     "joined": lambda t: panel.to_wide(t.panel(), YEARS),
-    "joined_documented": lambda t: panel.to_wide(t.panel("documented"), YEARS),
-    "joined_notes": lambda t: panel.to_wide(t.panel("notes"), YEARS),
+    "joined_documented": lambda t: panel.to_wide(
+        panel.fill(t.unfilled(), YEARS, "documented"), YEARS
+    ),
+    "joined_notes": lambda t: panel.to_wide(panel.fill(t.unfilled(), YEARS, "notes"), YEARS),
     "joined_nocrosstab": lambda t: panel.to_long(t.panel()),
     "value_estimates": lambda t: t.estimates(),
-    "key_frequency": lambda t: facts.key_frequency(t.raw()),
-    "lot_rows": lambda t: facts.lot_rows(t.raw(), LOT),
+    "key_frequency": lambda t: facts.key_frequency(t.rawdata()),
+    "lot_rows": lambda t: facts.lot_rows(t.rawdata(), LOT),
     "unit_rows": lambda t: facts.unit_rows(t.counts(), "R7"),
     "vanished_counts": lambda t: panel.vanished_counts(t.panel()),
     "changes_summary": lambda t: summaries.changes_summary(t.panel(), YEARS),
@@ -157,16 +147,16 @@ _BUILD: dict[str, Callable[[Tables], DataFrame]] = {
     "exempt_lots": lambda t: t.exempt(),
     "exempt_lots_as_run": lambda t: t.exempt("as_run"),
     "exempt_totals": lambda t: income.exempt_totals(t.exempt()),
-    "exempt_stabilized_rows": lambda t: facts.keyed_rows(t.raw(), income.EXEMPT_STABILIZED_KEYS),
-    "unit_history": lambda t: lookup.unit_history(t.raw()),
-    "lot_summary": lambda t: lookup.lot_summary(t.raw()),
+    "exempt_stabilized_rows": lambda t: facts.keyed_rows(t.rawdata(), income.EXEMPT_STABILIZED_KEYS),
+    "unit_history": lambda t: lookup.unit_history(t.rawdata()),
+    "lot_summary": lambda t: lookup.lot_summary(t.rawdata()),
     "lot_profile": lambda t: t.profile(),
     "missing_stabilized": lambda t: lookup.missing_stabilized(t.profile()),
     "list_only_lots": lambda t: lookup.list_only_lots(t.counts(), t.listed(), t.lots()),
     "list_only_ids": lambda t: lookup.list_only_ids(t.counts(), t.listed()),
     "list_only_by_borough": lambda t: lookup.list_only_by_borough(t.counts(), t.listed()),
     "all_lots": lambda t: lookup.all_lots(t.lots(), t.listed()),
-    "lots_held": lambda t: lookup.lots_held(t.raw()),
+    "lots_held": lambda t: lookup.lots_held(t.rawdata()),
     "duplicate_registrations": lambda t: quality.duplicates(
         t.registrations(), ["ucbbl", "duedate"]
     ),

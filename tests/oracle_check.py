@@ -15,6 +15,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
+SPENT = [0.0]
 SPARK_TYPES = {
     "BIGINT": "bigint", "INTEGER": "int", "SMALLINT": "smallint", "VARCHAR": "string",
     "DOUBLE": "double", "FLOAT": "float", "DATE": "date", "BOOLEAN": "boolean",
@@ -61,7 +62,10 @@ def compare(spark, con, sf_dir, query, sql) -> str | None:
         diff = {k: (got_types.get(k), want_types.get(k)) for k in {*got_types, *want_types}
                 if got_types.get(k) != want_types.get(k)}
         return f"schema (spark, oracle): {diff}"
-    got = rows_of(df.columns, df.collect())
+    begin = time.time()
+    collected = df.collect()
+    SPENT[0] = time.time() - begin
+    got = rows_of(df.columns, collected)
     want = rows_of(rel.columns, rel.fetchall())
     if got != want:
         extra = [r for r in got if r not in set(want)][:2]
@@ -92,7 +96,7 @@ def main(argv):
         except Exception as err:  # report and go on
             res = f"{type(err).__name__}: {str(err)[:1500]}"
         bad += res is not None
-        print(f"{name:32s} {time.time() - start:6.1f}s {'ok' if res is None else res}", flush=True)
+        print(f"{name:32s} {time.time() - start:6.1f}s spark {SPENT[0]:5.1f}s {'ok' if res is None else res}", flush=True)
     print("not ok:", bad, "of", len(names))
 
 

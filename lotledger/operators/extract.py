@@ -103,8 +103,7 @@ def _of_kind(docs: DataFrame, kind: str) -> DataFrame:
 
 def bill_texts(docs: DataFrame) -> DataFrame:
     """Bills with an owner area; a bill without one cannot be read and yields nothing."""
-    area = F.regexp_extract("text", OWNER_AREA, 0)
-    return _of_kind(docs, "text").withColumn("owner_area", area).filter("owner_area <> ''")
+    return _of_kind(docs, "text").filter(F.col("text").rlike(OWNER_AREA))
 
 
 def activity_date(docs: DataFrame) -> DataFrame:
@@ -113,39 +112,37 @@ def activity_date(docs: DataFrame) -> DataFrame:
     return docs.select("path", bill_date(F.coalesce(*found)).alias("printed_through"))
 
 
-def owner_address(docs: DataFrame) -> DataFrame:
-    """Owner name and mailing address (three lines joined by a literal backslash-n)."""
+def bill_lines(docs: DataFrame) -> DataFrame:
+    """Owner (block -2) and mailing address (-1), the latter's three lines joined by a literal
+    backslash-n, then the lines of the tax detail (0) and of each charge block (1, 2, ...)."""
     parts = [cells(F.regexp_extract("owner_area", OWNER_AREA, i)) for i in (1, 2, 3)]
     mailing = F.concat_ws("\\n", *[F.coalesce(cell(p, 1), F.lit("")) for p in parts])
-    pair = F.array(
-        F.struct(F.lit("Owner name").alias("key"), cell(parts[0], 0).alias("value"),
-                 F.lit(-2).alias("line_no")),
-        F.struct(F.lit("Mailing address").alias("key"), strip(mailing).alias("value"),
-                 F.lit(-1).alias("line_no")),
-    )
-    return (
-        bill_texts(docs).select(*DOCUMENT, F.inline(pair))
-        .select(_row(None, F.col("key"), F.col("value"), F.col("line_no")))
-    )
 
+    def block(number: int, content: Column) -> Column:
+        return F.struct(F.lit(number).alias("block"), content.alias("content"))
 
-def bill_lines(docs: DataFrame) -> DataFrame:
-    """Lines of the tax detail (block 0) and of each charge block (1, 2, ...)."""
-    detail = F.struct(
-        F.lit(0).alias("block"), F.regexp_extract("text", DETAIL_AREA, 0).alias("content")
-    )
     charge_blocks = F.transform(
         F.regexp_extract_all("text", F.lit(CHARGE_BLOCK), F.lit(0)),
         lambda b, i: F.struct((i + 1).alias("block"), b.alias("content")),
     )
-    blocks = F.concat(F.array(detail), charge_blocks)
+    blocks = F.concat(
+        F.array(block(-2, cell(parts[0], 0)), block(-1, strip(mailing)),
+                block(0, F.regexp_extract("text", DETAIL_AREA, 0))),
+        charge_blocks,
+    )
+    number, content = F.col("block"), F.col("content")
+    several = F.contains(content, F.lit("\n"))
     return (
-        bill_texts(docs).select(*DOCUMENT, F.inline(blocks))
-        .filter((F.col("content") != "") & ((F.col("block") == 0) | F.contains("content", F.lit("\n"))))
-        .withColumn("heading", cell(cells(F.substring_index("content", "\n", 1)), 0))
+        bill_texts(docs)
+        .withColumn("owner_area", F.regexp_extract("text", OWNER_AREA, 0))
+        .select(*DOCUMENT, F.inline(blocks))
+        .filter((number < 0) | ((number == 0) & (content != "")) | several)
+        .withColumn("heading", F.when(
+            number > 0, cell(cells(F.substring_index(content, "\n", 1)), 0)))
         .select(
             *DOCUMENT, "block", "heading",
-            F.posexplode(F.split("content", "\n")).alias("line_no", "line"),
+            F.posexplode(F.when(number < 0, F.array(content)).otherwise(F.split(content, "\n")))
+            .alias("line_no", "line"),
         )
     )
 
@@ -341,6 +338,11 @@ def _charge_fields(lines: DataFrame) -> DataFrame:
         | (~rent & (n == 4) & first_date.isNull() & second_date.isNull())
     )
     keep = (F.col("block") > 0) & ~F.col("skipped") & ~dropped
+    owner = F.struct(
+        F.when(F.col("block") == -2, "Owner name").otherwise("Mailing address").alias("key"),
+        _date().alias("due"), _date().alias("activity"), F.col("line").alias("value"),
+        _text().alias("meta"), F.lit(None).cast("int").alias("apts"), F.lit(False).alias("bad"),
+    )
     return lines.withColumn("t", F.when(c0 == RENT_KEY, tokens(F.col("line")))).withColumn(
         "h",
         F.when(keep, F.struct(
@@ -348,7 +350,7 @@ def _charge_fields(lines: DataFrame) -> DataFrame:
             due.alias("due"), F.coalesce(first_date, second_date).alias("activity"),
             number_text(number).alias("value"), meta.alias("meta"), apts.alias("apts"),
             bad.alias("bad"),
-        )),
+        )).when(F.col("block") < 0, owner),
     )
 
 
@@ -370,7 +372,8 @@ def _read_lines(docs: DataFrame) -> DataFrame:
 
 
 def _finish(lines: DataFrame) -> DataFrame:
-    at = F.col("block").cast("bigint") * BLOCK_STEP + F.col("line_no")
+    block = F.col("block").cast("bigint")
+    at = F.when(block < 0, block).otherwise(block * BLOCK_STEP + F.col("line_no"))
     return lines.filter(F.col("d").isNotNull() | F.col("h").isNotNull()).select(
         _row(
             F.col("section"), F.coalesce("d.key", "h.key"), F.coalesce("d.value", "h.value"), at,
@@ -382,10 +385,22 @@ def _finish(lines: DataFrame) -> DataFrame:
 
 
 def bill_rows(docs: DataFrame) -> DataFrame:
-    """Detail and charge rows; rows after an unreadable line of the same bill are dropped."""
+    """All rows of bills; rows after an unreadable line of the same bill are dropped."""
     return _finish(_read_lines(docs).filter(~F.col("failed")))
 
 
+def owner_address(docs: DataFrame) -> DataFrame:
+    """Owner name and mailing address of bills."""
+    return _finish(_charge_fields(
+        bill_lines(docs).filter("block < 0").withColumns({
+            "c": F.array().cast("array<string>"), "skipped": F.lit(False),
+            "d": F.lit(None).cast("struct<section: string, key: string, value: string, "
+                                  "meta: string, apts: int, bad: boolean>"),
+            "section": _text(), "due": _date(),
+        })
+    ))
+
+
 def detail_rows(docs: DataFrame) -> DataFrame:
     return _finish(_read_lines(docs).filter((F.col("block") == 0) & ~F.col("failed")))
 
@@ -413,16 +428,9 @@ def bill_rejects(docs: DataFrame) -> DataFrame:
     return broken.unionByName(unread)
 
 
-def html_owner(docs: DataFrame) -> DataFrame:
-    return (
-        _of_kind(docs, "html").filter(F.col("text").rlike(HTML_OWNER))
-        .select(_row(None, F.lit("Owner name"), strip(F.regexp_extract("text", HTML_OWNER, 1)),
-                     F.lit(-2)))
-    )
-
-
-def html_rent_rows(docs: DataFrame) -> DataFrame:
-    """Stabilization rows of HTML statements, up to the first one that is not seven words.
+def html_rows(docs: DataFrame) -> DataFrame:
+    """Owner, then stabilization rows, of HTML statements, up to the first row that is not seven
+    words with a date.
 
     A section starts after the first 16 characters and its columns stay on one line; values are
     kept as printed. Works inside each document row, without a shuffle.
@@ -436,29 +444,44 @@ def html_rent_rows(docs: DataFrame) -> DataFrame:
         F.regexp_extract_all(s["content"], F.lit(HTML_RENT), F.lit(1)),
         lambda line: F.struct(s["section"].alias("section"), tokens(line).alias("t")),
     )))
-    t = F.col("t")
-    good = (F.size(t) == 7) & bill_date(cell(t, 3)).isNotNull()
     first_bad = F.array_position(
         F.transform("found", lambda r: (F.size(r["t"]) == 7)
                     & bill_date(F.get(r["t"], F.lit(3))).isNotNull()),
         False,
     )
+    owner = F.struct(_text().alias("section"), F.array("owner").alias("t"))
+    readable = F.when(first_bad > 0, F.slice("found", F.lit(1), first_bad - 1)).otherwise(
+        F.col("found")
+    )
+    t, rent = F.col("t"), F.size("t") == 7
+
+    def word(i: int) -> Column:
+        return F.when(rent, cell(t, i))
+
     return (
         _of_kind(docs, "html").filter(F.col("text").rlike(HTML_OWNER))
-        .select(*DOCUMENT, found.alias("found"))
-        .withColumn("found", F.when(first_bad > 0, F.slice("found", F.lit(1), first_bad - 1))
-                    .otherwise(F.col("found")))
-        .select(*DOCUMENT, F.posexplode("found").alias("line_no", "r"))
-        .select(*DOCUMENT, "line_no", "r.section", "r.t")
-        .filter(good)
+        .select(*DOCUMENT, found.alias("found"),
+                strip(F.regexp_extract("text", HTML_OWNER, 1)).alias("owner"))
+        .select(*DOCUMENT, F.posexplode(F.concat(F.array(owner), readable)).alias("n", "r"))
+        .select(*DOCUMENT, "n", "r.section", "r.t")
         .select(_row(
-            F.col("section"), F.concat_ws(" ", cell(t, 0), cell(t, 1)), cell(t, 6),
-            F.col("line_no"), duedate=bill_date(cell(t, 3)),
-            meta=F.concat_ws(" ", cell(t, 4), cell(t, 5)), apts=cell(t, 2),
+            F.col("section"),
+            F.when(rent, F.concat_ws(" ", cell(t, 0), cell(t, 1))).otherwise("Owner name"),
+            F.when(rent, cell(t, 6)).otherwise(cell(t, 0)),
+            F.when(F.col("n") == 0, -2).otherwise(F.col("n") - 1), duedate=bill_date(word(3)),
+            meta=F.when(rent, F.concat_ws(" ", cell(t, 4), cell(t, 5))), apts=word(2),
         ))
     )
 
 
+def html_owner(docs: DataFrame) -> DataFrame:
+    return html_rows(docs).filter("line_no < 0")
+
+
+def html_rent_rows(docs: DataFrame) -> DataFrame:
+    return html_rows(docs).filter("line_no >= 0")
+
+
 def html_mailing_address(docs: DataFrame) -> DataFrame:
     """Second cells of the two-cell rows that follow ``Mailing Address:`` in its table."""
     area = F.regexp_extract("text", r"(?is)Mailing Address:(.*?)</table>", 1)
@@ -525,9 +548,7 @@ def value_notice_wide(docs: DataFrame) -> DataFrame:
 
 def extract_all(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of all documents, and what could not be read."""
-    rows = owner_address(docs)
-    for part in (bill_rows, html_owner, html_rent_rows, value_notice_rows):
-        rows = rows.unionByName(part(docs))
+    rows = bill_rows(docs).unionByName(html_rows(docs)).unionByName(value_notice_rows(docs))
     return rows, bill_rejects(docs)
 
 

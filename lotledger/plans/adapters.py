@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotledger.functions.lots import borough_code
+from lotledger.sources import documents
 
 YEARS = list(range(1995, 2002))
 CUTOFF = "1998-04-01"
@@ -82,6 +83,76 @@ def _line(df: DataFrame, section, key, value, line, *, day=None, due=None, activ
     )
 
 
+_DAY = "date_format(o_orderdate, 'MM/dd/yyyy')"
+_MONEY = "concat('$', format_number(o_totalprice, 2))"
+_UNITS = "cast(o_custkey % 40 + 1 AS string)"
+_FEE_LINE = (
+    f"CASE WHEN o_orderstatus = 'F' "
+    f"THEN concat('Housing-Rent Stabilization    ', {_DAY}, '    ', {_MONEY}) "
+    f"ELSE concat('Housing-Rent Stabilization    ', {_UNITS}, '  ', {_DAY}, ' ', "
+    f"cast(o_custkey AS string), ' 00    ', {_MONEY}) END"
+)
+_EXEMPTION_CASE = "CASE " + " ".join(
+    f"WHEN o_orderpriority = '{a}' AND o_orderstatus = '{b}' THEN '{v}'"
+    for (a, b), v in EXEMPTION_KEYS.items()
+) + " END"
+_BILL_LINES = [
+    "'NYC Department of Finance'",
+    "concat('Owner name: ', c_name, '                 ', c_name)",
+    "concat('Property address: ', o_custkey, ' MAIN ST.        ', o_custkey, ' MAIN ST. APT 1')",
+    "concat('Borough, block & lot: ', lot_dir, '     NEW YORK , ', n_name)",
+    "CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'Amount due' "
+    "ELSE 'Outstanding Charges  $0.00' END",
+    "'Previous Charges                Activity Date   Due Date    Amount'",
+    f"concat('Health-Extermination      ', {_DAY}, '                     ', {_MONEY})",
+    "concat('Finance-Property Tax            ', o_orderpriority, '     $1,000.00')",
+    f"concat('Total previous charges    ', {_MONEY})",
+    "'Current Charges                Activity Date   Due Date    Amount'",
+    "CASE WHEN o_orderstatus = 'P' "
+    "THEN concat(char(12), 'Page 2', char(10), 'Home banking junk', char(10), 'Some    Amount') END",
+    _FEE_LINE,
+    f"concat('Payment      BANK ONE     ', {_DAY}, '      -', {_MONEY})",
+    "'Lonely words'",
+    f"concat('Total current charges    ', {_MONEY})",
+    "'Annual Property Tax Detail'",
+    "'                          Tax rate'",
+    "'Tax class 2 - Over 10 Units                Overall'",
+    f"concat('Estimated Market Value    ', {_MONEY})",
+    f"concat('Tax Before Exemptions and Abatements     $450,000 X    12.892%   =   ', {_MONEY})",
+    f"concat({_EXEMPTION_CASE}, ' ', {_UNITS}, ' units       -$100,000        -$12,892')",
+    "'Tax Before Abatements     $350,000     $45,122'",
+    "CASE WHEN o_orderpriority = '1-URGENT' THEN 'J51 Abatement' "
+    "ELSE 'J51 Abatement        -$2,000.00' END",
+    "'Annual property tax     $43,122'",
+]
+BILL_TEXT = f"concat_ws(char(10), {', '.join(_BILL_LINES)})"
+_HTML_ROW = (
+    f"concat('<td>Housing-Rent Stabilization ', {_UNITS}, ' ', {_DAY}, ' ', o_custkey, "
+    f"CASE WHEN o_orderstatus = 'F' THEN '' ELSE ' 00' END, ' ', {_MONEY}, '</td>')"
+)
+HTML_TEXT = (
+    "concat('<html><body><p>Owner Name: <img src=\"x.gif\"> ', c_name, ' <br></p>', char(10), "
+    "'<b>Current Amount Due</b> Activity Date Due Date', "
+    "CASE WHEN o_orderstatus = 'P' THEN char(10) ELSE ' ' END, 'Amount ', "
+    f"{_HTML_ROW}, {_HTML_ROW}, repeat('_', 17), char(10), "
+    "'<table><tr><td>Mailing Address:</td></tr><tr><td></td><td>', c_name, '</td></tr><tr><td></td><td>', "
+    "n_name, '</td></tr></table></body></html>')"
+)
+NOTICE_TEXT = (
+    "CASE o_orderstatus "
+    f"WHEN 'O' THEN concat('Gross Income: We estimated gross income at ', {_MONEY}, '.', char(10), "
+    "'Estimated Expenses: $456,789') "
+    f"WHEN 'F' THEN concat('Estimated Gross Income: ', {_MONEY}, char(10), "
+    "'Expenses: We estimated expenses at $1,000.', char(10), 'Estimated Gross Income: $7') "
+    "ELSE concat('Estimated Gross Income: $n/a', char(10), 'Estimated Expenses: $5') END"
+)
+
+
+def document_columns(files: DataFrame) -> DataFrame:
+    """Lot, date and kind of documents, from ``path, text``."""
+    return files.select(*documents.from_path(F.col("path")), "text")
+
+
 def once(build: Callable) -> Callable:
     """Build a view at most once per ``Views`` object, so that its uses share one plan."""
 
@@ -247,3 +318,81 @@ class Views:
             add.cast("float").alias("total_add"),
             (add + F.col("total_sub")).cast("float").alias("net"),
         ).filter((F.col("year") < 1998) | (F.col("borough") != 5))
+
+    @once
+    def bill_paths(self) -> DataFrame:
+        """orders with the folder and date part of their bill's path."""
+        bbl, day = F.col("bbl"), F.date_format("o_orderdate", "MMMM d, yyyy")
+        part = lambda c, width: F.lpad(c.cast("string"), width, "0")
+        return self.bills().withColumn("lot_dir", F.concat_ws(
+            "/", F.lit("data"), F.col("o_orderkey").cast("string"),
+            F.expr("cast(bbl div 1000000000 as string)"),
+            part(F.expr("bbl div 10000 % 100000"), 5), part(bbl % 10_000, 4),
+        )).withColumn("day_text", day)
+
+    def _documents(self, name: str, text: Column) -> DataFrame:
+        path = F.concat(F.col("lot_dir"), F.lit("/"), F.col("day_text"), F.lit(f" - {name}"))
+        # The array keeps the optimizer from copying the long text expression into every use.
+        printed = F.explode(F.array(text)).alias("text")
+        return document_columns(self.bill_paths().select(path.alias("path"), printed))
+
+    @once
+    def bill_documents(self) -> DataFrame:
+        """One printed bill per order.
+
+        Some lines depend on the order: bills of status P have a page gap, urgent ones an
+        unreadable abatement line, low-priority P ones no owner area; status F bills show no
+        registration.
+        """
+        return self._documents("Quarterly Property Tax Bill.txt", F.concat(F.expr(BILL_TEXT), F.lit("\n")))
+
+    @once
+    def html_documents(self) -> DataFrame:
+        """One HTML statement per order: two readable rows (O), one broken row (F), or a section
+        over two lines (P)."""
+        return self._documents("Quarterly Statement of Account.html", F.expr(HTML_TEXT))
+
+    @once
+    def notice_documents(self) -> DataFrame:
+        return self._documents("Notice of Property Value.txt", F.expr(NOTICE_TEXT))
+
+    @once
+    def file_listing(self) -> DataFrame:
+        """A PDF per order, beside it its text when the order is final (F)."""
+        pdf = F.concat(F.col("lot_dir"), F.lit("/"), F.col("day_text"),
+                       F.lit(" - Quarterly Property Tax Bill.pdf"))
+        base = self.bill_paths().select(pdf.alias("path"), "o_orderstatus")
+        texts = base.filter("o_orderstatus = 'F'").select(
+            F.regexp_replace("path", r"\.pdf$", ".txt").alias("path")
+        )
+        return base.select("path").union(texts)
+
+    @once
+    def event_files(self) -> DataFrame:
+        """Files each user (as lot) holds: one per event, by type a PDF, its text, a doubled PDF
+        or a marker that nothing was published."""
+        name = F.concat(F.date_format("ts", "MMMM d, yyyy"),
+                        F.lit(" - Quarterly Property Tax Bill"))
+        kind = F.col("event_type")
+        return self.table("events").select(
+            F.col("user_id").alias("bbl"),
+            F.when(kind == "click", F.concat(name, F.lit(".txt")))
+            .when(kind == "error", F.concat(
+                F.lit("nostatement."), F.date_format("ts", "yyyyMMdd"), F.lit(".txt")))
+            .when(kind == "view", F.concat(name, F.lit(".pdf.pdf")))
+            .otherwise(F.concat(name, F.lit(".pdf"))).alias("file"),
+        )
+
+    @once
+    def lot_lines(self) -> DataFrame:
+        """Lot list lines: three cells, one cell, or (building segment) two cells."""
+        p = F.col("c_custkey").cast("string")
+        b = F.col("n_regionkey") + 1
+        segment = F.col("c_mktsegment")
+        return self.owners_of_lots().select(
+            F.when(segment == "BUILDING", F.concat_ws("\t", borough_code(b), p))
+            .when(segment == "MACHINERY", F.col("bbl").cast("string"))
+            .otherwise(F.concat_ws(
+                "\t", borough_code(b), F.expr("cast(c_custkey div 10000 as string)"),
+                F.expr("cast(c_custkey % 10000 as string)"))).alias("line"),
+        )

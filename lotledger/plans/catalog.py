@@ -7,8 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotledger.operators import compare, facts, income, lookup, panel, quality, summaries
+from lotledger.functions import lots as lot_text
+from lotledger.functions import names
+from lotledger.operators import (
+    compare,
+    extract,
+    facts,
+    income,
+    lookup,
+    manifest,
+    panel,
+    quality,
+    summaries,
+)
 from lotledger.plans import adapters as ad
+from lotledger.sources import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 YEARS = ad.YEARS
@@ -163,6 +176,90 @@ _BUILD: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+def _rows(t: Tables) -> DataFrame:
+    every = t.bill_documents().union(t.html_documents()).union(t.notice_documents())
+    return extract.extract_all(every)[0]
+
+
+def _document_units(t: Tables) -> DataFrame:
+    rent = _rows(t).filter(F.col("key") == facts.STABILIZATION_KEY)
+    return rent.groupBy("bbl", "duedate").agg(
+        F.sum(F.col("apts").cast("int")).alias("units"), F.count(F.lit(1)).alias("lines")
+    )
+
+
+def _event_names(t: Tables) -> DataFrame:
+    day = F.date_format("ts", "MMMM d, yyyy")
+    return t.table("events").select(
+        "event_id", F.concat(day, F.lit(" - "), "event_type").alias("docname")
+    )
+
+
+def _event_lots(t: Tables) -> DataFrame:
+    return t.table("events").select(F.col("user_id").alias("bbl"))
+
+
+def _folder_keys(t: Tables) -> DataFrame:
+    k = F.col("c_custkey")
+    return t.owners_of_lots().select(F.concat_ws(
+        "-", F.col("n_regionkey") + 1, lot_text.pad(F.expr("c_custkey div 10000"), 5),
+        lot_text.pad(k % 10_000, 4),
+    ).alias("key"))
+
+
+def _page_names(t: Tables) -> DataFrame:
+    url = F.col("url")
+    name = names.file_name(url)
+    return t.table("pages").select(
+        "page_id", names.folder(url).alias("folder"), name.alias("name"),
+        names.stem(name).alias("stem"),
+    )
+
+
+def _classified(t: Tables) -> DataFrame:
+    every = t.bill_documents().union(t.html_documents()).union(t.notice_documents())
+    return documents.usable(every).drop("text")
+
+
+_DAYS = [f"202401{d:02d}" for d in range(1, 31)]
+_EVENT_PERIODS = [(d, "SOA", names.document_name(d, names.BILL, "pdf")) for d in _DAYS]
+
+_BUILD |= {
+    "owner_address_rows": lambda t: extract.owner_address(t.bill_documents()),
+    "detail_rows": lambda t: extract.detail_rows(t.bill_documents()),
+    "charge_rows": lambda t: extract.charge_rows(t.bill_documents()),
+    "html_owner": lambda t: extract.html_owner(t.html_documents()),
+    "html_rent_rows": lambda t: extract.html_rent_rows(t.html_documents()),
+    "html_mailing_address": lambda t: extract.html_mailing_address(t.html_documents()),
+    "value_notice_rows": lambda t: extract.value_notice_rows(t.notice_documents()),
+    "value_notice_wide": lambda t: extract.value_notice_wide(t.notice_documents()),
+    "document_rows": _rows,
+    "document_units": _document_units,
+    "bill_rejects": lambda t: extract.bill_rejects(t.bill_documents()),
+    "classified_documents": _classified,
+    "line_shape": lambda t: extract.line_shape(t.table("documents"), "doc_id"),
+    "work_list": lambda t: manifest.work_list(
+        _event_lots(t), _EVENT_PERIODS, t.event_files(), "https://example.org/StatementSearch"
+    ),
+    "missing_periods": lambda t: manifest.missing_periods(
+        _event_lots(t), _DAYS, t.table("events").select(
+            F.col("user_id").alias("bbl"), F.date_format("ts", "yyyyMMdd").alias("period"))
+    ),
+    "converted_files": lambda t: manifest.converted(t.file_listing()),
+    "wanted_types": lambda t: manifest.wanted_types(_event_names(t), ["click", "view"]),
+    "skipped_types": lambda t: manifest.skipped_types(_event_names(t), ["click", "view"]),
+    "lot_list": lambda t: manifest.good_lot_ids(manifest.lot_ids(t.lot_lines())),
+    "bad_lot_list": lambda t: manifest.bad_lot_ids(manifest.lot_ids(t.lot_lines())),
+    "shards": lambda t: manifest.shards(t.owners_of_lots().select("bbl"), 150),
+    "bill_shards": lambda t: manifest.shards(t.bills().select("bbl"), 150),
+    "relayout": lambda t: manifest.relayout(_folder_keys(t), "key"),
+    "page_names": _page_names,
+    "documents_by_lot_day": lambda t: t.bill_documents().groupBy("bbl", "activity_through").agg(
+        F.count(F.lit(1)).alias("documents")
+    ),
+}
+
+
 def _query(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Tables(spark, sf_dir))
 

@@ -101,11 +101,6 @@ def _of_kind(docs: DataFrame, kind: str) -> DataFrame:
     return docs.filter((F.col("kind") == kind) & F.col("activity_through").isNotNull())
 
 
-def bill_texts(docs: DataFrame) -> DataFrame:
-    """Bills with an owner area; a bill without one cannot be read and yields nothing."""
-    return _of_kind(docs, "text").filter(F.col("text").rlike(OWNER_AREA))
-
-
 def activity_date(docs: DataFrame) -> DataFrame:
     """Date printed on a bill or statement (the file name is what the rows use)."""
     found = [F.nullif(F.regexp_extract("text", p, 1), F.lit("")) for p in ACTIVITY_THROUGH]
@@ -114,7 +109,13 @@ def activity_date(docs: DataFrame) -> DataFrame:
 
 def bill_lines(docs: DataFrame) -> DataFrame:
     """Owner (block -2) and mailing address (-1), the latter's three lines joined by a literal
-    backslash-n, then the lines of the tax detail (0) and of each charge block (1, 2, ...)."""
+    backslash-n, then the lines of the tax detail (0) and of each charge block (1, 2, ...).
+
+    A bill without an owner area cannot be read and yields nothing. The cut-out blocks are
+    partitioned by document while they are still one row each; their lines stay in place. The
+    outer forms of explode keep the optimizer from testing the arrays for emptiness beforehand,
+    which would run the patterns again.
+    """
     parts = [cells(F.regexp_extract("owner_area", OWNER_AREA, i)) for i in (1, 2, 3)]
     mailing = F.concat_ws("\\n", *[F.coalesce(cell(p, 1), F.lit("")) for p in parts])
 
@@ -130,19 +131,23 @@ def bill_lines(docs: DataFrame) -> DataFrame:
                 block(0, F.regexp_extract("text", DETAIL_AREA, 0))),
         charge_blocks,
     )
-    number, content = F.col("block"), F.col("content")
+    number, content = F.col("b.block"), F.col("b.content")
     several = F.contains(content, F.lit("\n"))
+    readable = F.col("owner_area") != ""
     return (
-        bill_texts(docs)
+        _of_kind(docs, "text")
         .withColumn("owner_area", F.regexp_extract("text", OWNER_AREA, 0))
-        .select(*DOCUMENT, F.inline(blocks))
+        .select(*DOCUMENT, F.when(readable, blocks).alias("blocks"))
+        .repartition("path")
+        .select(*DOCUMENT, F.explode_outer("blocks").alias("b"))
         .filter((number < 0) | ((number == 0) & (content != "")) | several)
-        .withColumn("heading", F.when(
-            number > 0, cell(cells(F.substring_index(content, "\n", 1)), 0)))
         .select(
-            *DOCUMENT, "block", "heading",
-            F.posexplode(F.when(number < 0, F.array(content)).otherwise(F.split(content, "\n")))
-            .alias("line_no", "line"),
+            *DOCUMENT, number.alias("block"),
+            F.when(number > 0, cell(cells(F.substring_index(content, "\n", 1)), 0))
+            .alias("heading"),
+            F.posexplode_outer(
+                F.when(number < 0, F.array(content)).otherwise(F.split(content, "\n"))
+            ).alias("line_no", "line"),
         )
     )
 
@@ -200,69 +205,66 @@ def _detail_fields(lines: DataFrame) -> DataFrame:
     mode, x, c0 = F.col("mode"), F.col("x"), F.col("c0")
     second, third, last = cell(x, 1), cell(x, 2), cell(x, -1)
     base = mode.isin("before exemptions", "before abatements")
-    listed = mode.isin("details-abatements", "details-exemptions")
-    in_units = listed & (F.size(x) > 2) & F.contains(F.lower(second), F.lit("unit"))
+    listed = mode.isin("details-abatements", "details-exemptions") & (F.size(x) > 2)
+    in_units = listed & F.contains(F.lower(second), F.lit("unit"))
     unit_cell = F.replace(
         F.replace(F.lower(second), F.lit(" units"), F.lit("")), F.lit(" unit"), F.lit("")
     )
-    meta_cell = F.when(base, second).when(
-        listed & (F.size(x) > 2),
-        F.when(in_units | second.endswith("%"), third).otherwise(second),
-    )
-    raw_value = (
-        F.when(mode == "class", F.get(F.split(c0, "tax class"), F.lit(1)))
-        .when(mode == "second raw", second)
-        .when(mode.isin("original", "last raw"), last)
-    )
-    number_cell = F.when(mode == "second", second).when(
-        base | listed | mode.isin("total", "details-revocation", "plain"), last
-    )
-    number, meta_number = amount(number_cell), amount(meta_cell)
-    key = (
-        F.when(mode == "class", "tax class").when(mode == "original", "original tax rate")
-        .otherwise(c0)
-    )
-    needs_number = ~mode.isin("class", "second raw", "original", "last raw")
-    apts = F.when(in_units, whole(unit_cell))
+    in_last = base | mode.startswith("details-") | mode.isin("total", "plain")
+    lines = lines.withColumns({
+        "number_cell": F.when(mode == "second", second).when(in_last, last),
+        "meta_cell": F.when(base, second).when(
+            listed, F.when(in_units | second.endswith("%"), third).otherwise(second)
+        ),
+        "raw_value": F.when(mode == "class", F.get(F.split(c0, "tax class"), F.lit(1)))
+        .when(mode == "second raw", second).when(mode.isin("original", "last raw"), last),
+        "raw_meta": F.when(mode == "original", F.get(F.split(c0, "original tax rate"), F.lit(1))),
+        "unit_cell": F.when(in_units, unit_cell),
+        "key": F.when(mode == "class", "tax class").when(mode == "original", "original tax rate")
+        .otherwise(c0),
+        "section_set": F.when(
+            base | mode.isin("total", "original", "last raw"), "details"
+        ).when(mode.startswith("details-"), mode),
+        "is_row": (F.col("block") == 0) & ~mode.isin("none", "revocation"),
+    }).withColumns({
+        "number": amount(F.col("number_cell")),
+        "meta_number": amount(F.col("meta_cell")),
+        "apts": whole(F.col("unit_cell")),
+    })
+    raw = mode.isin("class", "second raw", "original", "last raw")
     bad = (
-        (needs_number & number.isNull())
-        | (base & meta_number.isNull())
-        | (meta_cell.isNotNull() & meta_number.isNull())
-        | (in_units & apts.isNull())
-        | ((mode == "second raw") & second.isNull())
-    )
-    section = F.when(mode.isin("before exemptions", "before abatements", "total", "original",
-                               "last raw"), "details").when(mode.startswith("details-"), mode)
-    lines = lines.withColumn(
-        "d",
-        F.when((F.col("block") == 0) & ~mode.isin("none", "revocation"), F.struct(
-            section.alias("section"), key.alias("key"),
-            F.coalesce(raw_value, number_text(number)).alias("value"),
-            F.when(mode == "original", F.get(F.split(c0, "original tax rate"), F.lit(1)))
-            .otherwise(number_text(meta_number)).alias("meta"),
-            apts.alias("apts"), F.coalesce(bad, F.lit(True)).alias("bad"),
-        )),
-    )
+        (~raw & F.col("number").isNull())
+        | (raw & F.col("raw_value").isNull())
+        | ((base | F.col("meta_cell").isNotNull()) & F.col("meta_number").isNull())
+        | (F.col("unit_cell").isNotNull() & F.col("apts").isNull())
+    )
+    lines = lines.withColumns({
+        "value": F.coalesce("raw_value", number_text(F.col("number"))),
+        "meta": F.coalesce("raw_meta", number_text(F.col("meta_number"))),
+        "bad": F.when(F.col("is_row"), bad).otherwise(False),
+    })
     for suffix in (" units", " unit"):
         lines = _unit_suffix(lines, suffix)
-    return lines
+    return lines.withColumn("d", F.when(F.col("is_row"), F.struct(
+        F.col("section_set").alias("section"), "key", "value", "meta", "apts", "bad",
+    ))).select(*DOCUMENT, "block", "heading", "line_no", "line", "d")
 
 
 def _unit_suffix(lines: DataFrame, suffix: str) -> DataFrame:
     """``... 12 units``: the last word of a key becomes the unit count."""
-    key = F.col("d.key")
-    short = F.replace(key, F.lit(suffix), F.lit(""))
-    words = F.split(short, " ")
-    count = whole(cell(words, -1))
-    hit = F.coalesce(key.endswith(suffix), F.lit(False))
-    return lines.withColumn(
-        "d",
-        F.when(hit, F.struct(
-            F.col("d.section").alias("section"),
-            F.array_join(F.slice(words, 1, F.size(words) - 1), " ").alias("key"),
-            F.col("d.value").alias("value"), F.col("d.meta").alias("meta"),
-            count.alias("apts"), (F.col("d.bad") | count.isNull()).alias("bad"),
-        )).otherwise(F.col("d")),
+    hit = F.coalesce(F.col("is_row") & F.col("key").endswith(suffix), F.lit(False))
+    words, count = F.col("words"), F.col("count")
+    return (
+        lines.withColumn("words", F.when(hit, F.split(
+            F.replace(F.col("key"), F.lit(suffix), F.lit("")), " ")))
+        .withColumn("count", whole(cell(words, -1)))
+        .withColumns({
+            "bad": F.col("bad") | (words.isNotNull() & count.isNull()),
+            "apts": F.when(words.isNotNull(), count).otherwise(F.col("apts")),
+            "key": F.when(words.isNotNull(), F.array_join(
+                F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), " "
+            )).otherwise(F.col("key")),
+        })
     )
 
 
@@ -310,48 +312,54 @@ def drop_page_gaps(lines: DataFrame) -> DataFrame:
 
 
 def _charge_fields(lines: DataFrame) -> DataFrame:
-    """Adds ``h``: key, due, activity, value, meta, apts, bad of a charge line."""
+    """Adds ``h``: key, due, activity, value, meta, apts, bad of a charge or owner line."""
     c, n = F.col("c"), F.size("c")
-    c0, c1, c2, c3 = (cell(c, i) for i in range(4))
-    text = strip(F.col("line"))
+    c0, c1, c2 = (cell(c, i) for i in range(3))
     t, k = F.col("t"), F.size("t")
-    rent = c0 == RENT_KEY
+    rent, listed, wide = c0 == RENT_KEY, n.isin(2, 3, 4), F.size("t") > 5
     dropped = (
-        (text == "") | F.contains(F.lower(c0), F.lit("rent stabilization fee"))
+        (strip(F.col("line")) == "") | F.contains(F.lower(c0), F.lit("rent stabilization fee"))
         | c0.startswith("Activity Date")
-        | (~rent & ~n.isin(2, 3, 4) & contains_any(text, NOTES))
-    )
-    first_date = F.when(~rent & n.isin(3, 4), bill_date(c1))
-    second_date = F.when(~rent & (n == 4) & first_date.isNull(), bill_date(c2))
-    due = F.when(rent, F.when(k == 4, bill_date(cell(t, 2))).when(k > 5, bill_date(cell(t, 3))))
-    apts = F.when(rent & (k > 5), whole(cell(t, 2)))
-    number_cell = F.when(rent, cell(t, -1)).when(n.isin(2, 3, 4), cell(c, -1))
-    number = amount(number_cell)
+        | (~rent & ~listed & contains_any(F.col("line"), NOTES))
+    )
+    lines = lines.withColumns({
+        "t": F.when(rent, tokens(F.col("line"))),
+        "keep": (F.col("block") > 0) & ~F.col("skipped") & ~dropped,
+    }).withColumns({
+        "day_1": F.when(F.col("keep"), bill_date(
+            F.when(rent, F.when(k == 4, cell(t, 2)).when(wide, cell(t, 3)))
+            .when(n.isin(3, 4), c1))),
+        "number_cell": F.when(F.col("keep"), F.when(rent, cell(t, -1)).when(listed, cell(c, -1))),
+        "apts_cell": F.when(rent & wide, cell(t, 2)),
+    }).withColumns({
+        "day_2": F.when(~rent & (n == 4) & F.col("day_1").isNull(), bill_date(c2)),
+        "number": amount(F.col("number_cell")),
+        "apts": whole(F.col("apts_cell")),
+    })
+    no_day = F.col("day_1").isNull()
     meta = (
-        F.when(rent & (k > 5), F.array_join(F.slice(t, 5, F.greatest(k - 5, F.lit(0))), " "))
-        .when(~rent & (n == 3) & first_date.isNull(), c1)
-        .when(~rent & (n == 4), F.when(first_date.isNotNull(), c2).otherwise(c1))
+        F.when(rent & wide, F.array_join(F.slice(t, 5, F.greatest(k - 5, F.lit(0))), " "))
+        .when(~rent & (n == 3) & no_day, c1)
+        .when(~rent & (n == 4), F.when(no_day, c1).otherwise(c2))
     )
     bad = (
-        (rent & ((k < 4) | (k == 5) | due.isNull() | ((k > 5) & apts.isNull())))
-        | (number_cell.isNotNull() & number.isNull())
-        | (~rent & (n == 4) & first_date.isNull() & second_date.isNull())
+        (rent & ((k < 4) | (k == 5) | no_day | (wide & F.col("apts").isNull())))
+        | (F.col("number_cell").isNotNull() & F.col("number").isNull())
+        | (~rent & (n == 4) & no_day & F.col("day_2").isNull())
     )
-    keep = (F.col("block") > 0) & ~F.col("skipped") & ~dropped
     owner = F.struct(
         F.when(F.col("block") == -2, "Owner name").otherwise("Mailing address").alias("key"),
         _date().alias("due"), _date().alias("activity"), F.col("line").alias("value"),
         _text().alias("meta"), F.lit(None).cast("int").alias("apts"), F.lit(False).alias("bad"),
     )
-    return lines.withColumn("t", F.when(c0 == RENT_KEY, tokens(F.col("line")))).withColumn(
-        "h",
-        F.when(keep, F.struct(
-            F.when(rent | n.isin(2, 3, 4), c0).alias("key"),
-            due.alias("due"), F.coalesce(first_date, second_date).alias("activity"),
-            number_text(number).alias("value"), meta.alias("meta"), apts.alias("apts"),
-            bad.alias("bad"),
-        )).when(F.col("block") < 0, owner),
+    charge = F.struct(
+        F.when(rent | listed, c0).alias("key"),
+        F.when(rent, F.col("day_1")).alias("due"),
+        F.when(~rent, F.coalesce("day_1", "day_2")).alias("activity"),
+        number_text(F.col("number")).alias("value"), meta.alias("meta"), "apts",
+        F.coalesce(bad, F.lit(False)).alias("bad"),
     )
+    return lines.withColumn("h", F.when(F.col("keep"), charge).when(F.col("block") < 0, owner))
 
 
 def _read_lines(docs: DataFrame) -> DataFrame:
@@ -462,7 +470,7 @@ def html_rows(docs: DataFrame) -> DataFrame:
         _of_kind(docs, "html").filter(F.col("text").rlike(HTML_OWNER))
         .select(*DOCUMENT, found.alias("found"),
                 strip(F.regexp_extract("text", HTML_OWNER, 1)).alias("owner"))
-        .select(*DOCUMENT, F.posexplode(F.concat(F.array(owner), readable)).alias("n", "r"))
+        .select(*DOCUMENT, F.posexplode_outer(F.concat(F.array(owner), readable)).alias("n", "r"))
         .select(*DOCUMENT, "n", "r.section", "r.t")
         .select(_row(
             F.col("section"),

@@ -334,7 +334,10 @@ class Views:
         path = F.concat(F.col("lot_dir"), F.lit("/"), F.col("day_text"), F.lit(f" - {name}"))
         # The array keeps the optimizer from copying the long text expression into every use.
         printed = F.explode(F.array(text)).alias("text")
-        return document_columns(self.bill_paths().select(path.alias("path"), printed))
+        # A text is many times the size of its order: spread the orders before printing them.
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        orders = self.bill_paths().repartition(parts, "o_orderkey")
+        return document_columns(orders.select(path.alias("path"), printed))
 
     @once
     def bill_documents(self) -> DataFrame:

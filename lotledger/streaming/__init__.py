@@ -1 +1 @@
-"""Readers and writers."""
+"""Incremental document ingest."""

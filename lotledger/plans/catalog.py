@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from lotledger.operators import (
 )
 from lotledger.plans import adapters as ad
 from lotledger.sources import documents
+from lotledger.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 YEARS = ad.YEARS
@@ -221,6 +223,22 @@ def _classified(t: Tables) -> DataFrame:
     return documents.usable(every).drop("text")
 
 
+def _ingested(t: Tables) -> DataFrame:
+    """The order file replayed as a stream of bills, read batch by batch into a table."""
+    spark = t.spark
+    streamed = Tables(spark, t.sf_dir)
+    streamed.built["orders"] = (
+        spark.readStream.schema(t.table("orders").schema)
+        .option("pathGlobFilter", "orders.parquet").parquet(t.sf_dir)
+    )
+    folder = ingest.working_folder(spark, tempfile.gettempdir())
+    sink = f"{folder}/tables"
+    ingest.start_ingest(
+        streamed.bill_documents(), sink, f"{folder}/progress"
+    ).awaitTermination()
+    return ingest.ingested_rows(spark, sink)
+
+
 _DAYS = [f"202401{d:02d}" for d in range(1, 31)]
 _EVENT_PERIODS = [(d, "SOA", names.document_name(d, names.BILL, "pdf")) for d in _DAYS]
 
@@ -237,6 +255,7 @@ _BUILD |= {
     "document_units": _document_units,
     "bill_rejects": lambda t: extract.bill_rejects(t.bill_documents()),
     "classified_documents": _classified,
+    "ingested_rows": _ingested,
     "line_shape": lambda t: extract.line_shape(t.table("documents"), "doc_id"),
     "work_list": lambda t: manifest.work_list(
         _event_lots(t), _EVENT_PERIODS, t.event_files(), "https://example.org/StatementSearch"

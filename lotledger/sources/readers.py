@@ -21,15 +21,19 @@ OFFICIAL_SCHEMA = (
 )
 
 
-def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _csv(spark: SparkSession, path: str, schema: str, multiline: bool = True) -> DataFrame:
     return spark.read.schema(schema).csv(
-        path, header=True, nullValue="", quote='"', escape='"', multiLine=True
+        path, header=True, nullValue="", quote='"', escape='"', multiLine=multiline
     )
 
 
-def read_rawdata(spark: SparkSession, path: str) -> DataFrame:
-    """Key/value rows from CSV with a header; empty is NULL, quotes are doubled."""
-    return _csv(spark, path, RAW_SCHEMA)
+def read_rawdata(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Key/value rows from CSV with a header; empty is NULL, quotes are doubled.
+
+    A file with line breaks inside values cannot be split: pass ``multiline=False`` for large
+    files without any, or keep the rows in Parquet (``writers.write_rawdata``).
+    """
+    return _csv(spark, path, RAW_SCHEMA, multiline)
 
 
 def read_official_totals(spark: SparkSession, path: str) -> DataFrame:

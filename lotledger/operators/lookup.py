@@ -28,16 +28,24 @@ def unit_history(raw: DataFrame) -> DataFrame:
 
 
 def lot_summary(raw: DataFrame) -> DataFrame:
-    """Latest bill day, the property tax on it, and the latest stabilization line of each lot."""
-    fee = F.col("key") == STABILIZATION_KEY
+    """Latest bill day, the property tax on it, and the latest stabilization line of each lot.
+
+    The day is a plain hash aggregation over all rows. The two lines are maxima of whole rows,
+    which Spark aggregates by sorting, so only rows with those keys get there; both sides are
+    already partitioned by lot when they meet.
+    """
+    days = raw.groupBy("bbl").agg(F.max("activitythrough").alias("last_activity"))
     tax_row = F.struct("activitythrough", (-F.col("line_no")).alias("l"), "value")
     fee_row = F.struct("activitythrough", "line_no", "duedate", "meta", "apts", "value")
-    found = raw.groupBy("bbl").agg(
-        F.max("activitythrough").alias("last_activity"),
-        F.max(F.when(F.col("key") == "annual property tax", tax_row)).alias("tax"),
-        F.max(F.when(fee, fee_row)).alias("fee"),
+    found = (
+        raw.filter(F.col("key").isin("annual property tax", STABILIZATION_KEY))
+        .groupBy(F.col("bbl").alias("found_bbl"))
+        .agg(
+            F.max(F.when(F.col("key") == "annual property tax", tax_row)).alias("tax"),
+            F.max(F.when(F.col("key") == STABILIZATION_KEY, fee_row)).alias("fee"),
+        )
     )
-    return found.select(
+    return days.join(found, F.col("bbl") == F.col("found_bbl"), "left").select(
         "bbl", "last_activity",
         F.when(F.col("tax.activitythrough") == F.col("last_activity"), F.col("tax.value"))
         .alias("property_tax"),

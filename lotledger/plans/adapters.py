@@ -97,7 +97,7 @@ _EXEMPTION_CASE = "CASE " + " ".join(
     for (a, b), v in EXEMPTION_KEYS.items()
 ) + " END"
 _BILL_LINES = [
-    "'NYC Department of Finance'",
+    "concat('Activity through ', day_text)",
     "concat('Owner name: ', c_name, '                 ', c_name)",
     "concat('Property address: ', o_custkey, ' MAIN ST.        ', o_custkey, ' MAIN ST. APT 1')",
     "concat('Borough, block & lot: ', lot_dir, '     NEW YORK , ', n_name)",
@@ -386,6 +386,20 @@ class Views:
             .otherwise(F.concat(name, F.lit(".pdf"))).alias("file"),
         )
 
+    @once
+    def responses(self) -> DataFrame:
+        """Events as server answers: a content type and the county asked about."""
+        counties = ["New York County", "Bronx", "kings", "Queens County", "RICHMOND", "Albany"]
+        kind = F.col("event_type")
+        return self.table("events").select(
+            "event_id",
+            F.when(kind == "click", "text/html; charset=utf-8").when(kind == "view",
+                                                                      "application/pdf")
+            .otherwise("text/plain").alias("content_type"),
+            F.array(*[F.lit(c) for c in counties])[(F.col("user_id") % 6).cast("int")]
+            .alias("county"),
+        )
+
     @once
     def lot_lines(self) -> DataFrame:
         """Lot list lines: three cells, one cell, or (building segment) two cells."""

@@ -273,6 +273,11 @@ _BUILD |= {
     "bill_shards": lambda t: manifest.shards(t.bills().select("bbl"), 150),
     "relayout": lambda t: manifest.relayout(_folder_keys(t), "key"),
     "page_names": _page_names,
+    "printed_dates": lambda t: extract.activity_date(t.bill_documents()),
+    "responses": lambda t: t.responses().select(
+        "event_id", names.extension(F.col("content_type")).alias("extension"),
+        lot_text.county_borough(F.col("county")).alias("borough"),
+    ),
     "documents_by_lot_day": lambda t: t.bill_documents().groupBy("bbl", "activity_through").agg(
         F.count(F.lit(1)).alias("documents")
     ),

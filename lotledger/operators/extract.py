@@ -516,7 +516,6 @@ def value_notice_rows(docs: DataFrame) -> DataFrame:
     notices = _of_kind(docs, "notice").select(
         *DOCUMENT,
         F.col("text").rlike(INCOME).alias("has_income"),
-        F.col("text").rlike(EXPENSES).alias("has_expenses"),
         amount(_estimate(INCOME)).alias("income"), amount(_estimate(EXPENSES)).alias("expenses"),
     )
     readable = ~F.col("has_income") | F.col("income").isNotNull()

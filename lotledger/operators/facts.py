@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotledger.functions.text import money, whole
 
 STABILIZATION_KEY = "Housing-Rent Stabilization"
+NO_LOT, NO_YEAR = -(2**63), -(2**31)  # equal no list entry
 NUMERIC_ID = r"^[\d ]+$"
 
 # Printed key (lower case) to exemption code.
@@ -149,15 +150,24 @@ def registrations(units: DataFrame, listed: DataFrame) -> DataFrame:
     else ``N``. A NULL bill year falls through the first test unless the list is empty, and a
     NULL year in the list switches that test off.
     """
-    bills = units.select(
-        F.col("meta").alias("regno"), "duedate", F.col("year").alias("uc_year"),
-        F.col("bbl").alias("ucbbl"), "units",
-    ).distinct()
+    # Both uses below read one shuffled result instead of scanning the raw rows twice: the count
+    # keeps the reduction from being optimized away below the second distinct, and standing in for
+    # NULL there keeps the anti join from pushing a NULL filter into one of the two.
+    bills = (
+        units.groupBy(
+            F.col("meta").alias("regno"), "duedate", F.col("year").alias("uc_year"),
+            F.col("bbl").alias("ucbbl"), "units",
+        )
+        .agg(F.count(F.lit(1)).alias("copies")).filter("copies > 0")
+    )
     entries = listed.select(F.col("bbl").alias("dhcrbbl"), F.col("year").alias("dh_year")).distinct()
     same = (F.col("ucbbl") == F.col("dhcrbbl")) & (F.col("uc_year") == F.col("dh_year"))
 
-    matched = bills.join(entries, same, "left")
-    billed = bills.select("ucbbl", "uc_year").distinct()
+    matched = bills.join(entries, same, "left").drop("copies")
+    billed = bills.select(
+        F.coalesce("ucbbl", F.lit(NO_LOT)).alias("ucbbl"),
+        F.coalesce("uc_year", F.lit(NO_YEAR)).alias("uc_year"),
+    ).distinct()
     unmatched = entries.join(billed, same, "left_anti").select(
         F.lit(None).cast("string").alias("regno"),
         F.lit(None).cast("date").alias("duedate"),

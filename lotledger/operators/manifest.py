@@ -75,7 +75,7 @@ def held_documents(files: DataFrame, periods: Sequence[Period]) -> DataFrame:
     names = F.array(held_name(F.col("file")))
     for period, docs in by_period.items():
         names = F.when(marker == period, F.array(*[F.lit(d) for d in docs])).otherwise(names)
-    return files.select("bbl", F.explode(names).alias("docname"))
+    return files.select("bbl", F.explode(names).alias("docname")).distinct()
 
 
 def work_list(lots: DataFrame, periods: Sequence[Period], files: DataFrame,
@@ -96,7 +96,7 @@ def missing_periods(lots: DataFrame, periods: Sequence[str], held: DataFrame) ->
     grid = lots.select("bbl").distinct().select(
         "bbl", F.explode(F.array(*[F.lit(p) for p in periods])).alias("period")
     )
-    return grid.join(held.select("bbl", "period"), ["bbl", "period"], "left_anti")
+    return grid.join(held.select("bbl", "period").distinct(), ["bbl", "period"], "left_anti")
 
 
 def converted(files: DataFrame) -> DataFrame:

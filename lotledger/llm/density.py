@@ -12,14 +12,11 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RESULT = "page_id long, url string, text string, n_chars long"
-
 # Element names of HTML and words of class and id names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp svg math object".split())
@@ -238,12 +235,9 @@ def extracted(pages: DataFrame) -> DataFrame:
     repeated results; other columns are not read; an empty table gives an empty result.
     """
 
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), 256):
-                part = frame.iloc[at:at + 256]
-                text = [main_text(x) for x in part["html"]]
-                yield pd.DataFrame({"page_id": part["page_id"].astype("Int64"), "url": part["url"],
-                                    "text": text, "n_chars": [len(x) for x in text]})
+    @F.pandas_udf("string")
+    def text(page: pd.Series) -> pd.Series:
+        return page.map(main_text)
 
-    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInPandas(read, RESULT)
+    return pages.select("page_id", "url", text("html").alias("text")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

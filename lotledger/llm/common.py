@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,14 +29,20 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, path: str | None = None) -> DataFrame:
+ROWS_PER_FILE = 500_000  # of narrow rows: ids, digests, counts
+
+
+def written(df: DataFrame, path: str | None = None, rows: int | None = None) -> DataFrame:
     """The rows of ``df``, written once as Parquet in the shared folder and read from there.
 
     This cuts the lineage, survives lost executors, and gives joins on the result plain exchanges
-    that adaptive execution can split where a key is hot.
+    that adaptive execution can split where a key is hot. ``rows`` bounds the number of narrow
+    rows, from which the number of files follows; otherwise it is that of the partitions.
     """
     spark = df.sparkSession
     path = path or scratch_dir(spark)
+    if rows is not None:
+        df = df.coalesce(max(8, -(-rows // ROWS_PER_FILE)))
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -43,37 +51,67 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def forest(a: Iterable[int], b: Iterable[int]) -> list[tuple[int, int]]:
+    """The edges (a, b) that connect what the ones before did not."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    out = []
+    for x, y in zip(a, b):
+        p, q = top(x), top(y)
+        if p != q:
+            up[max(p, q)] = min(p, q)
+            out.append((x, y))
+    return out
+
+
+def thinned(edges: DataFrame, left: str, right: str) -> DataFrame:
+    """(a, b): the edges that each partition needs for what its edges connect, batch by batch."""
+
+    def thin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame(forest(f[left].tolist(), f[right].tolist()), columns=["a", "b"], dtype="int64")
+
+    return edges.where(f"{left} <> {right}").select(left, right).mapInPandas(thin, "a long, b long")
+
+
+def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
     """One step of alternating large and small stars; ``edges`` has a > b in each row."""
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    if large:
-        both = both.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = written(both.groupBy("u").agg(F.min("v").alias("m"))
-                    .select("u", F.least("u", "m").alias("m")))
-    met = both.join(least, "u")
     if large:
-        out = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        out = (met.where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-               .unionByName(least.where("u <> m").select(F.col("u").alias("a"), F.col("m").alias("b"))))
-    return out.where("a > b").distinct()
+        # Only edges whose smaller end hangs on another node change, so the hot roots stay out.
+        above = written(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")), rows=rows)
+        met = edges.join(above, edges["b"] == above["node"], "left")
+        out = met.select("a", F.coalesce("m", "b").alias("b"))
+        # What a node hangs on is connected through the smallest of these.
+        return out.distinct()
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    met = edges.join(least, "a")
+    out = met.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return out.unionByName(least.select("a", F.col("m").alias("b"))).where("a > b").distinct()
 
 
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """(node, component) for every node of an edge list: the smallest node that its edges reach.
 
-    Alternating large-star and small-star steps; each is two aggregations and a join, and its
-    result is written, so no step depends on the lineage of those before. Ends when the edges are
-    stars. Nodes without an edge are not returned; null ends are ignored.
+    Alternating steps move edges to the smallest known neighbour: one hangs every node on what its
+    upper neighbour hangs on, one joins the upper neighbours of a node. Each step's result is
+    written, so none depends on the lineage of those before. Ends when the edges are stars. Nodes
+    without an edge are not returned; null ends are ignored.
     """
+    edges = edges.where(f"{left} is not null and {right} is not null")
     now = written(edges.select(F.greatest(left, right).alias("a"), F.least(left, right).alias("b"))
-                  .where(f"{left} is not null and {right} is not null").where("a > b").distinct())
+                  .where("a > b").distinct())
     while True:
+        rows = now.count()
         twice = now.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
-        inner = now.select(F.col("b").alias("a")).distinct().join(now.select("a"), "a", "left_semi")
+        inner = now.select(F.col("b").alias("a")).join(now.select("a"), "a", "left_semi")
         if not twice.unionByName(inner).limit(1).count():  # every node hangs on one that hangs on none
             break
-        now = written(_star(_star(now, True), False))
-    return written(now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-                   .unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")))
-                   .distinct())
+        now = written(_star(now, False, rows), rows=2 * rows)
+        now = written(_star(now, True, rows), rows=2 * rows)
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

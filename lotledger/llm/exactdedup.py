@@ -74,4 +74,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     match = F.col("doc_id").eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
     first = F.row_number().over(Window.partitionBy("doc_id", sha).orderBy("doc_id"))
     one = docs.join(again, match, "left_semi").withColumn("_copy", first).where("_copy = 1").drop("_copy")
-    return docs.join(dropped, match, "left_anti").unionByName(one)
+    return docs.join(dropped.hint("merge"), match, "left_anti").unionByName(one)

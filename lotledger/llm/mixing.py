@@ -134,5 +134,5 @@ def interleaved(docs: DataFrame, weights: Mapping[str, float] | None = None, blo
     """
     order = written(mixed(docs, weights, block).groupBy(F.col("doc_id").alias("_id")).agg(
         F.min("position").alias("_position")))
-    met = docs.join(order, docs["doc_id"].eqNullSafe(order["_id"])).drop("_id")
+    met = docs.join(order.hint("merge"), docs["doc_id"].eqNullSafe(order["_id"])).drop("_id")
     return met.repartitionByRange("_position").sortWithinPartitions("_position").drop("_position")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotledger.llm.common import components, written
+from lotledger.llm.common import components, forest, thinned, written
 from lotledger.llm.hashing import mix, shingles
 
 BLOCK = 512
@@ -81,24 +81,6 @@ def signatures(grams: np.ndarray, t: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """The edges (a, b) that connect what was not connected."""
-    up: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while up.setdefault(x, x) != x:
-            up[x] = x = up[up[x]]
-        return x
-
-    out = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        p, q = top(x), top(y)
-        if p != q:
-            up[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return out
-
-
 def overlaps(rows: list[np.ndarray]) -> np.ndarray:
     """Overlap counts of all rows of a block: incidence times its transpose, column by column."""
     m = len(rows)
@@ -136,7 +118,7 @@ def block_links(ids: np.ndarray, rows: list[np.ndarray], label: np.ndarray, t: i
     # Equivalent to 100 * overlap >= t * union.
     hit = np.triu((counts >= need) & (counts > 0) & (label[:, None] != label[None, :]), 1)
     a, b = np.nonzero(hit)
-    return _forest(ids[a], ids[b])
+    return forest(ids[a].tolist(), ids[b].tolist())
 
 
 _KEYS = "doc_id long, n_shingles long, k1 long, k2 long, bucket int, sig binary, ids binary"
@@ -190,7 +172,7 @@ def _shared_parts(frame: pd.DataFrame) -> pd.DataFrame:
     first = np.concatenate(([True], sig[1:] != sig[:-1]))
     head = ids[np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))]
     pairs = np.unique(np.stack([ids, head], 1)[ids != head], axis=0)
-    return pd.DataFrame(_forest(pairs[:, 0], pairs[:, 1]), columns=["a", "b"])
+    return pd.DataFrame(forest(pairs[:, 0].tolist(), pairs[:, 1].tolist()), columns=["a", "b"])
 
 
 def _multiplied(rows: DataFrame, n: int, t: int) -> DataFrame:
@@ -213,23 +195,26 @@ def _chunk(count: Column, of: str, block: int) -> Column:
 
 def _linked(docs: DataFrame, groups: DataFrame, n: int, t: int, block: int) -> DataFrame:
     """Edges that connect all linked documents of ``groups`` (node, component)."""
-    sizes = written(groups.groupBy("component").agg(F.count("*").alias("count")))
+    known = groups.count()
+    sizes = written(groups.groupBy("component").agg(F.count("*").alias("count")), rows=known)
     total = sizes.agg(F.sum("count"), F.max("count")).first()
     if not total[0]:
         return docs.sparkSession.createDataFrame([], "a long, b long")
     few = max(1, math.ceil(total[0] / block))  # small groups share blocks
     members = written(groups.join(sizes, "component").select(
-        F.col("node").alias("_id"), F.col("component").alias("comp"), "count"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        F.col("node").alias("_id"), F.col("component").alias("comp"), "count"), rows=known)
+    # Whole texts move once, as a plain shuffle at every size, and only those of groups are kept.
+    texts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        members.hint("merge"), F.col("doc_id") == F.col("_id")).select("comp", "count", "doc_id", "text"))
     small = F.col("count") <= block
     apart = F.xxhash64("comp", _chunk(F.col("count"), "doc_id", block))
-    alone = texts.join(members, F.col("doc_id") == F.col("_id")).select(
+    alone = texts.select(
         "doc_id", F.col("doc_id").alias("label"), "text", F.when(small, F.col("comp")).otherwise(apart).alias("part"),
         F.when(small, F.pmod(F.xxhash64("comp"), F.lit(few))).otherwise(few + F.abs(apart % 2**40)).alias("block"))
-    edges = written(_multiplied(alone, n, t))
+    edges = written(thinned(_multiplied(alone, n, t), "a", "b"))
     if total[1] <= block:
         return edges
-    big = written(texts.join(members.where(~small), F.col("doc_id") == F.col("_id")).select("comp", "doc_id", "text"))
+    big = texts.where(~small).select("comp", "doc_id", "text")
     for last in (False, True):
         label = components(edges, "a", "b")
         marked = written(big.join(label, big["doc_id"] == label["node"], "left").select(
@@ -237,18 +222,20 @@ def _linked(docs: DataFrame, groups: DataFrame, n: int, t: int, block: int) -> D
         if not last:
             # One row per class: what joins these joins the classes.
             heads = marked.where(F.col("label") == F.col("doc_id"))
-            counts = written(heads.groupBy("comp").agg(F.count("*").alias("count")).where("count > 1"))
+            counts = written(heads.groupBy("comp").agg(F.count("*").alias("count")).where("count > 1"), rows=known)
             cut = heads.join(counts, "comp").withColumn("part", F.xxhash64("comp", _chunk(F.col("count"), "doc_id", block)))
-            edges = written(edges.unionByName(_multiplied(cut.withColumn("block", F.col("part")), n, t)))
+            found = thinned(_multiplied(cut.withColumn("block", F.col("part")), n, t), "a", "b")
+            edges = written(edges.unionByName(found))
             continue
         open_ = written(marked.groupBy("comp").agg(F.count("*").alias("count"), F.min("label").alias("x"), F.max("label").alias("y"))
-                        .where("x < y"))
+                        .where("x < y"), rows=known)
         cut = marked.join(open_, "comp").withColumn("chunks", F.ceil(F.col("count") / (block / 2)).cast("long"))
         cut = cut.withColumn("own", F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.col("chunks")))
         # Every pair of chunks meets in one block; a chunk goes to as many blocks as there are chunks.
         cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
         part = F.xxhash64("comp", F.least("own", "other"), F.greatest("own", "other"))
-        edges = edges.unionByName(_multiplied(cut.withColumn("part", part).withColumn("block", part), n, t))
+        found = thinned(_multiplied(cut.withColumn("part", part).withColumn("block", part), n, t), "a", "b")
+        edges = written(edges.unionByName(found))
     return edges
 
 
@@ -265,10 +252,10 @@ def joined(docs: DataFrame, n: int = 5, t: int = 80, block: int = BLOCK, buckets
     keys = scan.where("bucket = -1").select("doc_id", "n_shingles", "k1", "k2")
     shared = scan.where("bucket >= 0").select("bucket", "sig", "ids").groupBy("bucket").applyInPandas(
         _shared_parts, "a long, b long")
-    groups = components(written(shared), "a", "b")
+    groups = components(thinned(shared, "a", "b"), "a", "b")
     edges = _linked(docs, groups, n, t, block)
     least = written(keys.where("n_shingles > 0").groupBy("n_shingles", "k1", "k2").agg(
-        F.min("doc_id").alias("b"), F.count("*").alias("times")).where("times > 1").drop("times"))
+        F.min("doc_id").alias("b"), F.count("*").alias("times")).where("times > 1").drop("times"), rows=keys.count())
     equal = keys.join(least, ["n_shingles", "k1", "k2"]).select(F.col("doc_id").alias("a"), "b")
     label = components(edges.unionByName(equal), "a", "b")
     return keys.join(label, keys["doc_id"] == label["node"], "left").select(
@@ -279,4 +266,4 @@ def deduplicated(docs: DataFrame, n: int = 5, t: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component; rows without id stay."""
     found = joined(docs, n, t)
     dropped = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(dropped, docs["doc_id"] == dropped["_id"], "left_anti")
+    return docs.join(dropped.hint("merge"), docs["doc_id"] == F.col("_id"), "left_anti")

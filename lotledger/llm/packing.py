@@ -8,6 +8,7 @@ id lies in exactly one piece; only the last window has padding.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -24,12 +25,12 @@ WINDOW = 2048
 END = 1
 #: Fixed value: the split into pieces that comes before the merges of this kind of vocabulary.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-KNOWN = 200_000
-BATCH = 256
+KNOWN = 400_000
+BATCH = 128
 
 
-class _Pieces(dict):
-    """Piece of text to its ids as little-endian 16-bit integers, by the tokenizer, kept for reuse."""
+class _Pieces:
+    """Ids of pieces of text, as little-endian 16-bit integers, by the tokenizer; kept for reuse."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -38,13 +39,38 @@ class _Pieces(dict):
         self.of.encode_special_tokens = True  # their strings in a text are ordinary text
         if self.of.get_vocab_size() > 1 << 16:
             raise ValueError("ids need more than 16 bits")
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KNOWN:
-            self.clear()
-        ids = self.of.encode(piece, add_special_tokens=False).ids
-        value = self[piece] = np.array(ids, "<u2").tobytes()
-        return value
+        self.split = regex.compile(PIECES).findall
+        self.known: dict[str, bytes] = {}  # by piece
+        self.after: dict[str, bytes] = {}  # by what follows a single blank, with that blank
+
+    def _learn(self, known: dict[str, bytes], new: set[str], before: str) -> None:
+        if len(known) > KNOWN:
+            known.clear()
+        names = list(new)
+        for piece, found in zip(names, self.of.encode_batch_fast([before + x for x in names], add_special_tokens=False)):
+            known[piece] = np.array(found.ids, "<u2").tobytes()
+
+    def _joined(self, known: dict[str, bytes], pieces: list[str], before: str) -> bytes:
+        found = list(map(known.get, pieces))
+        if None in found:
+            self._learn(known, {p for p, ids in zip(pieces, found) if ids is None}, before)
+            # The store may just have been emptied to make room.
+            found = [ids or known.get(p) or self._joined(known, [p], before) for p, ids in zip(pieces, found)]
+        return b"".join(found)
+
+    def ids(self, text: str) -> bytes:
+        """The tokenizer never joins what a single blank parts, and takes that blank to what
+        follows, so texts are cut there; where blanks meet, its own split is needed."""
+        if "  " in text:
+            return self._joined(self.known, self.split(text), "")
+        first, *rest = text.split(" ")
+        return (self._joined(self.known, [first], "") if first else b"") + self._joined(self.after, rest, " ")
+
+
+@functools.cache
+def _of_worker(path: str) -> _Pieces:
+    """One per Python worker, so that its tasks share what is known."""
+    return _Pieces(path)
 
 
 _tokens = StructType([
@@ -60,15 +86,16 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, split, last = _Pieces(tokenizer), regex.compile(PIECES), np.array([end], "<u2").tobytes()
+        known, last = _of_worker(tokenizer), np.array([end], "<u2").tobytes()
         unit, before = None, 0
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 rows = []
-                for name, doc_id, text in zip(*(c.to_pylist() for c in whole.slice(at, BATCH).columns)):
+                names, doc_ids, texts = (c.to_pylist() for c in whole.slice(at, BATCH).columns)
+                for name, doc_id, ids in zip(names, doc_ids, map(known.ids, texts)):
                     if name != unit:
                         unit, before = name, 0
-                    ids = b"".join(map(known.__getitem__, split.findall(text))) + last
+                    ids += last
                     n = len(ids) // 2
                     rows.append((unit, doc_id, before, n, ids))
                     before += n

@@ -63,21 +63,21 @@ def _segments(path: Column) -> Column:
     return F.array(*[_kind(s) for s in fixed], F.when(F.size(parts) > DEPTH, "**").otherwise(""))
 
 
-def _wildcards(tree: DataFrame, level: int) -> DataFrame:
+def _wildcards(tree: DataFrame, level: int, rows: int) -> DataFrame:
     """Replaces the rare literals of segment ``level`` below each (host, prefix) by ``*``."""
     seg = F.element_at("segments", level + 1)
     tree = tree.withColumn("child", seg)
-    counts = written(tree.groupBy("host", "prefix", "child").agg(F.sum("n").alias("c")))
-    totals = written(counts.groupBy("host", "prefix").agg(F.sum("c").alias("t"), F.count("*").alias("kinds")))
+    counts = written(tree.groupBy("host", "prefix", "child").agg(F.sum("n").alias("c")), rows=rows)
+    totals = written(counts.groupBy("host", "prefix").agg(F.sum("c").alias("t")), rows=rows)
     typed = F.col("child").startswith("{") | F.col("child").isin("", "**")
     kept = written(counts.join(totals, ["host", "prefix"])
                    .where(typed | (F.col("c") >= F.greatest(F.lit(2.0), F.col("t") * SHARE)))
-                   .select("host", "prefix", "child", F.lit(True).alias("kept")))
+                   .select("host", "prefix", "child", F.lit(True).alias("kept")), rows=rows)
     return tree.join(kept, ["host", "prefix", "child"], "left").withColumn(
         "token", F.when(F.col("kept"), F.col("child")).otherwise("*"))
 
 
-def _merged(tree: DataFrame, level: int) -> DataFrame:
+def _merged(tree: DataFrame, level: int, rows: int) -> DataFrame:
     """Turns tokens into ``*`` whose branch is like its siblings' together.
 
     Branches are compared by the distribution of the next segment and by labelled block rates.
@@ -85,25 +85,24 @@ def _merged(tree: DataFrame, level: int) -> DataFrame:
     """
     nxt = F.element_at("segments", level + 2)
     cells = written(tree.where("token <> ''").groupBy("host", "prefix", "token", nxt.alias("next")).agg(
-        *(F.sum(c).alias(c) for c in ("n", "blocked", "allowed"))))
+        *(F.sum(c).alias(c) for c in ("n", "blocked", "allowed"))), rows=rows)
     sums = [F.sum(c).alias(f"all_{c}") for c in ("n", "blocked", "allowed")]
-    pooled = written(cells.groupBy("host", "prefix", "next").agg(*sums))
+    pooled = written(cells.groupBy("host", "prefix", "next").agg(*sums), rows=rows)
     parents = pooled.groupBy("host", "prefix").agg(
         *(F.sum(f"all_{c}").alias(f"p_{c}") for c in ("n", "blocked", "allowed")))
     branches = cells.groupBy("host", "prefix", "token").agg(
         *(F.sum(c).alias(f"b_{c}") for c in ("n", "blocked", "allowed")))
-    both = written(branches.join(parents, ["host", "prefix"]).where("b_n < p_n"))
+    both = written(branches.join(parents, ["host", "prefix"]).where("b_n < p_n"), rows=rows)
     overlap = written(cells.join(pooled, ["host", "prefix", "next"]).groupBy("host", "prefix", "token").agg(
-        F.collect_list(F.struct("n", "all_n")).alias("cells")))
-    near = F.aggregate("cells", F.lit(0.0), lambda acc, x: acc + F.sqrt(
-        x["n"] / F.col("b_n") * (x["all_n"] - x["n"]) / (F.col("p_n") - F.col("b_n"))))
+        F.sum(F.sqrt(F.col("n") * (F.col("all_n") - F.col("n")))).alias("shared")), rows=rows)
+    near = F.col("shared") / F.sqrt(F.col("b_n") * (F.col("p_n") - F.col("b_n")))
     mine, others = F.col("b_blocked") + F.col("b_allowed"), (
         F.col("p_blocked") + F.col("p_allowed") - F.col("b_blocked") - F.col("b_allowed"))
     agree = (mine == 0) | (others == 0) | (F.abs(
         F.col("b_blocked") / mine - (F.col("p_blocked") - F.col("b_blocked")) / others) <= CONTRAST)
     like = written(both.join(overlap, ["host", "prefix", "token"])
                    .where((F.sqrt(F.greatest(F.lit(0.0), 1 - near)) <= DISTANCE) & agree)
-                   .select("host", "prefix", "token", F.lit(True).alias("like")))
+                   .select("host", "prefix", "token", F.lit(True).alias("like")), rows=rows)
     return tree.join(like, ["host", "prefix", "token"], "left").withColumn(
         "token", F.when(F.col("like"), "*").otherwise(F.col("token"))).drop("like")
 
@@ -114,11 +113,12 @@ def templates(urls: DataFrame) -> DataFrame:
     first = written(urls.groupBy("host", _segments(F.col("path")).alias("segments")).agg(
         F.count("*").alias("n"), F.count_if(F.col("label") == BLOCK).alias("blocked"),
         F.count_if(F.col("label") == ALLOW).alias("allowed")))
+    rows = first.count()
     tree = first.withColumn("prefix", F.lit(""))
     for level in range(DEPTH):
-        tree = _merged(written(_wildcards(tree, level)), level)
+        tree = _merged(written(_wildcards(tree, level, rows), rows=rows), level, rows)
         step = F.when(F.col("token") == "", F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), "token"))
-        tree = written(tree.select(*key, "n", "blocked", "allowed", step.alias("prefix")))
+        tree = written(tree.select(*key, "n", "blocked", "allowed", step.alias("prefix")), rows=rows)
     last = F.element_at("segments", DEPTH + 1)
     tree = tree.select(*key, "n", "blocked", "allowed", F.when(
         last == "", F.col("prefix")).otherwise(F.concat("prefix", F.lit("/**"))).alias("template"))
@@ -127,8 +127,8 @@ def templates(urls: DataFrame) -> DataFrame:
     blocked, allowed, n = (F.sum(c) for c in ("blocked", "allowed", "n"))
     open_ = (n - blocked - allowed) * UNLABELLED
     stats = written(tree.groupBy("host", "template").agg(
-        ((blocked + WEIGHT * prior) / (blocked + allowed + open_ + WEIGHT)).alias("purity")))
-    return written(tree.select(*key, "template").join(stats, ["host", "template"]))
+        ((blocked + WEIGHT * prior) / (blocked + allowed + open_ + WEIGHT)).alias("purity")), rows=rows)
+    return written(tree.select(*key, "template").join(stats, ["host", "template"]), rows=rows)
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]], purity: float = PURITY) -> DataFrame:

@@ -21,7 +21,12 @@ WHOLE = r"^[+-]?\d+$"
 # The date spellings that bills use, each with the shape that selects it.
 DATE_FORMATS = {
     "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
-    "MMMM d, yyyy": r"^[A-Za-z]+ \d{1,2}, \d{4}$",
+    "M/d/yy": r"^\d{1,2}/\d{1,2}/\d{2}$",
+    "M-d-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+    "MMMM d, yyyy": r"^([A-Za-z]{4,}|May) \d{1,2}, \d{4}$",
+    "MMM d, yyyy": r"^(?!May)[A-Za-z]{3} \d{1,2}, \d{4}$",
+    "d MMMM yyyy": r"^\d{1,2} ([A-Za-z]{4,}|May) \d{4}$",
+    "d MMM yyyy": r"^\d{1,2} (?!May)[A-Za-z]{3} \d{4}$",
     "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
 }
 
@@ -51,11 +56,14 @@ def amount(c: Column) -> Column:
 
 
 def number_text(c: Column) -> Column:
-    """A double as plain text with at least one decimal (``100.0``), never in powers of ten."""
-    plain = F.regexp_replace(c.cast("decimal(38,9)").cast("string"), r"(\.\d+?)0+$", "$1")
+    """A double as plain text with at least one decimal (``100.0``), never in powers of ten.
+
+    One spelling for every size: the shortest digits that name the number, without trailing zeros.
+    """
     size = F.abs(c)
-    wide = (size >= 1e7) & (size < 1e16)
-    return F.when(wide, plain).otherwise(c.cast("string"))
+    short = (size == 0) | (size >= 1e-3) & (size < 1e7)  # where a cast gives this form
+    long = F.regexp_replace(F.format_string("%.340f", c), r"(\.\d+?)0+$", "$1")
+    return F.when(short, c.cast("string")).when(c.isNotNull(), long)
 
 
 def money(c: Column) -> Column:

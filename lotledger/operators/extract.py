@@ -9,10 +9,13 @@ is a single input row, so its lines always fit a task.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotledger.functions.text import (
+    DATE_FORMATS,
     amount,
     bill_date,
     cell,
@@ -107,42 +110,134 @@ def activity_date(docs: DataFrame) -> DataFrame:
     return docs.select("path", bill_date(F.coalesce(*found)).alias("printed_through"))
 
 
-def bill_lines(docs: DataFrame) -> DataFrame:
-    """Owner (block -2) and mailing address (-1), the latter's three lines joined by a literal
-    backslash-n, then the lines of the tax detail (0) and of each charge block (1, 2, ...).
+def _made_row(section=None, key=None, value=None, line_no=None, due=None, meta=None, apts=None,
+              reason=None, line=None) -> Column:
+    """A row that is read inside its document, or the reject that stands for it (``reason``)."""
+    def text(c: Column | None, name: str) -> Column:
+        return (_text() if c is None else c.cast("string")).alias(name)
+
+    return F.struct(
+        text(section, "section"), text(key, "key"), text(value, "value"),
+        (F.lit(None) if line_no is None else line_no).cast("int").alias("line_no"),
+        (_date() if due is None else due).alias("due"), text(meta, "meta"), text(apts, "apts"),
+        text(None if reason is None else F.lit(reason), "reason"), text(line, "line"),
+    )
+
+
+def _html_found(as_run: bool) -> Column:
+    text = F.expr("substring(text, 17)") if as_run else F.col("text")
+    sections = F.arrays_zip(
+        F.regexp_extract_all(text, F.lit(HTML_BLOCK), F.lit(1)).alias("section"),
+        F.regexp_extract_all(text, F.lit(HTML_BLOCK), F.lit(0)).alias("content"),
+    )
+    return F.flatten(F.transform(sections, lambda s: F.transform(
+        F.regexp_extract_all(s["content"], F.lit(HTML_RENT), F.lit(1)),
+        lambda line: F.struct(s["section"].alias("section"), tokens(line).alias("t")),
+    )))
+
+
+def _made(docs: DataFrame, as_run: bool, formats: Mapping[str, str]) -> DataFrame:
+    """One row per document with ``owner_area`` (bills) and ``made``: rows and rejects of
+    statements and notices, and rejects of documents that cannot be read at all.
 
-    A bill without an owner area cannot be read and yields nothing. The cut-out blocks are
-    partitioned by document while they are still one row each; their lines stay in place. The
-    outer forms of explode keep the optimizer from testing the arrays for emptiness beforehand,
-    which would run the patterns again.
+    A pattern is only evaluated for documents of its kind.
+    """
+    kind, dated = F.col("kind"), F.col("activity_through").isNotNull()
+    html, notice = dated & (kind == "html"), dated & (kind == "notice")
+
+    def readable(r: Column) -> Column:
+        return (F.size(r["t"]) == 7) & bill_date(F.get(r["t"], F.lit(3)), formats).isNotNull()
+
+    staged = docs.select(
+        *DOCUMENT, "kind", "text",
+        F.when(dated & (kind == "text"), F.regexp_extract("text", OWNER_AREA, 0)).alias("owner_area"),
+        F.when(html, _html_found(as_run)).alias("found"),
+        F.when(html & F.col("text").rlike(HTML_OWNER),
+               strip(F.regexp_extract("text", HTML_OWNER, 1))).alias("owner"),
+        F.when(notice, F.array(*[F.struct(
+            F.lit(key).alias("key"), F.lit(i).alias("line_no"),
+            F.col("text").rlike(pattern).alias("has"), _estimate(pattern).alias("printed"),
+            amount(_estimate(pattern)).alias("number"),
+        ) for i, (key, pattern) in enumerate((("gross income", INCOME), ("expenses", EXPENSES)))])
+        ).alias("estimates"),
+    ).withColumn("first_bad", F.array_position(F.transform("found", readable), False))
+
+    def rent(r: Column, i: Column) -> Column:
+        t = r["t"]
+        return _made_row(
+            r["section"], F.concat_ws(" ", cell(t, 0), cell(t, 1)), cell(t, 6), i,
+            due=bill_date(cell(t, 3), formats), meta=F.concat_ws(" ", cell(t, 4), cell(t, 5)),
+            apts=cell(t, 2))
+
+    none = F.slice(F.array(_made_row()), 1, 0)
+    first_bad = F.col("first_bad")
+    good = F.when(first_bad > 0, F.slice("found", F.lit(1), first_bad - 1)).otherwise(F.col("found"))
+    statement = F.when(F.col("owner").isNull(), F.array(_made_row(reason="owner"))).otherwise(F.concat(
+        F.array(_made_row(key=F.lit("Owner name"), value=F.col("owner"), line_no=F.lit(-2))),
+        F.transform(good, rent),
+        F.when(first_bad > 0, F.array(_made_row(
+            line_no=first_bad - 1, reason="row",
+            line=F.array_join(F.get("found", (first_bad - 1).cast("int"))["t"], " "),
+        ))).otherwise(none),
+    ))
+    income_read = F.get("estimates", F.lit(0))
+    hides = income_read["has"] & income_read["number"].isNull()
+    value_rows = F.filter(F.transform("estimates", lambda e: F.when(
+        e["number"].isNotNull() & ~((e["line_no"] == 1) & hides),
+        _made_row(F.lit("nopv"), e["key"], number_text(e["number"]), e["line_no"]),
+    ).when(e["has"] & e["number"].isNull(),
+           _made_row(line_no=e["line_no"], reason="amount", line=e["printed"]))),
+        lambda r: r.isNotNull())
+    made = (
+        F.when(~dated, F.array(_made_row(reason="date")))
+        .when(kind == "html", statement)
+        .when(kind == "notice", value_rows)
+        .when((kind == "text") & (F.col("owner_area") == ""), F.array(_made_row(reason="owner")))
+        .otherwise(none)
+    )
+    return staged.select(*DOCUMENT, "kind", "text", "owner_area", made.alias("made"))
+
+
+MADE = -10  # block number of rows that are read inside their document
+
+
+def document_lines(docs: DataFrame, as_run: bool = False,
+                   formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
+    """Lines of bills by block: owner (-2), mailing address (-1, its three lines joined by a literal
+    backslash-n), tax detail (0) and charge blocks (1, 2, ...); and, as block ``MADE``, what was
+    read or rejected inside a document.
+
+    Each text is read once, whatever its kind. The cut-out blocks are partitioned by document while
+    they are still one row each; their lines stay in place. The outer forms of explode keep the
+    optimizer from testing the arrays for emptiness beforehand, which would run the patterns again.
     """
     parts = [cells(F.regexp_extract("owner_area", OWNER_AREA, i)) for i in (1, 2, 3)]
     mailing = F.concat_ws("\\n", *[F.coalesce(cell(p, 1), F.lit("")) for p in parts])
+    unmade = F.get(F.slice(F.array(_made_row()), 1, 0), F.lit(0))
 
-    def block(number: int, content: Column) -> Column:
-        return F.struct(F.lit(number).alias("block"), content.alias("content"))
+    def block(number: Column, content: Column) -> Column:
+        return F.struct(number.cast("int").alias("block"), content.alias("content"), unmade.alias("made"))
 
     charge_blocks = F.transform(
-        F.regexp_extract_all("text", F.lit(CHARGE_BLOCK), F.lit(0)),
-        lambda b, i: F.struct((i + 1).alias("block"), b.alias("content")),
-    )
+        F.regexp_extract_all("text", F.lit(CHARGE_BLOCK), F.lit(0)), lambda b, i: block(i + 1, b))
     blocks = F.concat(
-        F.array(block(-2, cell(parts[0], 0)), block(-1, strip(mailing)),
-                block(0, F.regexp_extract("text", DETAIL_AREA, 0))),
+        F.array(block(F.lit(-2), cell(parts[0], 0)), block(F.lit(-1), strip(mailing)),
+                block(F.lit(0), F.regexp_extract("text", DETAIL_AREA, 0))),
         charge_blocks,
     )
+    inside = F.transform("made", lambda m: F.struct(
+        F.lit(MADE).alias("block"), F.lit("").alias("content"), m.alias("made")))
     number, content = F.col("b.block"), F.col("b.content")
     several = F.contains(content, F.lit("\n"))
-    readable = F.col("owner_area") != ""
     return (
-        _of_kind(docs, "text")
-        .withColumn("owner_area", F.regexp_extract("text", OWNER_AREA, 0))
-        .select(*DOCUMENT, F.when(readable, blocks).alias("blocks"))
+        _made(docs, as_run, formats)
+        .select(*DOCUMENT, "kind", F.when(F.col("owner_area") != "", F.concat(blocks, inside))
+                .otherwise(inside).alias("blocks"))
         .repartition("path")
-        .select(*DOCUMENT, F.explode_outer("blocks").alias("b"))
+        .select(*DOCUMENT, "kind", F.explode_outer("blocks").alias("b"))
         .filter((number < 0) | ((number == 0) & (content != "")) | several)
         .select(
-            *DOCUMENT, number.alias("block"),
+            *DOCUMENT, "kind", number.alias("block"), F.col("b.made").alias("made"),
             F.when(number > 0, cell(cells(F.substring_index(content, "\n", 1)), 0))
             .alias("heading"),
             F.posexplode_outer(
@@ -247,7 +342,7 @@ def _detail_fields(lines: DataFrame) -> DataFrame:
         lines = _unit_suffix(lines, suffix)
     return lines.withColumn("d", F.when(F.col("is_row"), F.struct(
         F.col("section_set").alias("section"), "key", "value", "meta", "apts", "bad",
-    ))).select(*DOCUMENT, "block", "heading", "line_no", "line", "d")
+    ))).select(*DOCUMENT, "kind", "made", "block", "heading", "line_no", "line", "d")
 
 
 def _unit_suffix(lines: DataFrame, suffix: str) -> DataFrame:
@@ -311,7 +406,7 @@ def drop_page_gaps(lines: DataFrame) -> DataFrame:
     )
 
 
-def _charge_fields(lines: DataFrame) -> DataFrame:
+def _charge_fields(lines: DataFrame, formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
     """Adds ``h``: key, due, activity, value, meta, apts, bad of a charge or owner line."""
     c, n = F.col("c"), F.size("c")
     c0, c1, c2 = (cell(c, i) for i in range(3))
@@ -328,11 +423,11 @@ def _charge_fields(lines: DataFrame) -> DataFrame:
     }).withColumns({
         "day_1": F.when(F.col("keep"), bill_date(
             F.when(rent, F.when(k == 4, cell(t, 2)).when(wide, cell(t, 3)))
-            .when(n.isin(3, 4), c1))),
+            .when(n.isin(3, 4), c1), formats)),
         "number_cell": F.when(F.col("keep"), F.when(rent, cell(t, -1)).when(listed, cell(c, -1))),
         "apts_cell": F.when(rent & wide, cell(t, 2)),
     }).withColumns({
-        "day_2": F.when(~rent & (n == 4) & F.col("day_1").isNull(), bill_date(c2)),
+        "day_2": F.when(~rent & (n == 4) & F.col("day_1").isNull(), bill_date(c2, formats)),
         "number": amount(F.col("number_cell")),
         "apts": whole(F.col("apts_cell")),
     })
@@ -359,14 +454,16 @@ def _charge_fields(lines: DataFrame) -> DataFrame:
         number_text(F.col("number")).alias("value"), meta.alias("meta"), "apts",
         F.coalesce(bad, F.lit(False)).alias("bad"),
     )
-    return lines.withColumn("h", F.when(F.col("keep"), charge).when(F.col("block") < 0, owner))
+    return lines.withColumn("h", F.when(F.col("keep"), charge).when(F.col("block").isin(-2, -1), owner))
 
 
-def _read_lines(docs: DataFrame) -> DataFrame:
-    """All lines with their fields, sticky section and due date, and ``failed`` from the first
-    unreadable line of a document on."""
+def _read_lines(docs: DataFrame, as_run: bool = False,
+                formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
+    """All lines with their fields, sticky section and due date, ``failed`` from the first
+    unreadable line of a document on, and ``first`` on that line."""
     _, so_far, doc_so_far = _windows()
-    lines = _charge_fields(drop_page_gaps(_detail_fields(bill_lines(docs))))
+    lines = document_lines(docs, as_run, formats)
+    lines = _charge_fields(drop_page_gaps(_detail_fields(lines)), formats)
     bad = F.coalesce(F.col("d.bad"), F.col("h.bad"), F.lit(False))
     return (
         lines.withColumn("section", F.when(
@@ -375,113 +472,70 @@ def _read_lines(docs: DataFrame) -> DataFrame:
         ).otherwise(F.col("heading")))
         .withColumn("due", F.last("h.due", ignorenulls=True).over(so_far))
         .withColumn("bad", bad)
-        .withColumn("failed", F.max("bad").over(doc_so_far))
+        .withColumn("failures", F.sum(F.col("bad").cast("int")).over(doc_so_far))
+        .withColumn("failed", F.col("failures") > 0)
+        .withColumn("first", F.col("bad") & (F.col("failures") == 1))
     )
 
 
-def _finish(lines: DataFrame) -> DataFrame:
-    block = F.col("block").cast("bigint")
-    at = F.when(block < 0, block).otherwise(block * BLOCK_STEP + F.col("line_no"))
-    return lines.filter(F.col("d").isNotNull() | F.col("h").isNotNull()).select(
-        _row(
-            F.col("section"), F.coalesce("d.key", "h.key"), F.coalesce("d.value", "h.value"), at,
-            duedate=F.when(F.col("block") > 0, F.col("due")), activitydate=F.col("h.activity"),
-            meta=F.coalesce("d.meta", "h.meta"),
-            apts=F.coalesce("d.apts", "h.apts").cast("string"),
-        )
-    )
+def _bills(docs: DataFrame) -> DataFrame:
+    return read_all(docs.filter(F.col("kind") == "text"))
 
 
 def bill_rows(docs: DataFrame) -> DataFrame:
     """All rows of bills; rows after an unreadable line of the same bill are dropped."""
-    return _finish(_read_lines(docs).filter(~F.col("failed")))
+    return rows_of(_bills(docs))
 
 
 def owner_address(docs: DataFrame) -> DataFrame:
     """Owner name and mailing address of bills."""
-    return _finish(_charge_fields(
-        bill_lines(docs).filter("block < 0").withColumns({
-            "c": F.array().cast("array<string>"), "skipped": F.lit(False),
-            "d": F.lit(None).cast("struct<section: string, key: string, value: string, "
-                                  "meta: string, apts: int, bad: boolean>"),
-            "section": _text(), "due": _date(),
-        })
-    ))
+    return bill_rows(docs).filter("line_no < 0")
 
 
 def detail_rows(docs: DataFrame) -> DataFrame:
-    return _finish(_read_lines(docs).filter((F.col("block") == 0) & ~F.col("failed")))
+    return bill_rows(docs).filter(F.col("line_no").between(0, BLOCK_STEP - 1))
 
 
 def charge_rows(docs: DataFrame) -> DataFrame:
-    return _finish(_read_lines(docs).filter((F.col("block") > 0) & ~F.col("failed")))
+    return bill_rows(docs).filter(F.col("line_no") >= BLOCK_STEP)
 
 
 def bill_rejects(docs: DataFrame) -> DataFrame:
     """First unreadable line of each bill, and bills without an owner area or a date."""
-    lines = _read_lines(docs).filter("bad")
-    first = lines.groupBy("path").agg(F.min(F.struct("block", "line_no", "line")).alias("f"))
-    broken = first.select(
-        "path", F.lit("line").alias("reason"), F.col("f.block").alias("block"),
-        F.col("f.line_no").alias("line_no"), F.col("f.line").alias("line"),
-    )
-    no_date = F.col("activity_through").isNull()
-    unread = docs.filter(
-        (F.col("kind") == "text") & (no_date | (F.regexp_extract("text", OWNER_AREA, 0) == ""))
-    ).select(
-        "path", F.when(no_date, "date").otherwise("owner").alias("reason"),
-        F.lit(None).cast("int").alias("block"), F.lit(None).cast("int").alias("line_no"),
-        _text().alias("line"),
-    )
-    return broken.unionByName(unread)
+    return rejects_of(_bills(docs)).drop("kind")
 
 
-def html_rows(docs: DataFrame) -> DataFrame:
-    """Owner, then stabilization rows, of HTML statements, up to the first row that is not seven
-    words with a date.
+def document_rejects(docs: DataFrame) -> DataFrame:
+    """What could not be read, of every kind: path, kind, reason, block, line_no, line.
 
-    A section starts after the first 16 characters and its columns stay on one line; values are
-    kept as printed. Works inside each document row, without a shuffle.
+    Reasons: ``date`` (no billing day), ``owner`` (bill or statement without one), ``line`` (first
+    unreadable line of a bill), ``row`` (first unreadable row of a statement), ``amount`` (an
+    estimate of a notice that is no number).
     """
-    text = F.expr("substring(text, 17)")
-    sections = F.arrays_zip(
-        F.regexp_extract_all(text, F.lit(HTML_BLOCK), F.lit(1)).alias("section"),
-        F.regexp_extract_all(text, F.lit(HTML_BLOCK), F.lit(0)).alias("content"),
-    )
-    found = F.flatten(F.transform(sections, lambda s: F.transform(
-        F.regexp_extract_all(s["content"], F.lit(HTML_RENT), F.lit(1)),
-        lambda line: F.struct(s["section"].alias("section"), tokens(line).alias("t")),
-    )))
-    first_bad = F.array_position(
-        F.transform("found", lambda r: (F.size(r["t"]) == 7)
-                    & bill_date(F.get(r["t"], F.lit(3))).isNotNull()),
-        False,
-    )
-    owner = F.struct(_text().alias("section"), F.array("owner").alias("t"))
-    readable = F.when(first_bad > 0, F.slice("found", F.lit(1), first_bad - 1)).otherwise(
-        F.col("found")
-    )
-    t, rent = F.col("t"), F.size("t") == 7
+    return rejects_of(read_all(docs))
 
-    def word(i: int) -> Column:
-        return F.when(rent, cell(t, i))
 
+def _inside(docs: DataFrame, kind: str, as_run: bool = False) -> DataFrame:
+    """Rows read inside the documents of a kind, without a shuffle."""
     return (
-        _of_kind(docs, "html").filter(F.col("text").rlike(HTML_OWNER))
-        .select(*DOCUMENT, found.alias("found"),
-                strip(F.regexp_extract("text", HTML_OWNER, 1)).alias("owner"))
-        .select(*DOCUMENT, F.posexplode_outer(F.concat(F.array(owner), readable)).alias("n", "r"))
-        .select(*DOCUMENT, "n", "r.section", "r.t")
-        .select(_row(
-            F.col("section"),
-            F.when(rent, F.concat_ws(" ", cell(t, 0), cell(t, 1))).otherwise("Owner name"),
-            F.when(rent, cell(t, 6)).otherwise(cell(t, 0)),
-            F.when(F.col("n") == 0, -2).otherwise(F.col("n") - 1), duedate=bill_date(word(3)),
-            meta=F.when(rent, F.concat_ws(" ", cell(t, 4), cell(t, 5))), apts=word(2),
-        ))
+        _made(_of_kind(docs, kind), as_run, DATE_FORMATS)
+        .select(*DOCUMENT, F.explode("made").alias("made")).filter(F.col("made.reason").isNull())
+        .select(_row(F.col("made.section"), F.col("made.key"), F.col("made.value"),
+                     F.col("made.line_no"), duedate=F.col("made.due"), meta=F.col("made.meta"),
+                     apts=F.col("made.apts")))
     )
 
 
+def html_rows(docs: DataFrame, as_run: bool = False) -> DataFrame:
+    """Owner, then stabilization rows, of HTML statements, up to the first row that is not seven
+    words with a date.
+
+    A section's columns stay on one line; values are kept as printed. ``as_run`` looks for sections
+    only after the first 16 characters.
+    """
+    return _inside(docs, "html", as_run)
+
+
 def html_owner(docs: DataFrame) -> DataFrame:
     return html_rows(docs).filter("line_no < 0")
 
@@ -513,22 +567,7 @@ def _estimate(pattern: str) -> Column:
 
 def value_notice_rows(docs: DataFrame) -> DataFrame:
     """Income and expense estimates; an unreadable income also hides the expenses."""
-    notices = _of_kind(docs, "notice").select(
-        *DOCUMENT,
-        F.col("text").rlike(INCOME).alias("has_income"),
-        amount(_estimate(INCOME)).alias("income"), amount(_estimate(EXPENSES)).alias("expenses"),
-    )
-    readable = ~F.col("has_income") | F.col("income").isNotNull()
-    pair = F.array(
-        F.struct(F.lit(0).alias("line_no"), F.lit("gross income").alias("key"),
-                 F.col("income").alias("number")),
-        F.struct(F.lit(1).alias("line_no"), F.lit("expenses").alias("key"),
-                 F.when(readable, F.col("expenses")).alias("number")),
-    )
-    return (
-        notices.select(*DOCUMENT, F.inline(pair)).filter(F.col("number").isNotNull())
-        .select(_row(F.lit("nopv"), F.col("key"), number_text(F.col("number")), F.col("line_no")))
-    )
+    return _inside(docs, "notice")
 
 
 def value_notice_wide(docs: DataFrame) -> DataFrame:
@@ -553,10 +592,55 @@ def value_notice_wide(docs: DataFrame) -> DataFrame:
     )
 
 
-def extract_all(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of all documents, and what could not be read."""
-    rows = bill_rows(docs).unionByName(html_rows(docs)).unionByName(value_notice_rows(docs))
-    return rows, bill_rejects(docs)
+def read_all(docs: DataFrame, as_run: bool = False,
+             formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
+    """Rows and rejects of all documents in one frame, from one scan of the texts.
+
+    Rows have a NULL ``reason``; rejects have NULL row columns and ``path``, ``kind``, ``block``,
+    ``reject_line``, ``line``. Write it once and take both parts from what was written.
+    """
+    lines = _read_lines(docs, as_run, formats).withColumn("reason", F.coalesce(
+        "made.reason", F.when(F.col("first"), F.lit("line"))))
+    block, inside = F.col("block").cast("bigint"), F.col("block") == MADE
+    at = F.when(inside, F.col("made.line_no").cast("bigint")).when(block < 0, block).otherwise(
+        block * BLOCK_STEP + F.col("line_no"))
+    is_row = F.col("reason").isNull()
+    any_row = ~F.col("failed") & (F.col("d").isNotNull() | F.col("h").isNotNull() | F.col("made").isNotNull())
+
+    def of_row(c: Column) -> Column:
+        return F.when(is_row, c)
+
+    fields = _row(
+        of_row(F.coalesce("made.section", "section")),
+        of_row(F.coalesce("made.key", "d.key", "h.key")),
+        of_row(F.coalesce("made.value", "d.value", "h.value")), of_row(at),
+        duedate=of_row(F.coalesce("made.due", F.when(F.col("block") > 0, F.col("due")))),
+        activitydate=of_row(F.col("h.activity")),
+        meta=of_row(F.coalesce("made.meta", "d.meta", "h.meta")),
+        apts=of_row(F.coalesce("made.apts", F.coalesce("d.apts", "h.apts").cast("string"))),
+    )
+    return lines.filter(F.col("reason").isNotNull() | any_row).select(
+        *fields, "kind", "reason", F.when(~is_row & ~inside, F.col("block")).alias("block"),
+        F.when(~is_row, F.when(inside, F.col("made.line_no")).otherwise(F.col("line_no"))).alias("reject_line"),
+        F.when(~is_row, F.when(inside, F.col("made.line")).otherwise(F.col("line"))).alias("line"),
+    )
+
+
+def rows_of(read: DataFrame) -> DataFrame:
+    return read.filter(F.col("reason").isNull()).select(*ROW_COLUMNS)
+
+
+def rejects_of(read: DataFrame) -> DataFrame:
+    return read.filter(F.col("reason").isNotNull()).select(
+        F.col("doc_path").alias("path"), "kind", "reason", "block",
+        F.col("reject_line").alias("line_no"), "line")
+
+
+def extract_all(docs: DataFrame, as_run: bool = False,
+                formats: Mapping[str, str] = DATE_FORMATS) -> tuple[DataFrame, DataFrame]:
+    """Rows of all documents, and what could not be read: two views of ``read_all``."""
+    read = read_all(docs, as_run, formats)
+    return rows_of(read), rejects_of(read)
 
 
 def line_shape(texts: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -47,6 +47,28 @@ def _quote(text: str) -> str:
     return f"'{escaped}'"
 
 
+def key_class(section: Column) -> Column:
+    """Class of a row by its section; stored rows have a folder for each."""
+    return (
+        F.when(section == "nopv", "notice")
+        .when(section.isNull(), "owner")
+        .when(section.startswith("details"), "details")
+        .otherwise("charges")
+    )
+
+
+def with_keys(raw: DataFrame, keys: Iterable[str], classes: Iterable[str] = ()) -> DataFrame:
+    """Rows whose key, in lower case, is one of ``keys``.
+
+    Stored rows (``read_raw_store``) are pruned by their key; ``classes``, if the keys occur in
+    no other, also picks the folders.
+    """
+    if "key_lc" not in raw.columns:
+        return raw.filter(F.lower("key").isin(list(keys)))
+    found = raw.filter(F.col("key_lc").isin(list(keys)))
+    return found.filter(F.col("key_class").isin(list(classes))) if classes else found
+
+
 def unit_counts(raw: DataFrame, cutoff: str = "2012-04-01", shift: int = 2,
                 unit_price: int = 10) -> DataFrame:
     """One row per registration line; units of non-numeric ids are recomputed from the fee.
@@ -58,7 +80,7 @@ def unit_counts(raw: DataFrame, cutoff: str = "2012-04-01", shift: int = 2,
     cents = F.call_function("div", (F.col("amount") * 100).cast("bigint"), F.lit(unit_price))
     repaired = F.round(cents.cast("decimal(19,0)") / 100).cast("int")
     return (
-        raw.filter(F.lower("key") == STABILIZATION_KEY.lower())
+        with_keys(raw, [STABILIZATION_KEY.lower()])
         .select(
             "bbl", "activitythrough", "duedate",
             F.when(F.col("duedate") > F.lit(cutoff).cast("date"), year - shift)
@@ -82,7 +104,7 @@ def abatements(raw: DataFrame, codes: Mapping[str, str] = EXEMPTION_CODES) -> Da
     """Count of exemption lines per lot, bill day and code."""
     key = F.lower("key")
     return (
-        raw.filter(key.isin(list(codes)))
+        with_keys(raw, codes)
         .groupBy("bbl", "activitythrough", literal_map(codes)[key].alias("abatement"))
         .agg(F.count(F.lit(1)).cast("int").alias("cnt"))
     )
@@ -90,7 +112,7 @@ def abatements(raw: DataFrame, codes: Mapping[str, str] = EXEMPTION_CODES) -> Da
 
 def keyed_rows(raw: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Rows whose key, in lower case, is one of ``keys``."""
-    return raw.filter(F.lower("key").isin(list(keys)))
+    return with_keys(raw, keys)
 
 
 def abatements_by_year(facts: DataFrame) -> DataFrame:
@@ -102,7 +124,7 @@ def abatements_by_year(facts: DataFrame) -> DataFrame:
 
 def _largest_by_year(raw: DataFrame, key: str, name: str) -> DataFrame:
     return (
-        raw.filter(F.lower("key") == key)
+        with_keys(raw, [key])
         .groupBy("bbl", F.year("activitythrough").alias("year"))
         .agg(F.max("value").alias(name))
     )
@@ -124,8 +146,8 @@ def owner_addresses(raw: DataFrame) -> DataFrame:
     key = F.lower("key")
     owner, address = key == "owner name", key == "mailing address"
     return (
-        raw.filter((owner | address) & F.col("bbl").isNotNull()
-                   & F.col("activitythrough").isNotNull())
+        with_keys(raw, ["owner name", "mailing address"])
+        .filter(F.col("bbl").isNotNull() & F.col("activitythrough").isNotNull())
         .groupBy("bbl", F.year("activitythrough").alias("year"))
         .agg(
             F.max(F.when(owner, F.col("value"))).alias("owner"),
@@ -182,17 +204,15 @@ def registrations(units: DataFrame, listed: DataFrame) -> DataFrame:
         F.max("units").alias("maxunits"),
         F.count_distinct("units").cast("int").alias("diffunits"),
     )
-    # A due date lies in the years 1 to 9999, so the set of published years that matter is bounded.
-    valid = F.col("year").between(1, 9999)
-    published = listed.agg(
+    known = listed.agg(
         F.struct(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("year").isNull()).alias("unknown"),
-            F.collect_set(F.when(valid, F.col("year"))).alias("years"),
-        ).alias("published")
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("year").isNull()).alias("unknown"),
+        ).alias("known")
     ).scalar()
-    never = (published["n"] == 0) | (
-        (published["unknown"] == 0) & ~F.array_contains(published["years"], F.col("ucyear"))
+    published = listed.select(F.col("year").alias("published")).distinct()
+    grouped = grouped.join(published, F.col("ucyear") == F.col("published"), "left")
+    never = (known["n"] == 0) | (
+        (known["unknown"] == 0) & F.col("ucyear").isNotNull() & F.col("published").isNull()
     )
     return grouped.select(
         "regno", "duedate", "ucyear", "dhcryear", "ucbbl", "dhcrbbl", "maxunits", "diffunits",
@@ -214,7 +234,10 @@ def listed_by_year(regs: DataFrame) -> DataFrame:
 
 def value_estimates(raw: DataFrame) -> DataFrame:
     """Income and expense estimates of value notices."""
-    return raw.filter(F.col("section") == "nopv").select(
+    notices = raw.filter(F.col("section") == "nopv")
+    if "key_class" in raw.columns:
+        notices = notices.filter(F.col("key_class") == "notice")
+    return notices.select(
         "bbl", "activitythrough", F.lower("key").alias("key"), "value"
     )
 

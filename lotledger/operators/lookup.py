@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotledger.functions.lots import block_of, borough_of, lot_of
 from lotledger.operators.facts import STABILIZATION_KEY
 
 
+def _place(raw: DataFrame) -> list[Column]:
+    """Where a row stood: document, then line."""
+    known = [F.col("doc_path")] if "doc_path" in raw.columns else []
+    return [*known, F.col("line_no")]
+
+
 def unit_history(raw: DataFrame) -> DataFrame:
     """Units per lot and due date, each registration id counted once (its first bill line).
 
@@ -19,7 +25,7 @@ def unit_history(raw: DataFrame) -> DataFrame:
         raw.filter(F.col("key") == STABILIZATION_KEY)
         .groupBy("bbl", "duedate", "meta")
         .agg(F.min(F.struct(
-            "activitythrough", "line_no", F.col("apts").try_cast("double").alias("apts")
+            "activitythrough", *_place(raw), F.col("apts").try_cast("double").alias("apts")
         )).alias("first"))
     )
     return firsts.groupBy("bbl", "duedate").agg(

@@ -159,11 +159,13 @@ def shards(lots: DataFrame, size: int) -> DataFrame:
 
     borough_at = running(per_borough, [], "borough", "borough_n", "borough_at")
     block_at = running(per_block, ["borough"], "block", "block_n", "block_at")
+    # Boroughs are few and large: their offsets go to the blocks, never to the lots by themselves.
+    block_first = block_at.join(borough_at.drop("borough_n"), "borough").select(
+        "borough", "block", (F.col("borough_at") + F.col("block_at")).alias("block_first"))
     placed = (
         running(per_lot, ["borough", "block"], "bbl", "n", "lot_at")
-        .join(block_at.drop("block_n"), ["borough", "block"])
-        .join(borough_at.drop("borough_n"), "borough")
-        .withColumn("first", F.col("borough_at") + F.col("block_at") + F.col("lot_at"))
+        .join(block_first, ["borough", "block"])
+        .withColumn("first", F.col("block_first") + F.col("lot_at"))
     )
     shard = F.explode(F.sequence(
         F.call_function("div", F.col("first"), F.lit(size)),

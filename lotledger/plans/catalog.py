@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,9 +178,12 @@ _BUILD: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+def _every_document(t: Tables) -> DataFrame:
+    return t.bill_documents().union(t.html_documents()).union(t.notice_documents())
+
+
 def _rows(t: Tables) -> DataFrame:
-    every = t.bill_documents().union(t.html_documents()).union(t.notice_documents())
-    return extract.extract_all(every)[0]
+    return extract.extract_all(_every_document(t))[0]
 
 
 def _document_units(t: Tables) -> DataFrame:
@@ -231,7 +234,7 @@ def _ingested(t: Tables) -> DataFrame:
         spark.readStream.schema(t.table("orders").schema)
         .option("pathGlobFilter", "orders.parquet").parquet(t.sf_dir)
     )
-    folder = ingest.working_folder(spark, tempfile.gettempdir())
+    folder = ingest.working_folder(spark)
     sink = f"{folder}/tables"
     ingest.start_ingest(
         streamed.bill_documents(), sink, f"{folder}/progress"
@@ -239,8 +242,18 @@ def _ingested(t: Tables) -> DataFrame:
     return ingest.ingested_rows(spark, sink)
 
 
-_DAYS = [f"202401{d:02d}" for d in range(1, 31)]
-_EVENT_PERIODS = [(d, "SOA", names.document_name(d, names.BILL, "pdf")) for d in _DAYS]
+
+def _days(t: Tables) -> list[str]:
+    """Every day from the first to the last event: as many as the table's range has, two of them read."""
+    first, last = t.table("events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    if first is None:
+        return []
+    return [(first + timedelta(d)).strftime("%Y%m%d") for d in range((last - first).days + 1)]
+
+
+def _event_periods(t: Tables) -> list[tuple[str, str, str]]:
+    return [(d, "SOA", names.document_name(d, names.BILL, "pdf")) for d in _days(t)]
+
 
 _BUILD |= {
     "owner_address_rows": lambda t: extract.owner_address(t.bill_documents()),
@@ -254,14 +267,15 @@ _BUILD |= {
     "document_rows": _rows,
     "document_units": _document_units,
     "bill_rejects": lambda t: extract.bill_rejects(t.bill_documents()),
+    "document_rejects": lambda t: extract.document_rejects(_every_document(t)),
     "classified_documents": _classified,
     "ingested_rows": _ingested,
     "line_shape": lambda t: extract.line_shape(t.table("documents"), "doc_id"),
     "work_list": lambda t: manifest.work_list(
-        _event_lots(t), _EVENT_PERIODS, t.event_files(), "https://example.org/StatementSearch"
+        _event_lots(t), _event_periods(t), t.event_files(), "https://example.org/StatementSearch"
     ),
     "missing_periods": lambda t: manifest.missing_periods(
-        _event_lots(t), _DAYS, t.table("events").select(
+        _event_lots(t), _days(t), t.table("events").select(
             F.col("user_id").alias("bbl"), F.date_format("ts", "yyyyMMdd").alias("period"))
     ),
     "converted_files": lambda t: manifest.converted(t.file_listing()),

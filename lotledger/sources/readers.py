@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotledger.operators.manifest import bad_lot_ids, good_lot_ids, lot_ids, parcel_ids
 
+# The columns of the published files.
 RAW_SCHEMA = (
     "bbl BIGINT, activitythrough DATE, section STRING, key STRING, duedate DATE, "
     "activitydate DATE, value STRING, meta STRING, apts STRING"
@@ -27,13 +28,21 @@ def _csv(spark: SparkSession, path: str, schema: str, multiline: bool = True) ->
     )
 
 
-def read_rawdata(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_rawdata(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Key/value rows from CSV with a header; empty is NULL, quotes are doubled.
 
-    A file with line breaks inside values cannot be split: pass ``multiline=False`` for large
-    files without any, or keep the rows in Parquet (``writers.write_rawdata``).
+    Files are split over tasks. ``multiline`` reads values with line breaks, one task per file.
+    A CSV does not say where a row stood: ``doc_path`` and ``line_no`` are NULL.
     """
-    return _csv(spark, path, RAW_SCHEMA, multiline)
+    return _csv(spark, path, RAW_SCHEMA, multiline).withColumns({
+        "doc_path": F.lit(None).cast("string"), "line_no": F.lit(None).cast("bigint"),
+    })
+
+
+def read_raw_store(spark: SparkSession, path: str) -> DataFrame:
+    """Rows kept by ``writers.write_rawdata``, with ``key_class`` and ``key_lc``, by which facts
+    skip folders and row groups."""
+    return spark.read.parquet(path)
 
 
 def read_official_totals(spark: SparkSession, path: str) -> DataFrame:

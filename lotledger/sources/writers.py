@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotledger.functions.lots import block_of, borough_of, lot_of, pad
+from lotledger.operators.facts import key_class
+from lotledger.operators.ordering import ordered
 
 HEADERS = {
     "bbl": "bbl", "activitythrough": "activityThrough", "section": "section", "key": "key",
@@ -30,13 +34,7 @@ def write_rawdata(rows: DataFrame, path: str) -> None:
     files sorted by it, let a scan for one key skip the rest. Notices and owner rows have their
     own classes. The rebalance hint evens out file sizes, splitting a class that is very large.
     """
-    key_class = (
-        F.when(F.col("section") == "nopv", "notice")
-        .when(F.col("section").isNull(), "owner")
-        .when(F.col("section").startswith("details"), "details")
-        .otherwise("charges")
-    )
-    keyed = rows.withColumns({"key_lc": F.lower("key"), "key_class": key_class})
+    keyed = rows.withColumns({"key_lc": F.lower("key"), "key_class": key_class(F.col("section"))})
     (
         keyed.hint("rebalance", "key_class").sortWithinPartitions("key_class", "key_lc", "bbl")
         .write.mode("overwrite").partitionBy("key_class").parquet(path)
@@ -60,9 +58,13 @@ def write_lot_json(rows: DataFrame, path: str) -> None:
     )
 
 
-def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:
-    """Delimited files with NULL as nothing; ``header=False`` for plain lot lists."""
-    df.write.mode("overwrite").csv(path, header=header, sep=sep, nullValue="", emptyValue='""',
+def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
+               order: Sequence[Column | str] = ()) -> None:
+    """Delimited files with NULL as nothing; ``header=False`` for plain lot lists.
+
+    With ``order`` the rows of all files, in the order of the file names, are in that order.
+    """
+    (ordered(df, order) if order else df).write.mode("overwrite").csv(path, header=header, sep=sep, nullValue="", emptyValue='""',
                                    quote='"', escape='"')
 
 

@@ -11,39 +11,56 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lotledger.operators.extract import extract_all
+from lotledger.operators.extract import read_all, rejects_of, rows_of
 from lotledger.sources.documents import classify_documents
 
-DOCUMENTS, ROWS, REJECTS = "documents", "rows", "rejects"
+DOCUMENTS, READ = "documents", "read"
 
 
-def working_folder(spark: SparkSession, local: str) -> str:
-    """A new folder below the cluster's shared ``spark.checkpoint.dir``; ``local`` only when the
-    session names none (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or local}/ingest-{uuid4().hex}"
+def working_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``, else below the warehouse, both shared by driver
+    and executors."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/ingest-{uuid4().hex}"
+
+
+def _slot(path: Column) -> Column:
+    return F.pmod(F.xxhash64(path), F.lit(SLOTS)).cast("int")
+
+
+SLOTS = 256  # folders of the list of documents, by hash of the path
 
 
 def earlier_documents(spark: SparkSession, sink: str, batch: int) -> DataFrame:
-    known = spark.read.schema("path STRING, batch BIGINT").parquet(f"{sink}/{DOCUMENTS}")
-    return known.filter(F.col("batch") < batch).select("path")
+    known = spark.read.schema("path STRING, batch BIGINT, slot INT").parquet(f"{sink}/{DOCUMENTS}")
+    return known.filter(F.col("batch") < batch).select("slot", "path")
 
 
 def read_batch(sink: str) -> Callable[[DataFrame, int], None]:
-    """Handler that reads one batch of documents into ``sink``."""
+    """Handler that reads one batch of documents into ``sink``.
+
+    New documents are chosen on their paths alone. Rows and rejects are one table, written once.
+    """
 
     def handle(docs: DataFrame, batch: int) -> None:
         spark = docs.sparkSession
-        docs = docs.dropDuplicates(["path"])
+        paths = docs.groupBy("path").agg(F.count(F.lit(1)).alias("copies")).withColumn(
+            "slot", _slot(F.col("path")))
         if batch > 0:
-            docs = docs.join(earlier_documents(spark, sink, batch), "path", "left_anti")
-        rows, rejects = extract_all(docs)
-        for name, part in ((ROWS, rows), (REJECTS, rejects), (DOCUMENTS, docs.select("path"))):
-            part.write.mode("overwrite").parquet(f"{sink}/{name}/batch={batch}")
+            paths = paths.join(earlier_documents(spark, sink, batch), ["slot", "path"], "left_anti")
+        paths.select("path", "slot").hint("rebalance", "slot").write.mode("overwrite").partitionBy(
+            "slot").parquet(f"{sink}/{DOCUMENTS}/batch={batch}")
+        fresh = spark.read.schema("path STRING, slot INT").parquet(f"{sink}/{DOCUMENTS}/batch={batch}")
+        again = paths.filter("copies > 1").limit(1).count() > 0
+        if batch > 0 or again:
+            docs = docs.join(fresh.select("path"), "path", "left_semi")
+        if again:  # only documents that a batch repeats are compared by text
+            docs = docs.dropDuplicates(["path"])
+        read_all(docs).write.mode("overwrite").parquet(f"{sink}/{READ}/batch={batch}")
 
     return handle
 
@@ -74,4 +91,8 @@ def ingest_stream(spark: SparkSession, root: str, sink: str, checkpoint: str) ->
 
 
 def ingested_rows(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.parquet(f"{sink}/{ROWS}").drop("batch")
+    return rows_of(spark.read.parquet(f"{sink}/{READ}"))
+
+
+def ingested_rejects(spark: SparkSession, sink: str) -> DataFrame:
+    return rejects_of(spark.read.parquet(f"{sink}/{READ}"))

@@ -68,8 +68,9 @@ def compare(spark, con, sf_dir, query, sql) -> str | None:
     got = rows_of(df.columns, collected)
     want = rows_of(rel.columns, rel.fetchall())
     if got != want:
-        extra = [r for r in got if r not in set(want)][:2]
-        lack = [r for r in want if r not in set(got)][:2]
+        there, here = set(want), set(got)
+        extra = [r for r in got if r not in there][:2]
+        lack = [r for r in want if r not in here][:2]
         return f"rows {len(got)} vs {len(want)}; only spark {extra}; only oracle {lack}"
     if not got:
         return "EMPTY"

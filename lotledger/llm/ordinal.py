@@ -3,8 +3,8 @@
 Grades are 0 .. K-1. One weight vector over hashed text features is shared by all grades, and
 ordered thresholds cut its score: P(grade <= k) = sigmoid(threshold[k] - score). The expected grade
 and the tail probabilities P(grade >= k) follow. The features are a text's words (hashed, A-Z
-lower-cased) and its pairs of neighbouring bytes, each as a share of their number, so they do not
-depend on the text's length.
+lower-cased), its pairs of neighbouring bytes, and whether a word repeats the one before it, each as
+a share of their number, so they do not depend on the text's length.
 """
 
 from __future__ import annotations
@@ -25,12 +25,13 @@ STEPS = 250
 SCALE = 30.0
 
 
-def _parts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of the words and of the byte pairs of a text."""
+def _parts(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature numbers of the words, of the byte pairs and of the words' repeats of a text."""
     raw = utf8(text)
-    words = (word_hashes(raw.lower()) >> np.uint64(47)).astype(np.int64)
+    hashes = word_hashes(raw.lower())
     a = np.frombuffer(raw, np.uint8).astype(np.uint16)
-    return words, ((a[:-1] << 8) | a[1:]).astype(np.int64) + WORDS
+    return ((hashes >> np.uint64(47)).astype(np.int64), ((a[:-1] << 8) | a[1:]).astype(np.int64) + WORDS,
+            (hashes[1:] == hashes[:-1]).astype(np.int64) + WORDS + PAIRS)
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +55,7 @@ class Ordinal:
     """Weights and thresholds; ``fit`` minimises the negative log-likelihood by Adam, all rows a step."""
 
     def __init__(self, grades: int):
-        self.w = np.zeros(WORDS + PAIRS)
+        self.w = np.zeros(WORDS + PAIRS + 2)
         self.raw = np.zeros(grades - 1)  # first threshold, then logs of the steps to the next
 
     @property
@@ -92,10 +93,10 @@ class Ordinal:
 
     def tails(self, text: str | None) -> np.ndarray:
         """P(grade >= k) for k = 1 .. K-1; zeros for a text without words."""
-        words, pairs = _parts(text)
-        if not len(words):
+        parts = _parts(text)
+        if not len(parts[0]):
             return np.zeros(len(self.raw))
-        score = SCALE * (self.w[words].mean() + (self.w[pairs].mean() if len(pairs) else 0.0))
+        score = SCALE * sum(self.w[p].mean() for p in parts if len(p))
         return 1 - _sigmoid(self.thresholds - score)
 
 

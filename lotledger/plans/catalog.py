@@ -17,12 +17,13 @@ from lotledger.operators import (
     income,
     lookup,
     manifest,
+    ordering,
     panel,
     quality,
     summaries,
 )
 from lotledger.plans import adapters as ad
-from lotledger.sources import documents
+from lotledger.sources import documents, readers, writers
 from lotledger.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -298,6 +299,97 @@ _BUILD |= {
 }
 
 
+RAW = [c.split()[0] for c in readers.RAW_SCHEMA.split(", ")]
+OFFICIAL = [tuple(c.split()) for c in readers.OFFICIAL_SCHEMA.split(", ")]
+
+
+def _place(t: Tables, name: str) -> str:
+    return f"{ingest.working_folder(t.spark)}/{name}"
+
+
+def _kept_csv(t: Tables) -> DataFrame:
+    """Rows written as CSV and read back; their text has no line breaks, so files are split."""
+    path = _place(t, "rawdata")
+    writers.write_rawdata_csv(t.rawdata(), path)
+    return readers.read_rawdata(t.spark, path).select(*RAW)
+
+
+def _store(t: Tables) -> DataFrame:
+    path = _place(t, "store")
+    writers.write_rawdata(t.rawdata(), path)
+    return readers.read_raw_store(t.spark, path)
+
+
+def _kept_official(t: Tables) -> DataFrame:
+    path, own = _place(t, "official"), t.official()
+    wide = own.select(*[F.col(n) if n in own.columns else F.lit(None).cast(k).alias(n) for n, k in OFFICIAL])
+    writers.export_csv(wide, path)
+    return readers.read_official_totals(t.spark, path).select(*own.columns)
+
+
+def _kept_addresses(t: Tables) -> DataFrame:
+    path = _place(t, "addresses")
+    lots = t.lots().select(F.substring_index("address", " ", 1).alias("house_no"),
+                           F.lit("MAIN ST").alias("street"), F.col("borough_no").cast("int").alias("borough"))
+    writers.export_csv(lots, path, header=False, sep="\t", order=["house_no", "borough"])
+    return readers.read_address_list(t.spark, path)
+
+
+def _kept_roll(t: Tables) -> DataFrame:
+    path = _place(t, "roll")
+    writers.export_csv(t.lots().select(F.col("bbl").cast("string"), "ownername"), path, header=False, order=["bbl"])
+    return readers.read_assessment_roll(t.spark, path)
+
+
+def _kept_json(t: Tables) -> DataFrame:
+    """Rows of the parcels' notices as JSON, a folder per lot."""
+    path = _place(t, "json")
+    writers.write_lot_json(t.rawdata().filter("section = 'nopv'"), path)
+    return t.spark.read.schema("bbl BIGINT, activityThrough DATE, key STRING, value STRING").json(
+        path, recursiveFileLookup=True)
+
+
+def _kept_relayout(t: Tables) -> DataFrame:
+    path = _place(t, "relayout")
+    writers.write_relayout(manifest.relayout(_folder_keys(t), "key"), path)
+    return t.spark.read.schema("key STRING, borough STRING, block STRING, lot STRING").parquet(path)
+
+
+def _ranked_keys(t: Tables) -> DataFrame:
+    """Keys by falling frequency, then by name."""
+    found = facts.key_frequency(t.rawdata())
+    return ordering.numbered(found, [F.desc("count"), F.asc_nulls_last("key")])
+
+
+def _ranked_ids(t: Tables) -> DataFrame:
+    found = facts.nonnumeric_ids(t.counts()).select("meta").distinct()
+    return ordering.numbered(found, [F.asc_nulls_first("meta")])
+
+
+def _extracted(t: Tables) -> DataFrame:
+    """Rows of printed bills, stored and read back: what the facts start from."""
+    path = _place(t, "extracted")
+    writers.write_rawdata(extract.bill_rows(t.bill_documents()), path)
+    return readers.read_raw_store(t.spark, path)
+
+
+_BUILD |= {
+    "kept_rawdata_csv": _kept_csv,
+    "kept_raw_store": lambda t: _store(t).select(*RAW),
+    "stored_abatements": lambda t: facts.abatements(_store(t)),
+    "kept_official": _kept_official,
+    "kept_addresses": _kept_addresses,
+    "kept_roll": _kept_roll,
+    "kept_lot_json": _kept_json,
+    "kept_relayout": _kept_relayout,
+    "ranked_keys": _ranked_keys,
+    "ranked_ids": _ranked_ids,
+    "extracted_unit_counts": lambda t: facts.unit_counts(_extracted(t), cutoff=ad.CUTOFF),
+    "extracted_unit_history": lambda t: lookup.unit_history(_extracted(t)),
+    "extracted_lot_summary": lambda t: lookup.lot_summary(_extracted(t)),
+}
+
+
 def _query(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Tables(spark, sf_dir))
 

@@ -3,25 +3,25 @@
 The incidence matrix has a row per document and a column per n-gram; the product with its transpose
 counts overlaps. Only blocks that can hold a link are multiplied:
 
-1. Sizes give the bounds. Linked documents a <= b have ``100 a >= t b``, so they fall in the same or
-   the next size class, and differ in at most ``d`` n-grams, a number that follows from the class.
-   With the n-grams split by hash into more than ``d`` parts, linked documents agree on a whole
-   part. One hash per part is all that is shuffled; rows that share none are never multiplied.
-   This is exact: no link is lost.
-2. Documents joined by shared parts form row groups. A group is cut into blocks of bounded size; a
-   task multiplies one block (or a pair of blocks) of the incidence matrix, accumulates overlap
-   counts, discards pairs below the overlap that their sizes ask for, and returns the edges of a
-   spanning forest of the links it found, never the pairs.
-3. Large groups take three passes: each block alone; one row per class found so far; and only for
+1. One pass counts all n-grams in a table of fixed size, by hash. That orders the columns, rare ones
+   first; n-grams of passages that many documents share come last. Counts that fall together make
+   the order worse, never the result.
+2. Sizes give the bounds. Two linked documents share ``ceil(t * size)`` n-grams of either, so their
+   first ``size - ceil(t * size) + 1`` columns in that order have one in common. Those are all that
+   is shuffled. Rows that share one and whose sizes allow a link are joined to row groups; rows that
+   share none are never multiplied. This is exact: no link is lost.
+3. A group is cut into blocks of bounded size; a task multiplies one block (or a pair of blocks) of
+   the incidence matrix, accumulates overlap counts, discards pairs below the overlap that their
+   sizes ask for, and returns the edges of a spanning forest of the links it found, never the pairs.
+4. Large groups take three passes: each block alone; one row per class found so far; and only for
    groups that still have several classes, all pairs of blocks. A group of near copies thus costs
    in proportion to its size, and a link between any two rows is still found.
 
-Rows with equal sets are merged beforehand; they are linked by definition.
+Rows with equal sets are linked by definition and compared through one of them.
 """
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -36,49 +36,46 @@ from lotledger.llm.hashing import mix, shingles
 
 BLOCK = 512
 BUCKETS = 256
+COUNTERS = 22  # binary logarithm of the number of counters
 DENSE = 24   # documents from which a column is multiplied as a dense one
 
 
-@functools.lru_cache(maxsize=100_000)
-def _classes(t: int, upto: int) -> tuple[list[int], list[tuple[int, int, int]]]:
-    """(first sizes, (d, parts, spare) per class) of size classes that reach beyond ``upto``.
+def counted(docs: DataFrame, n: int, bits: int = COUNTERS) -> np.ndarray:
+    """How often n-grams of each of ``2 ** bits`` hash classes occur, as rounded binary logarithms.
 
-    ``parts`` exceeds ``d`` by more than ``spare``, so linked documents agree on more than
-    ``spare`` parts: a document with at most ``spare`` empty parts need not send these.
+    Tasks add up their counts; the sums are taken by ranges of classes. The result has a byte per
+    class, whatever the data.
     """
-    first, plan = [1], []
-    while len(plan) < 2 or first[-2] <= upto:
-        low = first[-1]
-        nxt = max(low + 1, low * 100 // t + 1)
-        high = max(low, nxt - 1)
-        d = (100 - t) * 2 * high // (100 + t)
-        least = max(1, low * t // 100)
-        spare = 1
-        while spare < 2 * (d + 1 + spare) * math.exp(-least / (d + 1 + spare)) and spare < d + 8:
-            spare += 1
-        plan.append((d, d + 1 + spare, spare))
-        first.append(nxt)
-    return first, plan
-
-
-def signatures(grams: np.ndarray, t: int) -> np.ndarray:
-    """The hashes of a document's parts, for its own size class and the next."""
-    size = len(grams)
-    first, plan = _classes(t, 1 << size.bit_length())
-    own = int(np.searchsorted(first, size, side="right")) - 1
-    salted = np.zeros(size + 1, np.uint64)
-    np.cumsum(mix(grams ^ np.uint64(0x5851F42D4C957F2D)), out=salted[1:])
-    out = []
-    for level in (own, own + 1):
-        _, parts, spare = plan[level]
-        part = ((grams >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        edge = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-        total, count = salted[edge[1:]] - salted[edge[:-1]], np.diff(edge)
-        name = np.arange(parts, dtype=np.uint64) + np.uint64((level + 1) << 32)
-        sig = mix(total + mix(name) + count.astype(np.uint64))
-        full = count > 0
-        out.append(sig if parts - full.sum() > spare else sig[full])
-    return np.concatenate(out)
+    parts, width = 64, (1 << bits) // 64
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            found = [shingles(text, n) for text in batch.column(0).to_pylist()]
+            counts += np.bincount((np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64),
+                                  minlength=1 << bits).astype(np.uint32)
+        rows = [counts[k * width:(k + 1) * width].tobytes() for k in range(parts)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array(rows, pa.binary())], names=["part", "counts"])
+
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(width)
+        for raw in frame["counts"]:
+            total += np.frombuffer(raw, np.uint32)
+        level = np.rint(4 * np.log2(total + 1)).astype(np.uint8)  # a quarter of a bit is fine enough
+        return pd.DataFrame({"part": frame["part"].iloc[:1], "counts": [level.tobytes()]})
+
+    schema = "part int, counts binary"
+    done = docs.select("text").mapInArrow(read, schema).groupBy("part").applyInPandas(add, schema).toPandas()
+    if not len(done):
+        return np.zeros(1 << bits, np.uint8)
+    return np.frombuffer(b"".join(done.sort_values("part")["counts"]), np.uint8)
+
+
+def prefix(grams: np.ndarray, level: np.ndarray, t: int) -> np.ndarray:
+    """The first ``size - ceil(t * size) + 1`` n-grams in the common order: by count, then by hash."""
+    size, bits = len(grams), len(level).bit_length() - 1
+    order = np.argsort(level[(grams >> np.uint64(64 - bits)).astype(np.int64)], kind="stable")
+    return grams[order[:size + (-t * size) // 100 + 1]]
 
 
 def overlaps(rows: list[np.ndarray]) -> np.ndarray:
@@ -121,18 +118,19 @@ def block_links(ids: np.ndarray, rows: list[np.ndarray], label: np.ndarray, t: i
     return forest(ids[a].tolist(), ids[b].tolist())
 
 
-_KEYS = "doc_id long, n_shingles long, k1 long, k2 long, bucket int, sig binary, ids binary"
+_KEYS = "doc_id long, n_shingles long, k1 long, k2 long, bucket int, sig binary, ids binary, sizes binary"
 
 
 def _scanned(docs: DataFrame, n: int, t: int, buckets: int) -> DataFrame:
-    """One scan of the texts: a row per document (bucket -1) with size and set key, and rows of
-    part hashes by bucket. Of documents with equal sets in a batch only the first sends hashes."""
+    """A row per document (bucket -1) with size and set key, and rows of prefix n-grams by bucket.
+    Of documents with equal sets in a batch only the first sends n-grams."""
+    shared = docs.sparkSession.sparkContext.broadcast(counted(docs, n))  # a byte per counter
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 part = whole.slice(at, 1024)
-                keys, sigs, owners, seen = [], [], [], set()
+                keys, sigs, owners, sizes, seen = [], [], [], [], set()
                 for doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
                     grams = shingles(text, n)
                     k1 = int(mix(grams).sum(dtype=np.uint64).view(np.int64)) if len(grams) else 0
@@ -140,39 +138,49 @@ def _scanned(docs: DataFrame, n: int, t: int, buckets: int) -> DataFrame:
                     keys.append((doc_id, len(grams), k1, k2))
                     if doc_id is not None and len(grams) and (len(grams), k1, k2) not in seen:
                         seen.add((len(grams), k1, k2))
-                        sigs.append(signatures(grams, t))
+                        sigs.append(prefix(grams, shared.value, t))
                         owners.append(np.full(len(sigs[-1]), doc_id, np.int64))
-                rows = [(*k, -1, None, None) for k in keys]
+                        sizes.append(np.full(len(sigs[-1]), len(grams), np.uint32))
+                rows = [(*k, -1, None, None, None) for k in keys]
                 if sigs:
-                    sig, owner = np.concatenate(sigs), np.concatenate(owners)
+                    sig, owner, size = np.concatenate(sigs), np.concatenate(owners), np.concatenate(sizes)
                     bucket = ((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                     order = np.argsort(bucket, kind="stable")
-                    sig, owner, bucket = sig[order], owner[order], bucket[order]
+                    sig, owner, size, bucket = sig[order], owner[order], size[order], bucket[order]
                     cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
                     for x, y in zip(cuts, np.append(cuts[1:], len(sig))):
                         # Five bytes of the hash are enough: a chance match costs a test, no more.
                         low = np.ascontiguousarray(sig[x:y].view(np.uint8).reshape(-1, 8)[:, :5])
-                        rows.append((None, None, None, None, int(bucket[x]), low.tobytes(), owner[x:y].tobytes()))
+                        rows.append((None, None, None, None, int(bucket[x]), low.tobytes(),
+                                     owner[x:y].tobytes(), size[x:y].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (
-                    *[pa.int64()] * 4, pa.int32(), pa.binary(), pa.binary()))],
+                    *[pa.int64()] * 4, pa.int32(), *[pa.binary()] * 3))],
                     names=[x.split()[0] for x in _KEYS.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, _KEYS)
 
 
-def _shared_parts(frame: pd.DataFrame) -> pd.DataFrame:
-    """Edges between documents that share part hashes, as a spanning forest."""
-    low = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(-1, 5)
-    sig = np.zeros((len(low), 8), np.uint8)
-    sig[:, :5] = low
-    sig = sig.view(np.uint64).ravel()
-    ids = np.frombuffer(b"".join(frame["ids"]), np.int64)
-    order = np.lexsort((ids, sig))
-    sig, ids = sig[order], ids[order]
-    first = np.concatenate(([True], sig[1:] != sig[:-1]))
-    head = ids[np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))]
-    pairs = np.unique(np.stack([ids, head], 1)[ids != head], axis=0)
-    return pd.DataFrame(forest(pairs[:, 0].tolist(), pairs[:, 1].tolist()), columns=["a", "b"])
+def _shared(t: int):
+    """Edges, as a spanning forest, between documents that share an n-gram of their prefixes.
+
+    Those that share one are sorted by size and joined each to the next, unless the next is too
+    large for a link: of two that may link, all between them may too.
+    """
+
+    def join(frame: pd.DataFrame) -> pd.DataFrame:
+        low = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(-1, 5)
+        sig = np.zeros((len(low), 8), np.uint8)
+        sig[:, :5] = low
+        sig = sig.view(np.uint64).ravel()
+        ids = np.frombuffer(b"".join(frame["ids"]), np.int64)
+        size = np.frombuffer(b"".join(frame["sizes"]), np.uint32).astype(np.int64)
+        order = np.lexsort((ids, size, sig))
+        sig, ids, size = sig[order], ids[order], size[order]
+        near = (sig[1:] == sig[:-1]) & (100 * size[:-1] >= t * size[1:]) & (ids[1:] != ids[:-1])
+        pairs = np.unique(np.stack([ids[1:][near], ids[:-1][near]], 1), axis=0)
+        return pd.DataFrame(forest(pairs[:, 0].tolist(), pairs[:, 1].tolist()), columns=["a", "b"])
+
+    return join
 
 
 def _multiplied(rows: DataFrame, n: int, t: int) -> DataFrame:
@@ -250,8 +258,8 @@ def joined(docs: DataFrame, n: int = 5, t: int = 80, block: int = BLOCK, buckets
     """
     scan = written(_scanned(docs, n, t, buckets))
     keys = scan.where("bucket = -1").select("doc_id", "n_shingles", "k1", "k2")
-    shared = scan.where("bucket >= 0").select("bucket", "sig", "ids").groupBy("bucket").applyInPandas(
-        _shared_parts, "a long, b long")
+    shared = scan.where("bucket >= 0").select("bucket", "sig", "ids", "sizes").groupBy("bucket").applyInPandas(
+        _shared(t), "a long, b long")
     groups = components(thinned(shared, "a", "b"), "a", "b")
     edges = _linked(docs, groups, n, t, block)
     least = written(keys.where("n_shingles > 0").groupBy("n_shingles", "k1", "k2").agg(

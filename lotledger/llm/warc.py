@@ -55,11 +55,14 @@ def record(page_id: int | None, uri: str | None, payload: bytes | None, size: in
             f"WARC-Payload-Digest: sha1:{digest32}", f"WARC-Block-Digest: sha1:{digest(block)}",
             "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}",
             f"X-Payload-Length: {size}"]
-    head += [f"X-Page-ID: {page_id}"] * (page_id is not None)
-    head += [f"WARC-Target-URI: {_clean(uri)}"] * (uri is not None)
+    if page_id is not None:
+        head.append(f"X-Page-ID: {page_id}")
+    if uri is not None:
+        head.append(f"WARC-Target-URI: {_clean(uri)}")
     if original:
         head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {original[1]}"]
-        head += [f"X-Refers-To-Page-ID: {original[0]}"] * (original[0] is not None)
+        if original[0] is not None:
+            head.append(f"X-Refers-To-Page-ID: {original[0]}")
     return "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 

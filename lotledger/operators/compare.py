@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotledger.functions.lots import borough_of
 from lotledger.operators.panel import yearly_pairs
+from lotledger.operators.quality import one_per
 
 
 def yearly_moves(panel: DataFrame) -> DataFrame:
@@ -24,12 +25,13 @@ def yearly_moves(panel: DataFrame) -> DataFrame:
 
 
 def _official(official: DataFrame) -> DataFrame:
-    return official.select(
+    """Official totals, one row per borough and year."""
+    return one_per(official.select(
         F.col("borough").cast("bigint").alias("o_borough"), F.col("year").alias("o_year"),
         F.col("net").cast("double").alias("o_net"),
         F.col("total_sub").alias("o_sub"),
         F.col("total_add").cast("double").alias("o_add"),
-    )
+    ), ["o_borough", "o_year"])
 
 
 def _int(c: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotledger.functions.text import amount
 from lotledger.operators.panel import cell_of
+from lotledger.operators.quality import one_per
 
 INCOME_PARCEL_COLUMNS = [
     "lon", "lat", "cd", "ct2010", "council", "zipcode", "address", "ownertype", "ownername",
@@ -46,7 +47,8 @@ def income_by_year(estimates: DataFrame, lots: DataFrame, years: Sequence[int],
             for y in years
         ])
     )
-    return by_lot.join(lots, F.col("n_bbl") == F.col("bbl")).select(
+    parcels = one_per(lots.select("bbl", *INCOME_PARCEL_COLUMNS), ["bbl"])
+    return by_lot.join(parcels, F.col("n_bbl") == F.col("bbl")).select(
         "bbl", *INCOME_PARCEL_COLUMNS, *[f"income{y % 100:02d}" for y in years]
     )
 
@@ -74,7 +76,7 @@ def exempt_lots(raw: DataFrame, panel: DataFrame, lots: DataFrame, estimates: Da
         F.col("ucbbl").alias("bbl"),
         cell_of(years, count_year, "uc").alias("registered_stabilized_apts"),
     )
-    parcels = lots.select("bbl", F.coalesce("unitsres", "unitstotal").alias("pluto_apts"))
+    parcels = one_per(lots.select("bbl", F.coalesce("unitsres", "unitstotal").alias("pluto_apts")), ["bbl"])
     latest = F.struct("activitythrough", amount(F.col("value")).alias("v"))
     notices = estimates.groupBy("bbl").agg(
         F.max(F.when(F.col("key") == "gross income", latest))["v"].cast("float")

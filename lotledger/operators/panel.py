@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotledger.operators.quality import one_per
+
 PARCEL_COLUMNS = [
     "cd", "ct2010", "cb2010", "council", "zipcode", "address", "ownername", "numbldgs",
     "numfloors", "unitsres", "unitstotal", "yearbuilt", "condono", "lon", "lat",
@@ -78,7 +80,7 @@ def panel(regs: DataFrame, abatements: DataFrame, lots: DataFrame,
                f"THEN abatement END)), ','), '') AS abat{y}")
         for y in years
     ])
-    parcel = lots.select(F.col("bbl").alias("lot_bbl"), "borough", *PARCEL_COLUMNS)
+    parcel = one_per(lots.select(F.col("bbl").alias("lot_bbl"), "borough", *PARCEL_COLUMNS), ["lot_bbl"])
     cells = _cells("{0}", "uc{0}", "'N'", "dhcr{0}", "abat{0}", years)
     return (
         by_lot.join(codes, F.col("ucbbl") == F.col("bbl"), "left")
@@ -126,6 +128,8 @@ def fill(panel: DataFrame, years: Sequence[int], policy: str = "as_run") -> Data
     """
     if policy not in POLICIES:
         raise ValueError(f"unknown policy {policy}")
+    if len(years) < 2:
+        return panel  # no year to fill from
     loose, marked = years[1], years[2] if policy == "as_run" and len(years) > 2 else None
 
     def regulated(cell: Column) -> Column:

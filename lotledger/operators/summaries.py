@@ -27,7 +27,7 @@ def changes_summary(panel: DataFrame, years: Sequence[int], first: int | None =
                     last: int | None = None) -> DataFrame:
     """Change per lot between two years; a missing count is 0. Needs no shuffle.
 
-    Parcels are unique by lot (``quality.assert_unique``), so attributes need no aggregate.
+    The panel has one row per lot, so attributes need no aggregate.
     """
     first, last = first or years[0], last or years[-1]
 

@@ -373,7 +373,24 @@ def _extracted(t: Tables) -> DataFrame:
     return readers.read_raw_store(t.spark, path)
 
 
+def _key_violations(t: Tables) -> DataFrame:
+    """The derived tables with the keys that they must have."""
+    return quality.violations({
+        "lots": (t.lots(), ["bbl"]),
+        "official": (t.official(), ["borough", "year"]),
+        "abatements": (t.abatements(), ["bbl", "activitythrough", "abatement"]),
+        "abatements_by_year": (t.abatements_by_year(), ["bbl", "year"]),
+        "owner_addresses": (facts.owner_addresses(t.rawdata()), ["bbl", "year"]),
+        "registrations": (t.registrations(), ["ucbbl", "dhcrbbl", "regno", "duedate"]),
+        "units_by_year": (t.units_by_year(), ["ucbbl", "ucyear"]),
+        "listed_by_year": (t.listed_by_year(), ["dhcrbbl", "dhcryear"]),
+        "panel": (t.unfilled(), ["ucbbl"]),
+        "registrations_short": (t.registrations(), ["ucbbl", "duedate"]),
+    })
+
+
 _BUILD |= {
+    "key_violations": _key_violations,
     "kept_rawdata_csv": _kept_csv,
     "kept_raw_store": lambda t: _store(t).select(*RAW),
     "stored_abatements": lambda t: facts.abatements(_store(t)),

@@ -9,12 +9,14 @@ id lies in exactly one piece; only the last window has padding.
 from __future__ import annotations
 
 import functools
+import json
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
@@ -29,42 +31,46 @@ KNOWN = 400_000
 BATCH = 128
 
 
+def _ranks(path: str) -> dict[bytes, int]:
+    """Tokens of a byte-level tokenizer file as bytes, with their ids, which must follow the order
+    of the merges; then a piece's merges can be found from the ids alone."""
+    model = json.loads(Path(path).read_text())["model"]
+    vocab = model["vocab"]
+    for k, merge in enumerate(model["merges"]):
+        pair = merge.split(" ") if isinstance(merge, str) else merge
+        if vocab["".join(pair)] != 256 + k:
+            raise ValueError("ids do not follow the merges")
+    # Bytes that print stand for themselves, the others for the characters from 256 on.
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(sorted({*range(256)} - {*shown}))}
+    return {bytes(byte[c] for c in token): i for token, i in vocab.items() if i < 256 + len(model["merges"])}
+
+
 class _Pieces:
-    """Ids of pieces of text, as little-endian 16-bit integers, by the tokenizer; kept for reuse."""
+    """Ids of texts as little-endian 16-bit integers; those of words are kept for reuse."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.of = Tokenizer.from_file(path)
-        self.of.encode_special_tokens = True  # their strings in a text are ordinary text
-        if self.of.get_vocab_size() > 1 << 16:
+        ranks = _ranks(path)
+        if len(ranks) > 1 << 16:
             raise ValueError("ids need more than 16 bits")
-        self.split = regex.compile(PIECES).findall
-        self.known: dict[str, bytes] = {}  # by piece
+        self.encode = tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.after: dict[str, bytes] = {}  # by what follows a single blank, with that blank
 
-    def _learn(self, known: dict[str, bytes], new: set[str], before: str) -> None:
-        if len(known) > KNOWN:
-            known.clear()
-        names = list(new)
-        for piece, found in zip(names, self.of.encode_batch_fast([before + x for x in names], add_special_tokens=False)):
-            known[piece] = np.array(found.ids, "<u2").tobytes()
-
-    def _joined(self, known: dict[str, bytes], pieces: list[str], before: str) -> bytes:
-        found = list(map(known.get, pieces))
-        if None in found:
-            self._learn(known, {p for p, ids in zip(pieces, found) if ids is None}, before)
-            # The store may just have been emptied to make room.
-            found = [ids or known.get(p) or self._joined(known, [p], before) for p, ids in zip(pieces, found)]
-        return b"".join(found)
+    def _new(self, word: str) -> bytes:
+        if len(self.after) > KNOWN:
+            self.after.clear()
+        ids = self.after[word] = np.array(self.encode(" " + word), "<u2").tobytes()
+        return ids
 
     def ids(self, text: str) -> bytes:
         """The tokenizer never joins what a single blank parts, and takes that blank to what
-        follows, so texts are cut there; where blanks meet, its own split is needed."""
+        follows, so texts are cut there; where blanks meet, its own split is needed. Special
+        tokens' strings are ordinary text."""
         if "  " in text:
-            return self._joined(self.known, self.split(text), "")
+            return np.array(self.encode(text), "<u2").tobytes()
         first, *rest = text.split(" ")
-        return (self._joined(self.known, [first], "") if first else b"") + self._joined(self.after, rest, " ")
+        found = [ids or self._new(w) for w, ids in zip(rest, map(self.after.get, rest))]
+        return np.array(self.encode(first), "<u2").tobytes() + b"".join(found)
 
 
 @functools.cache

@@ -171,7 +171,7 @@ def test_mixed(spark):
     back = whole.collect()
     assert sorted(repr((r.doc_id, r.source)) for r in back) == sorted(repr((i, s)) for i, s in rows)
     place = {}
-    for r in got:
+    for r in mixing.mixed(frame, weights, block=4).collect():
         place[r.doc_id] = min(place.get(r.doc_id, 10**9), r.position)
     order = [place[r.doc_id] for r in back]
     assert order == sorted(order)

@@ -51,9 +51,11 @@ def counted(docs: DataFrame, n: int, bits: int = COUNTERS) -> np.ndarray:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.uint32)
         for batch in batches:
-            found = [shingles(text, n) for text in batch.column(0).to_pylist()]
-            counts += np.bincount((np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64),
-                                  minlength=1 << bits).astype(np.uint32)
+            for at in range(0, batch.num_rows, 256):
+                for text in batch.column(0).slice(at, 256).to_pylist():
+                    # A text's classes, so that memory follows one text and the counters.
+                    classes, times = np.unique(shingles(text, n) >> np.uint64(64 - bits), return_counts=True)
+                    counts[classes.astype(np.int64)] += times.astype(np.uint32)
         rows = [counts[k * width:(k + 1) * width].tobytes() for k in range(parts)]
         yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array(rows, pa.binary())], names=["part", "counts"])
 
@@ -128,8 +130,8 @@ def _scanned(docs: DataFrame, n: int, t: int, buckets: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                part = whole.slice(at, 1024)
+            for at in range(0, whole.num_rows, 512):
+                part = whole.slice(at, 512)
                 keys, sigs, owners, sizes, seen = [], [], [], [], set()
                 for doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
                     grams = shingles(text, n)

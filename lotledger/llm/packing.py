@@ -17,6 +17,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
@@ -108,9 +109,13 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
                     pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=_tokens.names)
 
-    unit = F.concat_ws("#", F.input_file_name(), F.lpad(F.input_file_block_start().cast("string"), 20, "0"),
-                       F.lpad(F.spark_partition_id().cast("string"), 10, "0"))
-    rows = docs.select(unit.alias("unit"), F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    task = F.lpad(F.spark_partition_id().cast("string"), 10, "0")
+    split = F.concat_ws("#", F.input_file_name(), F.lpad(F.input_file_block_start().cast("string"), 20, "0"), task)
+    columns = [F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")]
+    try:
+        rows = docs.select(split.alias("unit"), *columns)
+    except AnalysisException:  # rows of several tables come from no one file; tasks give the order
+        rows = docs.select(task.alias("unit"), *columns)
     return written(rows.mapInArrow(encode, _tokens))
 
 

@@ -67,7 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # A SHA-1 in 40 hexadecimal digits as 32 base32 letters, five digits (20 bits) giving four letters.
-_BASE32 = """list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+_BASE32 = """list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + ((('0x' || substr(sha1(payload), 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4)::INT)) & 31), 1)),
     'string_agg', '')"""
 
@@ -87,19 +87,19 @@ FROM d WINDOW w AS (PARTITION BY body)""",
     "op10_ngram_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS words
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(list_transform(range(greatest(1, len(words) - 2)),
-    i -> array_to_string(words[i + 1:i + 3], ' '))) AS gram
+    lambda i: array_to_string(words[i + 1:i + 3], ' '))) AS gram
   FROM w WHERE len(words) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 o AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
   FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
 l AS (
   SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-  WHERE 100 * both >= 90 * (x.n + y.n - both)),
+  WHERE 100 * common >= 90 * (x.n + y.n - common)),
 e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (
   SELECT a AS node, b AS seen FROM e

@@ -183,6 +183,40 @@ def test_mixed_by_counts(spark):
     assert mixing.mixed(docs.limit(0)).count() == 0 and mixing.interleaved(docs.limit(0)).count() == 0
 
 
+def check_mix(got, left, weights):
+    """The n-th slot holds one block, and shares deviate by less than one, until a source runs out."""
+    total, done = sum(weights.values()), Counter()
+    slots = sorted({(r.slot, r.source, r.block) for r in got})
+    for n, (slot, s, j) in enumerate(slots, 1):
+        assert j == done[s]
+        done[s] += 1
+        if done[s] == left[s]:
+            return n
+        assert slot == n - 1 and all(abs(done[x] * total - w * n) < total * (1 + 1e-9) for x, w in weights.items())
+    return len(slots)
+
+
+def test_mix_keeps_to_the_target_over_many_periods(spark):
+    counts = {f"s{i}": 900 + 37 * i for i in range(20)} | {"hot": 30_000}
+    frame = spark.createDataFrame([(i, s) for s, n in counts.items() for i in range(n)], "doc_id long, source string")
+    weights = {s: n ** mixing.POWER for s, n in counts.items()}
+    got = mixing.mixed(frame, block=1, chunk=300).collect()
+    assert len(got) == sum(counts.values()) == len({r.position for r in got})
+    assert check_mix(got, counts, weights) > 3 * mixing.PERIOD
+    # The chunks are those of one walk over the slots.
+    assert {(r.slot, r.source, r.block) for r in got} == {
+        (r.slot, r.source, r.block) for r in mixing.mixed(frame, block=1, chunk=10**9).collect()}
+
+
+def test_mix_of_tiny_sources(spark):
+    counts = {f"s{i}": 2 for i in range(400)} | {"hot": 3_000}
+    weights = {s: 1e-5 * (1 + i % 7) for i, s in enumerate(counts)} | {"hot": 1.0}
+    frame = spark.createDataFrame([(i, s) for s, n in counts.items() for i in range(n)], "doc_id long, source string")
+    got = mixing.mixed(frame, weights, block=1).collect()
+    assert len(got) == sum(counts.values())
+    assert check_mix(got, counts, weights) > 1000
+
+
 def true_nearest(ids, x, k, asks):
     out = {}
     for q, v in zip(ids, x):

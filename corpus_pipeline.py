@@ -32,7 +32,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the sequences, with their ids, in the order of the documents' files."""
-    return packing.packed(docs, public_tokenizers.path(TOKENIZER))
+    return packing.packed(docs, public_tokenizers.path(TOKENIZER), added=True)
 
 
 STAGES = [("quality classifier", quality), ("exact dedup", exact_dedup), ("n-gram Jaccard join", near_dedup),

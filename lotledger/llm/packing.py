@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -47,13 +48,25 @@ def _ranks(path: str) -> dict[bytes, int]:
     return {bytes(byte[c] for c in token): i for token, i in vocab.items() if i < 256 + len(model["merges"])}
 
 
+def _added(path: str) -> dict[str, int]:
+    """The file's added tokens and their ids; those that take in what is around them are not known."""
+    tokens = json.loads(Path(path).read_text()).get("added_tokens") or []
+    if any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that depend on what is around them")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 class _Pieces:
     """Ids of texts as little-endian 16-bit integers; those of words are kept for reuse."""
 
-    def __init__(self, path: str):
-        ranks = _ranks(path)
-        if len(ranks) > 1 << 16:
+    def __init__(self, path: str, added: bool):
+        ranks, marks = _ranks(path), _added(path) if added else {}
+        if max([len(ranks) - 1, *marks.values()]) >= 1 << 16:
             raise ValueError("ids need more than 16 bits")
+        self.added = {t: np.array([i], "<u2").tobytes() for t, i in marks.items()}
+        # Of those that begin at one place, the longest.
+        longest = sorted(map(re.escape, marks), key=len, reverse=True)
+        self.marks = re.compile(f"({'|'.join(longest)})") if marks else None
         self.encode = tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.after: dict[str, bytes] = {}  # by what follows a single blank, with that blank
 
@@ -64,9 +77,15 @@ class _Pieces:
         return ids
 
     def ids(self, text: str) -> bytes:
+        """Added tokens are found first; what is between them is encoded apart."""
+        if self.marks is None or not self.marks.search(text):
+            return self._plain(text)
+        parts = self.marks.split(text)  # every second one is a mark
+        return b"".join(self.added[x] if k % 2 else self._plain(x) for k, x in enumerate(parts))
+
+    def _plain(self, text: str) -> bytes:
         """The tokenizer never joins what a single blank parts, and takes that blank to what
-        follows, so texts are cut there; where blanks meet, its own split is needed. Special
-        tokens' strings are ordinary text."""
+        follows, so texts are cut there; where blanks meet, its own split is needed."""
         if "  " in text:
             return np.array(self.encode(text), "<u2").tobytes()
         first, *rest = text.split(" ")
@@ -75,9 +94,9 @@ class _Pieces:
 
 
 @functools.cache
-def _of_worker(path: str) -> _Pieces:
+def _of_worker(path: str, added: bool) -> _Pieces:
     """One per Python worker, so that its tasks share what is known."""
-    return _Pieces(path)
+    return _Pieces(path, added)
 
 
 _tokens = StructType([
@@ -85,15 +104,16 @@ _tokens = StructType([
     StructField("before", LongType()), StructField("n", LongType()), StructField("ids", BinaryType())])
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer: str, end: int = END, added: bool = False) -> DataFrame:
     """unit, doc_id, before, n, ids: every document's ids and ``end``, null text as empty.
 
     ``unit`` names the input split (file and first byte, so that units sort in the order of the
-    files), ``before`` counts the tokens that precede the document in it.
+    files), ``before`` counts the tokens that precede the document in it. With ``added`` the strings
+    of the file's added tokens get their ids, as the tokenizer does; else they are ordinary text.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last = _of_worker(tokenizer), np.array([end], "<u2").tobytes()
+        known, last = _of_worker(tokenizer, added), np.array([end], "<u2").tobytes()
         unit, before = None, 0
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
@@ -149,13 +169,14 @@ def pieces(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
 _PIECES = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
-def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW, added: bool = False) -> DataFrame:
     """Every document's pieces, in the order of the input's files.
 
     Null and empty texts are the end token alone. Null ids and repeated rows are documents of
-    their own. Other columns are not read; an empty table gives an empty result.
+    their own. Other columns are not read; an empty table gives an empty result. ``added``: see
+    ``tokenized``.
     """
-    return pieces(tokenized(docs, tokenizer), window)
+    return pieces(tokenized(docs, tokenizer, added=added), window)
 
 
 def digests(found: DataFrame) -> DataFrame:

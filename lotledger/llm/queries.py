@@ -28,7 +28,8 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digests(packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
+    docs = table(spark, sf_dir, "documents")
+    return packing.digests(packing.packed(docs, public_tokenizers.path(TOKENIZER), added=True))
 
 
 def op4_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,14 @@ import zlib
 from collections import Counter, defaultdict
 from urllib.parse import urlparse
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lotledger.llm import annsearch, mixing, packing, warc
+from lotledger.llm import annsearch, mixing, packing, queries, warc
 from lotledger.llm.common import scratch_dir, table
 
 SF = "/root/testdata/sf0.001"
@@ -124,6 +125,22 @@ def test_packing_of_the_documents(spark):
     assert {(r.doc_id, r.start): r.ids_crc32 for r in packing.digests(found).collect()} == plain
 
 
+def test_queries_pack_added_tokens(spark, tmp_path):
+    """The queries' ids are those of the tokenizer as the file sets it up, added tokens included."""
+    mark = "<|endoftext|>"
+    texts = [f"a{mark}b", f"a {mark}  b{mark}{mark} c ", mark, f"  {mark}\n\n{mark} it's", "<|endoftext", f"<{mark}>", f"x  {mark} y", "plain", None]
+    spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(
+        f"{tmp_path}/documents.parquet")
+    own = Tokenizer.from_file(TOKENIZER)
+    want = {i: own.encode(x or "", add_special_tokens=False).ids + [1] for i, x in enumerate(texts)}
+    assert want[0] == [64, 50256, 65, 1]
+    docs = table(spark, str(tmp_path), "documents")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in corpus_pipeline.pack(spark, docs, str(tmp_path)).collect()}
+    assert got == want
+    crcs = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in queries.op3_packing(spark, str(tmp_path)).collect()}
+    assert crcs == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+
+
 def test_schedule_keeps_to_less_than_one_block():
     rng = np.random.default_rng(6)
     for _ in range(20):

@@ -5,7 +5,8 @@ numbers with a file ending) become typed wildcards, and below every node the rar
 ``*``, so a node keeps at most ``1 / share`` literal children. A child whose own children are
 distributed like those of its siblings taken together, and whose labels do not contradict theirs,
 is merged into ``*``. A template is rejected when its smoothed labelled purity reaches the
-threshold; urls that a rule decides are the labels.
+threshold; urls that a rule decides are the labels, and only they count in it. A template with few
+of them rejects nothing.
 
 Everything is counted on distinct (host, typed segments) rows, so a host with a third of all urls
 shrinks in the map-side aggregation before it is shuffled.
@@ -26,7 +27,7 @@ SHARE = 0.05        # of a node's urls that keeps a literal child from becoming
 DISTANCE = 0.25     # Hellinger distance up to which a branch is like its siblings
 CONTRAST = 0.25     # difference of labelled block rates up to which they do not contradict
 WEIGHT = 4.0        # urls that the corpus-wide block rate counts as, in the purity
-UNLABELLED = 0.5    # weight of an unlabelled url against rejection
+LABELS = 10         # labelled urls from which a template or branch speaks for unlabelled ones
 PURITY = 0.9
 
 
@@ -81,7 +82,7 @@ def _merged(tree: DataFrame, level: int, rows: int) -> DataFrame:
     """Turns tokens into ``*`` whose branch is like its siblings' together.
 
     Branches are compared by the distribution of the next segment and by labelled block rates.
-    A branch without labels contradicts none.
+    Where one side has no labels, the other must have enough of them, nearly all alike.
     """
     nxt = F.element_at("segments", level + 2)
     cells = written(tree.where("token <> ''").groupBy("host", "prefix", "token", nxt.alias("next")).agg(
@@ -98,7 +99,9 @@ def _merged(tree: DataFrame, level: int, rows: int) -> DataFrame:
     near = F.col("shared") / F.sqrt(F.col("b_n") * (F.col("p_n") - F.col("b_n")))
     mine, others = F.col("b_blocked") + F.col("b_allowed"), (
         F.col("p_blocked") + F.col("p_allowed") - F.col("b_blocked") - F.col("b_allowed"))
-    agree = (mine == 0) | (others == 0) | (F.abs(
+    rate = F.col("p_blocked") / (mine + others)
+    clear = (mine + others >= LABELS) & ((rate <= CONTRAST) | (rate >= 1 - CONTRAST))
+    agree = F.when(mine + others == 0, True).when((mine == 0) | (others == 0), clear).otherwise(F.abs(
         F.col("b_blocked") / mine - (F.col("p_blocked") - F.col("b_blocked")) / others) <= CONTRAST)
     like = written(both.join(overlap, ["host", "prefix", "token"])
                    .where((F.sqrt(F.greatest(F.lit(0.0), 1 - near)) <= DISTANCE) & agree)
@@ -108,7 +111,7 @@ def _merged(tree: DataFrame, level: int, rows: int) -> DataFrame:
 
 
 def templates(urls: DataFrame) -> DataFrame:
-    """(host, segments, template, purity) from rows of host, path and label (allow, block, null)."""
+    """(host, segments, template, purity, labelled) from rows of host, path and label (allow, block, null)."""
     key = ["host", "segments"]
     first = written(urls.groupBy("host", _segments(F.col("path")).alias("segments")).agg(
         F.count("*").alias("n"), F.count_if(F.col("label") == BLOCK).alias("blocked"),
@@ -124,18 +127,17 @@ def templates(urls: DataFrame) -> DataFrame:
         last == "", F.col("prefix")).otherwise(F.concat("prefix", F.lit("/**"))).alias("template"))
     rate = F.sum("blocked") / F.greatest(F.lit(1), F.sum("blocked") + F.sum("allowed"))
     prior = tree.agg(F.coalesce(rate, F.lit(0.0))).first()[0]  # one number
-    blocked, allowed, n = (F.sum(c) for c in ("blocked", "allowed", "n"))
-    open_ = (n - blocked - allowed) * UNLABELLED
+    blocked, labelled = F.sum("blocked"), F.sum(F.col("blocked") + F.col("allowed"))
     stats = written(tree.groupBy("host", "template").agg(
-        ((blocked + WEIGHT * prior) / (blocked + allowed + open_ + WEIGHT)).alias("purity")), rows=rows)
+        ((blocked + WEIGHT * prior) / (labelled + WEIGHT)).alias("purity"), labelled.alias("labelled")), rows=rows)
     return written(tree.select(*key, "template").join(stats, ["host", "template"]), rows=rows)
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]], purity: float = PURITY) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, template, purity.
 
-    A rule's verdict stands; other urls get ``block`` when the purity of their template is at
-    least ``purity``, else ``allow``. Null urls and urls without ``://`` have an empty host and
+    A rule's verdict stands; other urls get ``block`` when their template has at least ``LABELS``
+    labelled urls and its purity is at least ``purity``, else ``allow``. Null urls and urls without ``://`` have an empty host and
     path and form a template of their own. Repeated rows count as often as they occur; other
     columns are not read; an empty table gives an empty result.
     """
@@ -146,5 +148,5 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]], purity: floa
     keyed = parts.withColumn("segments", _segments(F.col("path")))
     return keyed.join(found, ["host", "segments"], "left").select(
         "page_id", "host", "path", "rule",
-        F.coalesce("label", F.when(F.col("purity") >= purity, BLOCK).otherwise(ALLOW)).alias("verdict"),
+        F.coalesce("label", F.when((F.col("purity") >= purity) & (F.col("labelled") >= LABELS), BLOCK).otherwise(ALLOW)).alias("verdict"),
         "template", "purity")

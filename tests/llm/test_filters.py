@@ -53,6 +53,19 @@ def test_templates_generalise_and_reject(spark):
     assert got[300].verdict == "allow" and got[300].template.endswith("/**")
 
 
+def test_only_labels_count_in_the_purity(spark):
+    """As many undecided urls as labelled ones do not keep a template from rejection; few labels reject nothing."""
+    urls = [f"http://h.net/es/{i}" for i in range(60)] + [f"http://h.net/s{i}/{i}" for i in range(60)]
+    urls += [f"http://thin.net/es/{i}" for i in range(5)] + [f"http://thin.net/s{i}/{i}" for i in range(60)]
+    urls += [f"http://both.com/en/{i}" for i in range(60)]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = urltree.judged(frame, RULES).collect()
+    open_ = [r for r in got if r.rule is None]
+    assert {r.verdict for r in open_ if r.host == "h.net"} == {"block"} and sum(r.host == "h.net" for r in open_) == 60
+    assert {r.verdict for r in open_ if r.host == "thin.net"} == {"allow"}
+    assert {r.verdict for r in got if r.host == "both.com"} == {"allow"}
+
+
 def test_urls_empty(spark):
     assert urltree.judged(spark.createDataFrame([], "page_id long, url string"), RULES).count() == 0
 

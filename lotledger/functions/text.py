@@ -61,7 +61,7 @@ def number_text(c: Column) -> Column:
     One spelling for every size: the shortest digits that name the number, without trailing zeros.
     """
     size = F.abs(c)
-    short = (size == 0) | (size >= 1e-3) & (size < 1e7)  # where a cast gives this form
+    short = (size >= 1e-3) & (size < 1e7) | (size == 0)  # where a cast gives this form
     long = F.regexp_replace(F.format_string("%.340f", c), r"(\.\d+?)0+$", "$1")
     return F.when(short, c.cast("string")).when(c.isNotNull(), long)
 
@@ -79,11 +79,12 @@ def whole(c: Column) -> Column:
 def bill_date(c: Column, formats: Mapping[str, str] = DATE_FORMATS) -> Column:
     """A date in one of the formats, else NULL.
 
-    Only the format whose shape fits is tried: a failed attempt costs far more than a match.
+    Only the format whose shape fits is tried: a failed attempt costs far more than a match. The
+    first format is the first one tested, so the usual one should lead.
     """
     text = strip(c)
     found = F.lit(None).cast("timestamp")
-    for form, shape in formats.items():
+    for form, shape in reversed(formats.items()):
         found = F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(form))).otherwise(found)
     return found.cast("date")
 

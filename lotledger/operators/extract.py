@@ -1,19 +1,20 @@
 """Bills, statements and value notices to key/value rows.
 
 Input: one row per document, ``path, bbl, activity_through, kind, text``. The areas of interest
-are cut out of a text by pattern before anything moves; only their lines are shuffled, once, by
-document. All line state (modes, section, page gaps, due date, first error) then comes from
-windows over (document, block, line) that share this one partitioning and sort order. A document
-is a single input row, so its lines always fit a task.
+are cut out of a text by pattern and split into an array of lines. The lines are read in their row:
+each step is a pass over the array, and what a line hands on to those after it (mode, section,
+page gap, due date, first error) is the state of a fold. No line is shuffled, and a document is a
+single input row, so its lines always fit a task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotledger.functions.arrays import Lines, running
 from lotledger.functions.text import (
     DATE_FORMATS,
     amount,
@@ -198,70 +199,46 @@ def _made(docs: DataFrame, as_run: bool, formats: Mapping[str, str]) -> DataFram
     return staged.select(*DOCUMENT, "kind", "text", "owner_area", made.alias("made"))
 
 
-MADE = -10  # block number of rows that are read inside their document
+_LINE = ["block", "heading", "line_no", "line"]
 
 
 def document_lines(docs: DataFrame, as_run: bool = False,
                    formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
-    """Lines of bills by block: owner (-2), mailing address (-1, its three lines joined by a literal
-    backslash-n), tax detail (0) and charge blocks (1, 2, ...); and, as block ``MADE``, what was
-    read or rejected inside a document.
+    """One row per document: what ``_made`` gives, and for bills the two owner lines (owner, mailing
+    address with its three lines joined by a literal backslash-n), the lines of the tax detail, and
+    those of all charge blocks with the number and heading of theirs.
 
-    Each text is read once, whatever its kind. The cut-out blocks are partitioned by document while
-    they are still one row each; their lines stay in place. The outer forms of explode keep the
-    optimizer from testing the arrays for emptiness beforehand, which would run the patterns again.
+    Each text is read once, whatever its kind, and its lines stay in its row.
     """
     parts = [cells(F.regexp_extract("owner_area", OWNER_AREA, i)) for i in (1, 2, 3)]
     mailing = F.concat_ws("\\n", *[F.coalesce(cell(p, 1), F.lit("")) for p in parts])
-    unmade = F.get(F.slice(F.array(_made_row()), 1, 0), F.lit(0))
-
-    def block(number: Column, content: Column) -> Column:
-        return F.struct(number.cast("int").alias("block"), content.alias("content"), unmade.alias("made"))
-
-    charge_blocks = F.transform(
-        F.regexp_extract_all("text", F.lit(CHARGE_BLOCK), F.lit(0)), lambda b, i: block(i + 1, b))
-    blocks = F.concat(
-        F.array(block(F.lit(-2), cell(parts[0], 0)), block(F.lit(-1), strip(mailing)),
-                block(F.lit(0), F.regexp_extract("text", DETAIL_AREA, 0))),
-        charge_blocks,
-    )
-    inside = F.transform("made", lambda m: F.struct(
-        F.lit(MADE).alias("block"), F.lit("").alias("content"), m.alias("made")))
-    number, content = F.col("b.block"), F.col("b.content")
-    several = F.contains(content, F.lit("\n"))
-    return (
-        _made(docs, as_run, formats)
-        .select(*DOCUMENT, "kind", F.when(F.col("owner_area") != "", F.concat(blocks, inside))
-                .otherwise(inside).alias("blocks"))
-        .repartition("path")
-        .select(*DOCUMENT, "kind", F.explode_outer("blocks").alias("b"))
-        .filter((number < 0) | ((number == 0) & (content != "")) | several)
-        .select(
-            *DOCUMENT, "kind", number.alias("block"), F.col("b.made").alias("made"),
-            F.when(number > 0, cell(cells(F.substring_index(content, "\n", 1)), 0))
-            .alias("heading"),
-            F.posexplode_outer(
-                F.when(number < 0, F.array(content)).otherwise(F.split(content, "\n"))
-            ).alias("line_no", "line"),
-        )
+    bill = F.col("owner_area") != ""
+    blocks = F.filter(
+        F.transform(F.regexp_extract_all("text", F.lit(CHARGE_BLOCK), F.lit(0)), lambda b, i: F.struct(
+            (i + 1).alias("block"), cell(cells(F.substring_index(b, "\n", 1)), 0).alias("heading"),
+            F.split(b, "\n").alias("lines"))),
+        lambda b: F.size(b["lines"]) > 1)
+
+    def lines(block: Column, heading: Column, content: Column) -> Column:
+        return F.transform(content, lambda line, i: F.struct(
+            block.alias("block"), heading.alias("heading"), i.alias("line_no"), line.alias("line")))
+
+    return _made(docs, as_run, formats).select(
+        *DOCUMENT, "kind", "made",
+        F.when(bill, F.array(cell(parts[0], 0), strip(mailing))).alias("owner_lines"),
+        F.when(bill, F.regexp_extract("text", DETAIL_AREA, 0)).alias("detail"),
+        F.when(bill, blocks).alias("blocks"),
+    ).select(
+        *DOCUMENT, "kind", "made", "owner_lines",
+        lines(F.lit(0), _text(), F.split(F.nullif("detail", F.lit("")), "\n")).alias("detail_lines"),
+        F.flatten(F.transform("blocks", lambda b: lines(b["block"], b["heading"], b["lines"]))).alias("charge_lines"),
     )
 
 
-def _windows():
-    block = Window.partitionBy("path", "block").orderBy("line_no")
-    doc = Window.partitionBy("path").orderBy("block", "line_no")
-    before = block.rowsBetween(Window.unboundedPreceding, -1)
-    so_far = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return before, so_far, doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def _classified_details(lines: DataFrame) -> DataFrame:
-    """What each line of block 0 is: branch (before modes), cells."""
-    c0 = F.col("c0")
-    x = cells(F.col("line"), with_x=True)
-    read = (F.col("line_no") > 0) & (F.col("line") != "") & (c0 != "") & ~c0.isin(*NOT_DETAILS)
-    branch = (
-        F.when(~read, "none")
+def _branch(c0: Column) -> Column:
+    """What a line of the tax detail is, before modes, by its first cell."""
+    return (
+        F.when((c0 == "") | c0.isin(*NOT_DETAILS), "none")
         .when(c0.startswith("tax class"), "class")
         .when(c0.startswith("current tax rate"), "second raw")
         .when(c0.startswith("estimated market value"), "second")
@@ -273,208 +250,226 @@ def _classified_details(lines: DataFrame) -> DataFrame:
         .when(c0 == "revocation", "revocation")
         .otherwise("by mode")
     )
-    is_detail = F.col("block") == 0
+
+
+#: Lines that change what the lines after them are, with the mode of these; the strongest first.
+MODES = {"revocation": "details-revocation", "before abatements": "details-abatements",
+         "before exemptions": "details-exemptions"}
+
+
+def _detail_lines(lines: str) -> Lines:
+    """The lines of the tax detail with their cells and branch."""
     return (
-        lines.withColumn("x", F.when(is_detail, x))
-        .withColumn("c0", F.lower(cell(F.col("x"), 0)))
-        .withColumn("branch", F.when(is_detail, branch))
+        Lines(lines, _LINE).keep(lambda r: (r["line_no"] > 0) & (r["line"] != ""))
+        .add(lambda r: {"x": cells(r["line"], with_x=True)}, drop=["heading"])
+        .add(lambda r: {"c0": F.lower(cell(r["x"], 0))})
+        .add(lambda r: {"mode": _branch(r["c0"]), "section": _text()})
     )
 
 
-def _detail_fields(lines: DataFrame) -> DataFrame:
-    """Adds ``d``: section_set, key, value, meta, apts, bad of a detail line."""
-    before, _, _ = _windows()
+def _with_modes(found: Lines) -> Column:
+    """The lines that are rows, with their mode and section.
 
-    def seen(branch: str) -> Column:
-        return F.coalesce(F.max(F.col("branch") == branch).over(before), F.lit(False))
+    The state is the mode that lines without one of their own have, and the last section named.
+    """
 
-    lines = _classified_details(lines).withColumn(
-        "mode",
-        F.when(F.col("branch") != "by mode", F.col("branch"))
-        .when(seen("revocation"), "details-revocation")
-        .when(seen("before abatements"), "details-abatements")
-        .when(seen("before exemptions"), "details-exemptions")
-        .when(F.size("x") == 1, "none")
-        .otherwise("plain"),
-    )
-    mode, x, c0 = F.col("mode"), F.col("x"), F.col("c0")
-    second, third, last = cell(x, 1), cell(x, 2), cell(x, -1)
-    base = mode.isin("before exemptions", "before abatements")
-    listed = mode.isin("details-abatements", "details-exemptions") & (F.size(x) > 2)
-    in_units = listed & F.contains(F.lower(second), F.lit("unit"))
-    unit_cell = F.replace(
-        F.replace(F.lower(second), F.lit(" units"), F.lit("")), F.lit(" unit"), F.lit("")
-    )
-    in_last = base | mode.startswith("details-") | mode.isin("total", "plain")
-    lines = lines.withColumns({
-        "number_cell": F.when(mode == "second", second).when(in_last, last),
-        "meta_cell": F.when(base, second).when(
-            listed, F.when(in_units | second.endswith("%"), third).otherwise(second)
-        ),
-        "raw_value": F.when(mode == "class", F.get(F.split(c0, "tax class"), F.lit(1)))
-        .when(mode == "second raw", second).when(mode.isin("original", "last raw"), last),
-        "raw_meta": F.when(mode == "original", F.get(F.split(c0, "original tax rate"), F.lit(1))),
-        "unit_cell": F.when(in_units, unit_cell),
-        "key": F.when(mode == "class", "tax class").when(mode == "original", "original tax rate")
-        .otherwise(c0),
-        "section_set": F.when(
-            base | mode.isin("total", "original", "last raw"), "details"
-        ).when(mode.startswith("details-"), mode),
-        "is_row": (F.col("block") == 0) & ~mode.isin("none", "revocation"),
-    }).withColumns({
-        "number": amount(F.col("number_cell")),
-        "meta_number": amount(F.col("meta_cell")),
-        "apts": whole(F.col("unit_cell")),
-    })
-    raw = mode.isin("class", "second raw", "original", "last raw")
-    bad = (
-        (~raw & F.col("number").isNull())
-        | (raw & F.col("raw_value").isNull())
-        | ((base | F.col("meta_cell").isNotNull()) & F.col("meta_number").isNull())
-        | (F.col("unit_cell").isNotNull() & F.col("apts").isNull())
-    )
-    lines = lines.withColumns({
-        "value": F.coalesce("raw_value", number_text(F.col("number"))),
-        "meta": F.coalesce("raw_meta", number_text(F.col("meta_number"))),
-        "bad": F.when(F.col("is_row"), bad).otherwise(False),
-    })
+    def step(s: Column, r: Column):
+        own = r["mode"]
+        mode = F.when(own != "by mode", own).when(s["mode"].isNotNull(), s["mode"]).when(
+            F.size(r["x"]) == 1, "none").otherwise("plain")
+        strength = [F.when(own == line, later) for line, later in MODES.items()]
+        # A stronger mode stays; of the others the one just met counts.
+        after = F.when(s["mode"] == MODES["revocation"], s["mode"]).when(own == "revocation", MODES["revocation"]).when(
+            s["mode"] == MODES["before abatements"], s["mode"]).otherwise(F.coalesce(*strength, s["mode"]))
+        named = F.when(mode.isin("before exemptions", "before abatements", "total", "original", "last raw"), "details").when(
+            mode.startswith("details-"), mode)
+        section = F.coalesce(named, s["section"])
+        row = F.struct(*[r[n].alias(n) for n in found.names[:-2]], mode.alias("mode"), section.alias("section"))
+        return {"mode": after, "section": section}, row, ~mode.isin("none", "revocation")
+
+    return running(found.array, {"mode": _text(), "section": F.lit("details")}, step)
+
+
+def _detail_fields(found: Lines) -> Lines:
+    """Rows of the tax detail: section, key, value, meta, apts, bad."""
+
+    def picked(r: Column) -> dict[str, Column]:
+        mode, x, c0 = r["mode"], r["x"], r["c0"]
+        second, third, last = cell(x, 1), cell(x, 2), cell(x, -1)
+        base = mode.isin("before exemptions", "before abatements")
+        listed = mode.isin("details-abatements", "details-exemptions") & (F.size(x) > 2)
+        in_units = listed & F.contains(F.lower(second), F.lit("unit"))
+        unit_cell = F.replace(F.replace(F.lower(second), F.lit(" units"), F.lit("")), F.lit(" unit"), F.lit(""))
+        in_last = base | mode.startswith("details-") | mode.isin("total", "plain")
+        meta_cell = F.when(base, second).when(
+            listed, F.when(in_units | second.endswith("%"), third).otherwise(second))
+        return {
+            "number_cell": F.when(mode == "second", second).when(in_last, last),
+            "meta_cell": meta_cell,
+            "raw_value": F.when(mode == "class", F.get(F.split(c0, "tax class"), F.lit(1)))
+            .when(mode == "second raw", second).when(mode.isin("original", "last raw"), last),
+            "raw_meta": F.when(mode == "original", F.get(F.split(c0, "original tax rate"), F.lit(1))),
+            "unit_cell": F.when(in_units, unit_cell),
+            "key": F.when(mode == "class", "tax class").when(mode == "original", "original tax rate").otherwise(c0),
+            "raw": mode.isin("class", "second raw", "original", "last raw"),
+            "needs_meta": base | meta_cell.isNotNull(),
+        }
+
+    def parsed(r: Column) -> dict[str, Column]:
+        return {"number": amount(r["number_cell"]), "meta_number": amount(r["meta_cell"]), "apts": whole(r["unit_cell"]),
+                "in_units": r["unit_cell"].isNotNull()}
+
+    def valued(r: Column) -> dict[str, Column]:
+        return {
+            "bad": F.when(r["raw"], r["raw_value"].isNull()).otherwise(r["number"].isNull())
+            | (r["needs_meta"] & r["meta_number"].isNull()) | (r["in_units"] & r["apts"].isNull()),
+            "value": F.coalesce(r["raw_value"], number_text(r["number"])),
+            "meta": F.coalesce(r["raw_meta"], number_text(r["meta_number"])),
+            "duedate": _date(), "activity": _date(),
+        }
+
+    found = found.add(picked, drop=["x", "c0", "mode"]).add(parsed, drop=["number_cell", "meta_cell", "unit_cell"]).add(
+        valued, drop=["raw", "raw_value", "raw_meta", "needs_meta", "number", "meta_number", "in_units"])
     for suffix in (" units", " unit"):
-        lines = _unit_suffix(lines, suffix)
-    return lines.withColumn("d", F.when(F.col("is_row"), F.struct(
-        F.col("section_set").alias("section"), "key", "value", "meta", "apts", "bad",
-    ))).select(*DOCUMENT, "kind", "made", "block", "heading", "line_no", "line", "d")
+        found = _unit_suffix(found, suffix)
+    return found
 
 
-def _unit_suffix(lines: DataFrame, suffix: str) -> DataFrame:
+def _unit_suffix(found: Lines, suffix: str) -> Lines:
     """``... 12 units``: the last word of a key becomes the unit count."""
-    hit = F.coalesce(F.col("is_row") & F.col("key").endswith(suffix), F.lit(False))
-    words, count = F.col("words"), F.col("count")
-    return (
-        lines.withColumn("words", F.when(hit, F.split(
-            F.replace(F.col("key"), F.lit(suffix), F.lit("")), " ")))
-        .withColumn("count", whole(cell(words, -1)))
-        .withColumns({
-            "bad": F.col("bad") | (words.isNotNull() & count.isNull()),
-            "apts": F.when(words.isNotNull(), count).otherwise(F.col("apts")),
-            "key": F.when(words.isNotNull(), F.array_join(
-                F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), " "
-            )).otherwise(F.col("key")),
-        })
-    )
+
+    def counted(r: Column) -> dict[str, Column]:
+        hit = r["key"].endswith(suffix)
+        words = F.split(F.replace(r["key"], F.lit(suffix), F.lit("")), " ")  # only read in the few lines hit
+        count = whole(cell(words, -1))
+        return {
+            "bad": F.when(hit, r["bad"] | count.isNull()).otherwise(r["bad"]),
+            "apts": F.when(hit, count).otherwise(r["apts"]),
+            "key": F.when(hit, F.array_join(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), " ")).otherwise(r["key"]),
+        }
+
+    return found.add(counted)
+
+
+def _charge_lines(lines: str) -> Lines:
+    """The lines of charge blocks with their cells, and whether they head a block or open a break."""
+    found = Lines(lines, _LINE).add(lambda r: {"c": cells(r["line"])}).add(lambda r: {"start": F.lower(cell(r["c"], 0))})
+
+    def marked(r: Column) -> dict[str, Column]:
+        head = (r["line_no"] == 0) | ((r["line_no"] == 2) & r["start"].startswith("activity date"))
+        starts = [r["start"].startswith(w) for w in GAP_STARTS]
+        return {"head": head, "opens": ~head & (
+            r["line"].startswith("\f") | r["line"].startswith("\v") | starts[0] | starts[1])}
+
+    return found.add(marked)
 
 
-def drop_page_gaps(lines: DataFrame) -> DataFrame:
-    """Remove page breaks inside blocks: an opening line through the next ``... Amount`` line.
+def _without_breaks(found: Lines) -> Column:
+    """The lines that are no headings and lie in no page break.
 
-    A line that could open and close does whichever applies, so it flips the state: the state
-    before a line is that of the last line that can only open or only close, flipped once for
-    each two-way line since.
+    The state is whether a break is open: from an opening line through the next line that ends in
+    ``Amount``. Each block starts without one.
     """
-    before, so_far, _ = _windows()
-    line, c = F.col("line"), F.col("c")
-    start = F.lower(cell(c, 0))
-    heading_line = (F.col("line_no") == 2) & start.startswith("activity date")
-    starts = [start.startswith(w) for w in GAP_STARTS]
-    opens = (F.col("line_no") > 0) & ~heading_line & (
-        line.startswith("\f") | line.startswith("\v") | starts[0] | starts[1]
-    )
-    closes = cell(c, -1) == "Amount"
-    flips = (opens & closes).cast("int")
-    marked = (
-        lines.withColumn("c", F.when(F.col("block") > 0, cells(line)))
-        .withColumn("opens", F.coalesce(opens, F.lit(False)))
-        .withColumn("closes", F.coalesce(closes, F.lit(False)))
-        .withColumn("flips", F.sum(flips).over(so_far))
-    )
-    fixed = F.when(
-        F.col("opens") != F.col("closes"),
-        F.struct(F.col("opens").cast("int").alias("state"), F.col("flips").alias("at")),
-    )
-    marked = marked.withColumn("fixed", F.last(fixed, ignorenulls=True).over(before)).withColumn(
-        "flipped", F.coalesce(F.lag("flips").over(
-            Window.partitionBy("path", "block").orderBy("line_no")), F.lit(0))
-    )
-    state = (
-        F.coalesce(F.col("fixed.state"), F.lit(0))
-        + F.col("flipped") - F.coalesce(F.col("fixed.at"), F.lit(0))
-    ) % 2
-    skipped = (state == 1) | F.col("opens") | (F.col("line_no") == 0) | F.coalesce(
-        heading_line, F.lit(False)
-    )
-    return marked.withColumn("skipped", (F.col("block") > 0) & skipped).drop(
-        "opens", "closes", "flips", "fixed", "flipped"
-    )
 
+    def step(s: Column, r: Column):
+        inside = s["open"] & (r["line_no"] > 0)
+        after = F.when(inside, F.coalesce(cell(r["c"], -1) != "Amount", F.lit(True))).otherwise(r["opens"])
+        return {"open": after}, r, ~(inside | r["opens"] | r["head"])
+
+    return running(found.array, {"open": F.lit(False)}, step)
+
+
+def _charge_fields(found: Lines, formats: Mapping[str, str] = DATE_FORMATS) -> Lines:
+    """Rows of charge lines: section, key, due and activity date, value, meta, apts, bad."""
+
+    def rows(r: Column) -> Column:
+        c0 = cell(r["c"], 0)
+        return ~((strip(r["line"]) == "") | F.contains(F.lower(c0), F.lit("rent stabilization fee"))
+                 | c0.startswith("Activity Date")
+                 | ((c0 != RENT_KEY) & ~F.size(r["c"]).isin(2, 3, 4) & contains_any(r["line"], NOTES)))
+
+    def picked(r: Column) -> dict[str, Column]:
+        c, t, n, k, rent = r["c"], r["t"], F.size(r["c"]), F.size(r["t"]), r["t"].isNotNull()
+        listed = rent | n.isin(2, 3, 4)
+        return {
+            "rent": rent, "wide": rent & (k > 5), "short": rent & ((k < 4) | (k == 5)), "n": F.when(~rent, n),
+            "key": F.when(listed, cell(c, 0)),
+            "day_cell": F.when(rent, F.when(k == 4, cell(t, 2)).when(k > 5, cell(t, 3))).when(n.isin(3, 4), cell(c, 1)),
+            "later_cell": F.when(~rent & (n == 4), cell(c, 2)),
+            "number_cell": F.when(rent, cell(t, -1)).when(listed, cell(c, -1)),
+            "apts_cell": F.when(rent & (k > 5), cell(t, 2)),
+            "meta": F.when(rent & (k > 5), F.array_join(F.slice(t, 5, F.greatest(k - 5, F.lit(0))), " ")),
+        }
+
+    def read(r: Column) -> dict[str, Column]:
+        return {"day_1": bill_date(r["day_cell"], formats), "day_2": bill_date(r["later_cell"], formats),
+                "number": amount(r["number_cell"]), "apts": whole(r["apts_cell"]), "has_number": r["number_cell"].isNotNull()}
+
+    def valued(r: Column) -> dict[str, Column]:
+        no_day, four = r["day_1"].isNull(), F.coalesce(r["n"] == 4, F.lit(False))
+        return {
+            "section": r["heading"],
+            "duedate": F.when(r["rent"], r["day_1"]),
+            "activity": F.when(~r["rent"], F.coalesce(r["day_1"], r["day_2"])),
+            "value": number_text(r["number"]),
+            "meta": F.when(r["rent"], r["meta"]).when((r["n"] == 3) & no_day, r["day_cell"]).when(
+                four, F.when(no_day, r["day_cell"]).otherwise(r["later_cell"])),
+            "bad": r["short"] | (r["rent"] & no_day) | (r["wide"] & r["apts"].isNull())
+            | (r["has_number"] & r["number"].isNull()) | (four & no_day & r["day_2"].isNull()),
+        }
 
-def _charge_fields(lines: DataFrame, formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
-    """Adds ``h``: key, due, activity, value, meta, apts, bad of a charge or owner line."""
-    c, n = F.col("c"), F.size("c")
-    c0, c1, c2 = (cell(c, i) for i in range(3))
-    t, k = F.col("t"), F.size("t")
-    rent, listed, wide = c0 == RENT_KEY, n.isin(2, 3, 4), F.size("t") > 5
-    dropped = (
-        (strip(F.col("line")) == "") | F.contains(F.lower(c0), F.lit("rent stabilization fee"))
-        | c0.startswith("Activity Date")
-        | (~rent & ~listed & contains_any(F.col("line"), NOTES))
-    )
-    lines = lines.withColumns({
-        "t": F.when(rent, tokens(F.col("line"))),
-        "keep": (F.col("block") > 0) & ~F.col("skipped") & ~dropped,
-    }).withColumns({
-        "day_1": F.when(F.col("keep"), bill_date(
-            F.when(rent, F.when(k == 4, cell(t, 2)).when(wide, cell(t, 3)))
-            .when(n.isin(3, 4), c1), formats)),
-        "number_cell": F.when(F.col("keep"), F.when(rent, cell(t, -1)).when(listed, cell(c, -1))),
-        "apts_cell": F.when(rent & wide, cell(t, 2)),
-    }).withColumns({
-        "day_2": F.when(~rent & (n == 4) & F.col("day_1").isNull(), bill_date(c2, formats)),
-        "number": amount(F.col("number_cell")),
-        "apts": whole(F.col("apts_cell")),
-    })
-    no_day = F.col("day_1").isNull()
-    meta = (
-        F.when(rent & wide, F.array_join(F.slice(t, 5, F.greatest(k - 5, F.lit(0))), " "))
-        .when(~rent & (n == 3) & no_day, c1)
-        .when(~rent & (n == 4), F.when(no_day, c1).otherwise(c2))
-    )
-    bad = (
-        (rent & ((k < 4) | (k == 5) | no_day | (wide & F.col("apts").isNull())))
-        | (F.col("number_cell").isNotNull() & F.col("number").isNull())
-        | (~rent & (n == 4) & no_day & F.col("day_2").isNull())
+    return (
+        found.keep(rows).add(lambda r: {"t": F.when(cell(r["c"], 0) == RENT_KEY, tokens(r["line"]))}, drop=["start", "head", "opens"])
+        .add(picked, drop=["c", "t"]).add(read, drop=["apts_cell", "number_cell"]).add(valued).only(_READ)
     )
-    owner = F.struct(
-        F.when(F.col("block") == -2, "Owner name").otherwise("Mailing address").alias("key"),
-        _date().alias("due"), _date().alias("activity"), F.col("line").alias("value"),
+
+
+_READ = ["block", "line_no", "line", "section", "key", "duedate", "activity", "value", "meta", "apts", "bad"]
+
+
+def _with_last_due(found: Lines) -> Column:
+    """Rows without a due date have the last one before them in their block."""
+
+    def step(s: Column, r: Column):
+        due = F.coalesce(r["duedate"], F.when(s["block"] == r["block"], s["due"]))
+        return {"block": r["block"], "due": due}, F.struct(
+            *[(due if n == "duedate" else r[n]).alias(n) for n in found.names]), None
+
+    return running(found.array, {"block": F.lit(None).cast("int"), "due": _date()}, step)
+
+
+def _owner_rows(lines: Column) -> Column:
+    kinds = [(-2, "Owner name"), (-1, "Mailing address")]
+    return F.array(*[F.struct(
+        F.lit(block).alias("block"), F.lit(0).alias("line_no"), F.get(lines, F.lit(i)).alias("line"), _text().alias("section"),
+        F.lit(key).alias("key"), _date().alias("duedate"), _date().alias("activity"), F.get(lines, F.lit(i)).alias("value"),
         _text().alias("meta"), F.lit(None).cast("int").alias("apts"), F.lit(False).alias("bad"),
-    )
-    charge = F.struct(
-        F.when(rent | listed, c0).alias("key"),
-        F.when(rent, F.col("day_1")).alias("due"),
-        F.when(~rent, F.coalesce("day_1", "day_2")).alias("activity"),
-        number_text(F.col("number")).alias("value"), meta.alias("meta"), "apts",
-        F.coalesce(bad, F.lit(False)).alias("bad"),
-    )
-    return lines.withColumn("h", F.when(F.col("keep"), charge).when(F.col("block").isin(-2, -1), owner))
+    ) for i, (block, key) in enumerate(kinds)])
+
+
+def _read_bills(docs: DataFrame, as_run: bool, formats: Mapping[str, str]) -> DataFrame:
+    """``document_lines`` with ``read``, the rows of a bill in the order of its lines up to the first
+    unreadable one, which is ``first_bad``. Every step is a projection: no line leaves its document."""
+    empty = F.slice(_owner_rows(F.col("owner_lines")), 1, 0)
+    details, charges = _detail_lines("detail_lines"), _charge_lines("charge_lines")
 
+    def staged(df: DataFrame, of_details: Column | str, of_charges: Column | str) -> DataFrame:
+        # Folds name their array several times; as a column of a stage of its own it is computed once.
+        found = [c if isinstance(c, str) else c.alias(n) for c, n in ((of_details, "details"), (of_charges, "charges"))]
+        return df.select(*DOCUMENT, "kind", "made", "owner_lines", *found)
 
-def _read_lines(docs: DataFrame, as_run: bool = False,
-                formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
-    """All lines with their fields, sticky section and due date, ``failed`` from the first
-    unreadable line of a document on, and ``first`` on that line."""
-    _, so_far, doc_so_far = _windows()
-    lines = document_lines(docs, as_run, formats)
-    lines = _charge_fields(drop_page_gaps(_detail_fields(lines)), formats)
-    bad = F.coalesce(F.col("d.bad"), F.col("h.bad"), F.lit(False))
+    lines = staged(document_lines(docs, as_run, formats), details.array, charges.array)
+    rows = staged(lines, _with_modes(Lines("details", details.names)), _without_breaks(Lines("charges", charges.names)))
+    fields = staged(rows, _detail_fields(Lines("details", details.names)).only(_READ).array,
+                    _charge_fields(Lines("charges", charges.names), formats).array)
     return (
-        lines.withColumn("section", F.when(
-            F.col("block") == 0,
-            F.coalesce(F.last("d.section", ignorenulls=True).over(so_far), F.lit("details")),
-        ).otherwise(F.col("heading")))
-        .withColumn("due", F.last("h.due", ignorenulls=True).over(so_far))
-        .withColumn("bad", bad)
-        .withColumn("failures", F.sum(F.col("bad").cast("int")).over(doc_so_far))
-        .withColumn("failed", F.col("failures") > 0)
-        .withColumn("first", F.col("bad") & (F.col("failures") == 1))
+        staged(fields, "details", _with_last_due(Lines("charges", _READ)))
+        .select(*DOCUMENT, "kind", "made", F.when(F.col("owner_lines").isNotNull(), F.concat(
+            _owner_rows(F.col("owner_lines")), F.coalesce("details", empty), F.coalesce("charges", empty))).alias("all"))
+        .withColumn("bad_at", F.array_position(F.transform("all", lambda r: r["bad"]), True).cast("int"))
+        .select(*DOCUMENT, "kind", "made", F.when(F.col("bad_at") > 0, F.slice("all", F.lit(1), F.col("bad_at") - 1))
+                .otherwise(F.col("all")).alias("read"),
+                F.when(F.col("bad_at") > 0, F.get("all", F.col("bad_at") - 1)).alias("first_bad"))
     )
 
 
@@ -594,36 +589,40 @@ def value_notice_wide(docs: DataFrame) -> DataFrame:
 
 def read_all(docs: DataFrame, as_run: bool = False,
              formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
-    """Rows and rejects of all documents in one frame, from one scan of the texts.
+    """Rows and rejects of all documents in one frame, from one scan of the texts and no shuffle.
 
     Rows have a NULL ``reason``; rejects have NULL row columns and ``path``, ``kind``, ``block``,
     ``reject_line``, ``line``. Write it once and take both parts from what was written.
     """
-    lines = _read_lines(docs, as_run, formats).withColumn("reason", F.coalesce(
-        "made.reason", F.when(F.col("first"), F.lit("line"))))
-    block, inside = F.col("block").cast("bigint"), F.col("block") == MADE
-    at = F.when(inside, F.col("made.line_no").cast("bigint")).when(block < 0, block).otherwise(
-        block * BLOCK_STEP + F.col("line_no"))
-    is_row = F.col("reason").isNull()
-    any_row = ~F.col("failed") & (F.col("d").isNotNull() | F.col("h").isNotNull() | F.col("made").isNotNull())
-
-    def of_row(c: Column) -> Column:
-        return F.when(is_row, c)
-
-    fields = _row(
-        of_row(F.coalesce("made.section", "section")),
-        of_row(F.coalesce("made.key", "d.key", "h.key")),
-        of_row(F.coalesce("made.value", "d.value", "h.value")), of_row(at),
-        duedate=of_row(F.coalesce("made.due", F.when(F.col("block") > 0, F.col("due")))),
-        activitydate=of_row(F.col("h.activity")),
-        meta=of_row(F.coalesce("made.meta", "d.meta", "h.meta")),
-        apts=of_row(F.coalesce("made.apts", F.coalesce("d.apts", "h.apts").cast("string"))),
-    )
-    return lines.filter(F.col("reason").isNotNull() | any_row).select(
-        *fields, "kind", "reason", F.when(~is_row & ~inside, F.col("block")).alias("block"),
-        F.when(~is_row, F.when(inside, F.col("made.line_no")).otherwise(F.col("line_no"))).alias("reject_line"),
-        F.when(~is_row, F.when(inside, F.col("made.line")).otherwise(F.col("line"))).alias("line"),
-    )
+    names = ["section", "key", "duedate", "activity", "value", "meta", "apts", "at", "reason", "block", "reject_line", "line"]
+    kinds = dict(zip(names, ("string", "string", "date", "date", "string", "string", "string", "bigint", "string", "int", "int", "string")))
+
+    def entry(**given: Column) -> Column:
+        return F.struct(*[(given[n] if n in given else F.lit(None)).cast(kinds[n]).alias(n) for n in names])
+
+    def made(m: Column) -> Column:
+        fields = {"reason": m["reason"], "reject_line": F.when(m["reason"].isNotNull(), m["line_no"]),
+                  "line": F.when(m["reason"].isNotNull(), m["line"])}
+        return entry(section=m["section"], key=m["key"], duedate=m["due"], value=m["value"], meta=m["meta"], apts=m["apts"],
+                     at=F.when(m["reason"].isNull(), m["line_no"]), **fields)
+
+    def row(r: Column) -> Column:
+        block = r["block"].cast("bigint")
+        return entry(**{n: r[n] for n in ("section", "key", "duedate", "activity", "value", "meta", "apts")},
+                     at=F.when(block < 0, block).otherwise(block * BLOCK_STEP + r["line_no"]))
+
+    bad = F.col("first_bad")
+    reject = entry(reason=F.lit("line"), block=bad["block"], reject_line=bad["line_no"], line=bad["line"])
+    none = F.slice(F.array(entry()), 1, 0)
+    # The outer form keeps the optimizer from testing the array for emptiness beforehand, which
+    # would read the documents twice.
+    every = F.explode_outer(F.concat(
+        F.transform("made", made), F.coalesce(F.transform("read", row), none),
+        F.when(bad.isNotNull(), F.array(reject)).otherwise(none)))
+    return _read_bills(docs, as_run, formats).select(*DOCUMENT, "kind", every.alias("e")).filter(F.col("e").isNotNull()).select(
+        "bbl", F.when(F.col("e.reason").isNull(), F.col("activity_through")).alias("activitythrough"), "e.section", "e.key",
+        "e.duedate", F.col("e.activity").alias("activitydate"), "e.value", "e.meta", "e.apts", F.col("path").alias("doc_path"),
+        F.col("e.at").alias("line_no"), "kind", "e.reason", "e.block", "e.reject_line", "e.line")
 
 
 def rows_of(read: DataFrame) -> DataFrame:

@@ -130,10 +130,14 @@ def test_page_gaps_against_fold(spark):
     pool = ["A  1", "", "x  Amount", "\fPage", "\vPage", "Pay today  Amount", "pay today",
             "Activity Date  x", "\fx  Amount", "Home Banking Payment Instructions", "B  2  3"]
     blocks = [[rng.choice(pool) for _ in range(rng.randint(1, 25))] for _ in range(400)]
-    data = [(f"p{b}", 1, i, line) for b, lines in enumerate(blocks) for i, line in enumerate(lines)]
-    df = spark.createDataFrame(data, "path string, block int, line_no int, line string")
-    kept = extract.drop_page_gaps(df.repartition(5, F.rand(3))).filter("not skipped").collect()
-    got = sorted((r.path, r.line_no, r.line) for r in kept)
+    lines = "array<struct<block:int, heading:string, line_no:int, line:string>>"
+    data = [(f"p{b // 4}", b, [(b, "h", i, line) for i, line in enumerate(x)]) for b, x in enumerate(blocks)]
+    df = spark.createDataFrame(data, f"path string, block int, lines {lines}").groupBy("path").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "lines"))), lambda b: b["lines"])).alias("lines"))
+    found = extract._charge_lines("lines")
+    kept = df.select(found.array.alias("found")).select(
+        F.inline(extract._without_breaks(extract.Lines("found", found.names)))).collect()
+    got = sorted((f"p{r.block}", r.line_no, r.line) for r in kept)
     want = sorted((f"p{b}", i, x) for b, lines in enumerate(blocks) for i, x in gap_fold(lines))
     assert got == want
 
@@ -222,3 +226,34 @@ def test_number_text(spark):
              123456789.12: "123456789.12", 1e-7: "0.0000001", 1.5e22: "15000000000000000000000.0", 0.5: "0.5"}
     df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "x double").select(number_text(F.col("x")).alias("t"))
     assert [r.t for r in df.collect()] == [*cases.values(), None]
+
+
+def test_state_runs_over_long_arrays(spark):
+    from pyspark.sql import functions as F
+
+    from lotledger.functions.arrays import running
+
+    def step(s, r):
+        total = s["total"] + r["x"]
+        return {"total": total}, F.struct(total.alias("x")), total % 3 != 0
+
+    sizes = [0, 1, 255, 256, 257, 5000]
+    df = spark.createDataFrame([(n,) for n in sizes] + [(None,)], "n int").withColumn("xs", F.when(
+        F.col("n") > 0, F.transform(F.sequence(F.lit(1), F.col("n")), lambda x: F.struct(x.cast("long").alias("x")))).when(
+        F.col("n") == 0, F.slice(F.array(F.struct(F.lit(1).cast("long").alias("x"))), 1, 0)))
+    got = {r.n: r.out for r in df.select("n", running(F.col("xs"), {"total": F.lit(0).cast("long")}, step).alias("out")).collect()}
+    assert got.pop(None) is None
+    for n, out in got.items():
+        assert [r.x for r in out] == [t for k in range(1, n + 1) if (t := k * (k + 1) // 2) % 3]
+
+
+def test_lines_never_leave_their_document(spark):
+    read = extract.read_all(docs(spark, (BILL, TEXT)))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+
+
+def test_many_lines(spark):
+    more = "".join(f"Line {k}     04/01/2017     $1.00\n" for k in range(3000))
+    rows, rejects = extract.extract_all(docs(spark, (BILL, TEXT.replace("Total current charges", more + "Total current charges"))))
+    assert rejects.count() == 0 and rows.filter("key like 'Line %' and duedate = date'2017-04-01'").count() == 3000

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotledger.functions.lots import bbl_number, bbl_text, block_of, borough_of
@@ -50,40 +50,76 @@ def parcel_ids(parcels: DataFrame, *columns: str) -> DataFrame:
     return parcels.select(F.concat_ws("\t", *clean).alias("line"))
 
 
-def _wanted(periods: Sequence[Period]):
-    return F.array(*[
-        F.struct(F.lit(p).alias("period"), F.lit(t).alias("doc_type"), F.lit(n).alias("docname"))
-        for p, t, n in periods
-    ])
+def period_table(spark: SparkSession, periods: Sequence[Period]) -> DataFrame:
+    """Periods as a table: period, doc_type, docname."""
+    return spark.createDataFrame(list(periods), "period string, doc_type string, docname string")
 
 
-def expected_documents(lots: DataFrame, periods: Sequence[Period]) -> DataFrame:
-    """Each lot with each period. The periods travel as a literal array: no join."""
-    return lots.select("bbl").distinct().select("bbl", F.inline(_wanted(periods)))
+def expected_documents(lots: DataFrame, periods: DataFrame) -> DataFrame:
+    """Each lot with each period."""
+    return work_list(lots, periods, lots.select("bbl", F.lit(None).cast("string").alias("file")).limit(0))
 
 
-def held_documents(files: DataFrame, periods: Sequence[Period]) -> DataFrame:
+def held_documents(files: DataFrame, periods: DataFrame) -> DataFrame:
     """(lot, document name) that need no fetch, from ``bbl, file`` listings.
 
     A document is held under its own name, as the text of its PDF or with a doubled extension;
     ``nostatement.<period>.txt`` marks that none of the period's documents exists.
     """
-    marker = F.regexp_extract("file", r"^nostatement\.(.*)\.txt$", 1)
-    by_period: dict[str, list[str]] = {}
-    for period, _, name in periods:
-        by_period.setdefault(period, []).append(name)
-    names = F.array(held_name(F.col("file")))
-    for period, docs in by_period.items():
-        names = F.when(marker == period, F.array(*[F.lit(d) for d in docs])).otherwise(names)
-    return files.select("bbl", F.explode(names).alias("docname")).distinct()
+    return _held(files, periods).select("bbl", "docname").distinct()
 
 
-def work_list(lots: DataFrame, periods: Sequence[Period], files: DataFrame,
+def _held(files: DataFrame, periods: DataFrame) -> DataFrame:
+    """``bbl`` and the columns of each period that a file holds or a marker settles."""
+    marker = F.nullif(F.regexp_extract("file", r"^nostatement\.(.*)\.txt$", 1), F.lit(""))
+    named = files.select("bbl", marker.alias("of"), held_name(F.col("file")).alias("name"))
+    known = periods.distinct()
+    settled = named.filter(F.col("of").isNotNull()).join(known, F.col("of") == F.col("period"))
+    own = named.join(known, F.col("name") == F.col("docname"))
+    return own.unionByName(settled).drop("of", "name")
+
+
+WORD = 64  # periods of one word of a lot's bitmap
+
+
+def _numbered(periods: DataFrame) -> DataFrame:
+    """Periods with a number each, from 0. The list has a row per publication, so one task numbers it."""
+    order = Window.orderBy(*[F.asc_nulls_last(c) for c in periods.columns])
+    return periods.distinct().withColumn("nr", F.row_number().over(order) - 1)
+
+
+def _lacking(lots: DataFrame, held: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Each lot with the periods of which ``held`` (bbl, nr) has no number.
+
+    Numbers become words of a bitmap by partial bitwise sums, one small row per lot; the unset bits are
+    expanded in that row. Pairs of lot and period that are held are never made, and none is shuffled.
+    """
+    count = numbered.count()
+    nr = F.col("nr")
+    words = held.groupBy("bbl", F.call_function("div", nr, F.lit(WORD)).cast("int").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), nr % WORD)).alias("bits"))
+    maps = words.groupBy("bbl").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(max(0, count - 1) // WORD)), lambda w: F.struct(
+        w.alias("word"), F.coalesce(F.try_element_at("held", w), F.lit(0).cast("bigint")).alias("bits")))
+    unset = F.flatten(F.transform("words", lambda w: F.filter(
+        F.sequence(w["word"] * WORD, F.least(w["word"] * WORD + WORD - 1, F.lit(count - 1))),
+        lambda n: F.getbit(w["bits"], n % WORD) == 0)))
+    known = lots.select("bbl").distinct().join(maps, "bbl", "left").filter(F.lit(count > 0))
+    return known.select("bbl", every.alias("words")).select("bbl", F.explode(unset).alias("nr")).join(numbered, "nr").drop("nr")
+
+
+def work_list(lots: DataFrame, periods: DataFrame, files: DataFrame,
               base: str | None = None) -> DataFrame:
-    """Documents still to fetch; with ``base`` also the address to ask."""
-    todo = expected_documents(lots, periods).join(
-        held_documents(files, periods), ["bbl", "docname"], "left_anti"
-    ).select("bbl", "period", "doc_type", "docname")
+    """Documents still to fetch; with ``base`` also the address to ask.
+
+    ``periods`` is a table of period, doc_type and docname, of any length. What a lot holds is a bitmap of
+    period numbers; its unset bits are the work.
+    """
+    wanted = periods.select("period", "doc_type", "docname")
+    numbered = _numbered(wanted)
+    named = F.struct("period", "doc_type", "docname").alias("document")  # equal when all parts are, NULL or not
+    held = _held(files, wanted).select("bbl", named).join(numbered.select("nr", named), "document").select("bbl", "nr")
+    todo = _lacking(lots, held, numbered).select("bbl", "period", "doc_type", "docname")
     if base is None:
         return todo
     return todo.withColumn(
@@ -91,12 +127,10 @@ def work_list(lots: DataFrame, periods: Sequence[Period], files: DataFrame,
     )
 
 
-def missing_periods(lots: DataFrame, periods: Sequence[str], held: DataFrame) -> DataFrame:
-    """(lot, period) pairs without a bill."""
-    grid = lots.select("bbl").distinct().select(
-        "bbl", F.explode(F.array(*[F.lit(p) for p in periods])).alias("period")
-    )
-    return grid.join(held.select("bbl", "period").distinct(), ["bbl", "period"], "left_anti")
+def missing_periods(lots: DataFrame, periods: DataFrame, held: DataFrame) -> DataFrame:
+    """(lot, period) pairs without a bill; ``periods`` has a column ``period``."""
+    numbered = _numbered(periods.select("period"))
+    return _lacking(lots, held.select("bbl", "period").join(numbered, "period").select("bbl", "nr"), numbered)
 
 
 def converted(files: DataFrame) -> DataFrame:

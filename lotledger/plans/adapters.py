@@ -14,6 +14,7 @@ from functools import reduce, wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotledger.functions import names
 from lotledger.functions.lots import borough_code
 from lotledger.sources import documents
 
@@ -386,6 +387,18 @@ class Views:
             .otherwise(F.concat(name, F.lit(".pdf"))).alias("file"),
         )
 
+    @once
+    def known_files(self) -> DataFrame:
+        """Files held of the known publications, one per order: its lot's document of one period, by order
+        status as PDF, as its text, or as a marker that the period has none."""
+        known = self.spark.createDataFrame(list(enumerate(names.known_periods())),
+                                           "nr bigint, p struct<period: string, doc_type: string, docname: string>")
+        status = F.col("o_orderstatus")
+        return self.bills().join(known, F.col("o_orderkey") % known.count() == F.col("nr")).select(
+            "bbl", F.when(status == "O", F.col("p.docname"))
+            .when(status == "F", F.regexp_replace("p.docname", r"\.pdf$", ".txt"))
+            .otherwise(F.concat(F.lit("nostatement."), "p.period", F.lit(".txt"))).alias("file"))
+
     @once
     def responses(self) -> DataFrame:
         """Events as server answers: a content type and the county asked about."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -244,16 +243,14 @@ def _ingested(t: Tables) -> DataFrame:
 
 
 
-def _days(t: Tables) -> list[str]:
-    """Every day from the first to the last event: as many as the table's range has, two of them read."""
-    first, last = t.table("events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
-    if first is None:
-        return []
-    return [(first + timedelta(d)).strftime("%Y%m%d") for d in range((last - first).days + 1)]
-
-
-def _event_periods(t: Tables) -> list[tuple[str, str, str]]:
-    return [(d, "SOA", names.document_name(d, names.BILL, "pdf")) for d in _days(t)]
+def _event_periods(t: Tables) -> DataFrame:
+    """Every day from the first to the last event as a period with its bill."""
+    day = F.to_date("ts")
+    range_ = t.table("events").agg(F.min(day).alias("a"), F.max(day).alias("z")).filter("a is not null")
+    days = range_.select(F.explode(F.sequence("a", "z")).alias("day"))
+    return days.select(
+        F.date_format("day", "yyyyMMdd").alias("period"), F.lit("SOA").alias("doc_type"),
+        F.concat(F.date_format("day", "MMMM d, yyyy"), F.lit(f" - {names.BILL}.pdf")).alias("docname"))
 
 
 _BUILD |= {
@@ -275,8 +272,10 @@ _BUILD |= {
     "work_list": lambda t: manifest.work_list(
         _event_lots(t), _event_periods(t), t.event_files(), "https://example.org/StatementSearch"
     ),
+    "known_work_list": lambda t: manifest.work_list(
+        t.lots(), manifest.period_table(t.spark, names.known_periods()), t.known_files(), "https://example.org/Search"),
     "missing_periods": lambda t: manifest.missing_periods(
-        _event_lots(t), _days(t), t.table("events").select(
+        _event_lots(t), _event_periods(t), t.table("events").select(
             F.col("user_id").alias("bbl"), F.date_format("ts", "yyyyMMdd").alias("period"))
     ),
     "converted_files": lambda t: manifest.converted(t.file_listing()),
@@ -366,6 +365,12 @@ def _ranked_ids(t: Tables) -> DataFrame:
     return ordering.numbered(found, [F.asc_nulls_first("meta")])
 
 
+def _ranked_charges(t: Tables) -> DataFrame:
+    """All charge lines by falling amount, then by line."""
+    lines = t.charges().select("line_no", "bbl", F.col("value").cast("double").alias("amount"))
+    return ordering.numbered(lines, [F.desc_nulls_last("amount"), "line_no"])
+
+
 def _extracted(t: Tables) -> DataFrame:
     """Rows of printed bills, stored and read back: what the facts start from."""
     path = _place(t, "extracted")
@@ -401,6 +406,7 @@ _BUILD |= {
     "kept_relayout": _kept_relayout,
     "ranked_keys": _ranked_keys,
     "ranked_ids": _ranked_ids,
+    "ranked_charges": _ranked_charges,
     "extracted_unit_counts": lambda t: facts.unit_counts(_extracted(t), cutoff=ad.CUTOFF),
     "extracted_unit_history": lambda t: lookup.unit_history(_extracted(t)),
     "extracted_lot_summary": lambda t: lookup.lot_summary(_extracted(t)),

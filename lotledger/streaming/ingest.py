@@ -9,7 +9,6 @@ earlier batch are left out by an anti join on the document path.
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,17 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lotledger.operators.extract import read_all, rejects_of, rows_of
 from lotledger.sources.documents import classify_documents
+from lotledger.sources.working import working_folder  # noqa: F401
 
 DOCUMENTS, READ = "documents", "read"
 
 
-def working_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, else below the warehouse, both shared by driver
-    and executors."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/ingest-{uuid4().hex}"
-
-
 def _slot(path: Column) -> Column:
     return F.pmod(F.xxhash64(path), F.lit(SLOTS)).cast("int")
 

@@ -233,9 +233,35 @@ def test_work_list(spark):
     files = spark.createDataFrame(
         [(1, periods[0][2]), (2, periods[0][2].replace(".pdf", ".txt")), (3, periods[0][2] + ".pdf"),
          (4, "nostatement.20160115.txt"), (2, periods[2][2])], "bbl bigint, file string")
-    todo = manifest.work_list(lots, periods, files).collect()
+    table = manifest.period_table(spark, periods)
+    todo = manifest.work_list(lots, table, files).collect()
     assert sorted((r.bbl, r.doc_type) for r in todo) == [
         (1, "NOPV"), (1, "TAR"), (2, "NOPV"), (3, "NOPV"), (3, "TAR"), (4, "SOA")]
+    assert manifest.expected_documents(lots, table).count() == 12
+    assert {(r.bbl, r.docname) for r in manifest.held_documents(files, table).collect()} == {
+        (1, periods[0][2]), (2, periods[0][2]), (2, periods[2][2]), (3, periods[0][2]), (4, periods[1][2]), (4, periods[2][2])}
+    assert manifest.work_list(lots, manifest.period_table(spark, []), files).count() == 0
+
+
+def test_work_list_of_many_periods(spark):
+    """Three thousand periods; what is held is one row per lot, and no pair is shuffled."""
+    import datetime
+
+    days = [datetime.date(2010, 1, 1) + datetime.timedelta(k) for k in range(3000)]
+    periods = [(f"{d:%Y%m%d}", "SOA", f"{d:%Y%m%d} - bill.pdf") for d in days]
+    rng = random.Random(4)
+    held = [(bbl, k) for bbl in range(1, 40) for k in rng.sample(range(3000), rng.choice([0, 1, 64, 1500, 3000]))]
+    files = spark.createDataFrame([(b, periods[k][2]) for b, k in held] + [(99, "other.pdf"), (None, periods[0][2])], "bbl bigint, file string")
+    lots = spark.createDataFrame([(b,) for b in range(1, 41)], "bbl bigint")
+    todo = manifest.work_list(lots, manifest.period_table(spark, periods), files)
+    want = {(b, periods[k][0]) for b in range(1, 41) for k in range(3000)} - {(b, periods[k][0]) for b, k in held}
+    got = [(r.bbl, r.period) for r in todo.select("bbl", "period").collect()]
+    assert len(got) == len(want) and set(got) == want
+    plan = todo._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "Cross" not in plan
+    missing = manifest.missing_periods(lots, spark.createDataFrame([(p,) for p, _, _ in periods], "period string"),
+                                       spark.createDataFrame([(b, periods[k][0]) for b, k in held], "bbl bigint, period string"))
+    assert {(r.bbl, r.period) for r in missing.collect()} == want
 
 
 def test_shards_keep_copies(spark):

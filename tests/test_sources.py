@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lotledger.operators import facts, lookup, ordering
@@ -146,3 +147,33 @@ def test_export_in_order(spark, tmp_path):
     assert lines == [f"{'' if k is None else k},{i}" for k, i in want]
     ranks = {r.id: r["rank"] for r in ordering.numbered(df, [F.desc_nulls_last("k"), "id"]).collect()}
     assert [ranks[i] for _, i in want] == list(range(1, 501))
+
+
+def test_numbers_of_many_rows(spark):
+    """Ranks of more rows than a range sample holds, with columns beside the keys."""
+    n = 1_000_000
+    df = spark.range(n).select(F.xxhash64("id").alias("k"), "id", F.concat(F.lit("payload "), "id").alias("more"))
+    got = ordering.numbered(df, ["k", "id"])
+    before = F.lag("k").over(Window.partitionBy(F.expr("(rank - 1) div 1000")).orderBy("rank"))
+    seen = got.agg(F.count("*"), F.countDistinct("rank"), F.min("rank"), F.max("rank"), F.sum("id")).first()
+    assert tuple(seen) == (n, n, 1, n, n * (n - 1) // 2)
+    assert got.withColumn("before", before).filter("before > k").count() == 0
+    edges = got.groupBy(F.expr("(rank - 1) div 1000").alias("part")).agg(F.min("k").alias("low"), F.max("k").alias("high"))
+    assert edges.withColumn("last", F.lag("high").over(Window.orderBy("part"))).filter("last > low").count() == 0
+    assert got.columns == ["k", "id", "more", "rank"] and got.filter("more <> concat('payload ', id)").count() == 0
+
+
+def test_working_folder_must_be_shared(monkeypatch):
+    from types import SimpleNamespace
+
+    from lotledger.sources.working import working_folder
+
+    def session(master, **settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: settings.get(k, d)), sparkContext=SimpleNamespace(master=master))
+
+    warehouse = {"spark.sql.warehouse.dir": "/w"}
+    assert working_folder(session("local[4]", **warehouse)).startswith("/w/ingest-")
+    assert working_folder(session("yarn", **warehouse, **{"spark.checkpoint.dir": "/s/"})).startswith("/s/ingest-")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://x"):
+        with pytest.raises(ValueError):
+            working_folder(session(master, **warehouse))

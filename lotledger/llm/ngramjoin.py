@@ -13,9 +13,14 @@ counts overlaps. Only blocks that can hold a link are multiplied:
 3. A group is cut into blocks of bounded size; a task multiplies one block (or a pair of blocks) of
    the incidence matrix, accumulates overlap counts, discards pairs below the overlap that their
    sizes ask for, and returns the edges of a spanning forest of the links it found, never the pairs.
-4. Large groups take three passes: each block alone; one row per class found so far; and only for
-   groups that still have several classes, all pairs of blocks. A group of near copies thus costs
-   in proportion to its size, and a link between any two rows is still found.
+4. Large groups are cut at random and multiplied in parts, then grouped anew: only a document that
+   shares a prefix n-gram with one of another class is still open, and what such pairs connect is a
+   group of its own, small as a rule. Rounds go on while they merge classes. In what is left, the
+   parts of the largest class meet the parts of the others and these each other, so no link is lost
+   and the members of a class are not compared again.
+
+Blocks are bounded by n-grams, of which a document counts at least ``UNIT``. Texts are moved, not
+n-gram arrays: compressed they take half the bytes of hashes.
 
 Rows with equal sets are linked by definition and compared through one of them.
 """
@@ -24,27 +29,33 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotledger.llm.common import components, forest, thinned, written
 from lotledger.llm.hashing import mix, shingles
 
-BLOCK = 512
-BUCKETS = 256
+BLOCK = 512          # documents of a block, or units of n-grams of long ones
+UNIT = 2048          # n-grams that count as one document
+BUCKETS = 256        # groups of prefix n-grams, at least
+ENTRIES = 2_000_000  # prefix n-grams of a group
+TASKS = 256          # tasks whose counts are added up first
 COUNTERS = 22  # binary logarithm of the number of counters
 DENSE = 24   # documents from which a column is multiplied as a dense one
 
 
-def counted(docs: DataFrame, n: int, bits: int = COUNTERS) -> np.ndarray:
-    """How often n-grams of each of ``2 ** bits`` hash classes occur, as rounded binary logarithms.
+def counted(docs: DataFrame, n: int, bits: int = COUNTERS) -> tuple[np.ndarray, int]:
+    """How often n-grams of each of ``2 ** bits`` hash classes occur, as rounded binary logarithms,
+    and how many there are in all.
 
-    Tasks add up their counts; the sums are taken by ranges of classes. The result has a byte per
-    class, whatever the data.
+    Tasks add up their counts; the sums are taken by ranges of classes, first over ``TASKS`` tasks each,
+    then over what these gave, so that a group holds tens of MB. The result has a byte per class.
     """
     parts, width = 64, (1 << bits) // 64
 
@@ -56,21 +67,32 @@ def counted(docs: DataFrame, n: int, bits: int = COUNTERS) -> np.ndarray:
                     # A text's classes, so that memory follows one text and the counters.
                     classes, times = np.unique(shingles(text, n) >> np.uint64(64 - bits), return_counts=True)
                     counts[classes.astype(np.int64)] += times.astype(np.uint32)
+        task = TaskContext.get().partitionId() // TASKS
         rows = [counts[k * width:(k + 1) * width].tobytes() for k in range(parts)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array(rows, pa.binary())], names=["part", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([task] * parts, pa.int32()), pa.array(rows, pa.binary())],
+                                         names=["part", "task", "counts"])
+
+    def total_of(rows: pd.Series, kind: type) -> np.ndarray:
+        total = np.zeros(width, np.uint64)
+        for raw in rows:
+            total += np.frombuffer(raw, kind)
+        return total
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(width)
-        for raw in frame["counts"]:
-            total += np.frombuffer(raw, np.uint32)
-        level = np.rint(4 * np.log2(total + 1)).astype(np.uint8)  # a quarter of a bit is fine enough
-        return pd.DataFrame({"part": frame["part"].iloc[:1], "counts": [level.tobytes()]})
-
-    schema = "part int, counts binary"
-    done = docs.select("text").mapInArrow(read, schema).groupBy("part").applyInPandas(add, schema).toPandas()
+        total = total_of(frame["counts"], np.uint32)
+        return pd.DataFrame({"part": frame["part"].iloc[:1], "counts": [total.tobytes()]})
+
+    def level(frame: pd.DataFrame) -> pd.DataFrame:
+        total = total_of(frame["counts"], np.uint64).astype(float)
+        levels = np.rint(4 * np.log2(total + 1)).astype(np.uint8)  # a quarter of a bit is fine enough
+        return pd.DataFrame({"part": frame["part"].iloc[:1], "n": [int(total.sum())], "counts": [levels.tobytes()]})
+
+    schema = "part int, task int, counts binary"
+    some = docs.select("text").mapInArrow(read, schema).groupBy("part", "task").applyInPandas(add, "part int, counts binary")
+    done = some.groupBy("part").applyInPandas(level, "part int, n long, counts binary").toPandas()
     if not len(done):
-        return np.zeros(1 << bits, np.uint8)
-    return np.frombuffer(b"".join(done.sort_values("part")["counts"]), np.uint8)
+        return np.zeros(1 << bits, np.uint8), 0
+    return np.frombuffer(b"".join(done.sort_values("part")["counts"]), np.uint8), int(done["n"].sum())
 
 
 def prefix(grams: np.ndarray, level: np.ndarray, t: int) -> np.ndarray:
@@ -123,11 +145,30 @@ def block_links(ids: np.ndarray, rows: list[np.ndarray], label: np.ndarray, t: i
 _KEYS = "doc_id long, n_shingles long, k1 long, k2 long, bucket int, sig binary, ids binary, sizes binary"
 
 
-def _scanned(docs: DataFrame, n: int, t: int, buckets: int) -> DataFrame:
+def _bucketed(sigs: list[np.ndarray], buckets: int, *beside: list[np.ndarray]) -> Iterator[tuple]:
+    """(bucket, n-grams, and what stands beside each) of a batch; five bytes of a hash are enough: a
+    chance match costs a test, no more."""
+    sig, *rest = (np.concatenate(x) for x in (sigs, *beside))
+    bucket = ((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")
+    sig, bucket, rest = sig[order], bucket[order], [x[order] for x in rest]
+    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    for x, y in zip(cuts, np.append(cuts[1:], len(sig))):
+        low = np.ascontiguousarray(sig[x:y].view(np.uint8).reshape(-1, 8)[:, :5])
+        yield int(bucket[x]), low.tobytes(), *(part[x:y].tobytes() for part in rest)
+
+
+def _unpacked(frame: pd.DataFrame, **kinds: type) -> list[np.ndarray]:
+    """The n-grams of a bucket and what stands beside them, one array each."""
+    low = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(-1, 5)
+    sig = np.zeros((len(low), 8), np.uint8)
+    sig[:, :5] = low
+    return [sig.view(np.uint64).ravel(), *(np.frombuffer(b"".join(frame[c]), k).astype(np.int64) for c, k in kinds.items())]
+
+
+def _scanned(docs: DataFrame, n: int, t: int, level: Broadcast, buckets: int) -> DataFrame:
     """A row per document (bucket -1) with size and set key, and rows of prefix n-grams by bucket.
     Of documents with equal sets in a batch only the first sends n-grams."""
-    shared = docs.sparkSession.sparkContext.broadcast(counted(docs, n))  # a byte per counter
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
@@ -140,21 +181,12 @@ def _scanned(docs: DataFrame, n: int, t: int, buckets: int) -> DataFrame:
                     keys.append((doc_id, len(grams), k1, k2))
                     if doc_id is not None and len(grams) and (len(grams), k1, k2) not in seen:
                         seen.add((len(grams), k1, k2))
-                        sigs.append(prefix(grams, shared.value, t))
+                        sigs.append(prefix(grams, level.value, t))
                         owners.append(np.full(len(sigs[-1]), doc_id, np.int64))
                         sizes.append(np.full(len(sigs[-1]), len(grams), np.uint32))
                 rows = [(*k, -1, None, None, None) for k in keys]
                 if sigs:
-                    sig, owner, size = np.concatenate(sigs), np.concatenate(owners), np.concatenate(sizes)
-                    bucket = ((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                    order = np.argsort(bucket, kind="stable")
-                    sig, owner, size, bucket = sig[order], owner[order], size[order], bucket[order]
-                    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-                    for x, y in zip(cuts, np.append(cuts[1:], len(sig))):
-                        # Five bytes of the hash are enough: a chance match costs a test, no more.
-                        low = np.ascontiguousarray(sig[x:y].view(np.uint8).reshape(-1, 8)[:, :5])
-                        rows.append((None, None, None, None, int(bucket[x]), low.tobytes(),
-                                     owner[x:y].tobytes(), size[x:y].tobytes()))
+                    rows += [(None, None, None, None, *x) for x in _bucketed(sigs, buckets, owners, sizes)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (
                     *[pa.int64()] * 4, pa.int32(), *[pa.binary()] * 3))],
                     names=[x.split()[0] for x in _KEYS.split(", ")])
@@ -170,12 +202,7 @@ def _shared(t: int):
     """
 
     def join(frame: pd.DataFrame) -> pd.DataFrame:
-        low = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(-1, 5)
-        sig = np.zeros((len(low), 8), np.uint8)
-        sig[:, :5] = low
-        sig = sig.view(np.uint64).ravel()
-        ids = np.frombuffer(b"".join(frame["ids"]), np.int64)
-        size = np.frombuffer(b"".join(frame["sizes"]), np.uint32).astype(np.int64)
+        sig, ids, size = _unpacked(frame, ids=np.int64, sizes=np.uint32)
         order = np.lexsort((ids, size, sig))
         sig, ids, size = sig[order], ids[order], size[order]
         near = (sig[1:] == sig[:-1]) & (100 * size[:-1] >= t * size[1:]) & (ids[1:] != ids[:-1])
@@ -199,54 +226,116 @@ def _multiplied(rows: DataFrame, n: int, t: int) -> DataFrame:
     return rows.groupBy("block").applyInPandas(multiply, "a long, b long")
 
 
-def _chunk(count: Column, of: str, block: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(1), of), F.ceil(count / block))
+def _contested(marked: DataFrame, n: int, t: int, level: Broadcast, buckets: int) -> DataFrame:
+    """(node, component): the documents of ``marked`` (doc_id, label, text) that share a prefix n-gram
+    with one of another label and of a size that allows a link, by what such pairs connect."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                part = whole.slice(at, 256)
+                sigs, beside = [], ([], [], [])
+                for doc_id, label, text in zip(*(c.to_pylist() for c in part.columns)):
+                    grams = shingles(text, n)
+                    if len(grams):
+                        sigs.append(prefix(grams, level.value, t))
+                        for x, value, kind in zip(beside, (doc_id, label, len(grams)), (np.int64, np.int64, np.uint32)):
+                            x.append(np.full(len(sigs[-1]), value, kind))
+                rows = list(_bucketed(sigs, buckets, *beside)) if sigs else []
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int32() if not k else pa.binary()) for k in range(5)],
+                                                 names=["bucket", "sig", "ids", "labels", "sizes"])
+
+    def join(frame: pd.DataFrame) -> pd.DataFrame:
+        sig, ids, label, size = _unpacked(frame, ids=np.int64, labels=np.int64, sizes=np.uint32)
+        order = np.lexsort((ids, label, size, sig))
+        sig, ids, label, size = sig[order], ids[order], label[order], size[order]
+        at = np.arange(len(sig))
+        # The nearest one before and after, by size, that has the n-gram and another label.
+        first = np.concatenate(([True], (sig[1:] != sig[:-1]) | (label[1:] != label[:-1])))
+        before = np.maximum.accumulate(np.where(first, at, 0)) - 1
+        after = np.append(np.minimum.accumulate(np.where(first, at, len(sig))[::-1])[::-1][1:], len(sig))
+        open_ = np.zeros(len(sig), bool)
+        for other, small in ((before, True), (after, False)):
+            there = (other >= 0) & (other < len(sig))
+            o = np.where(there, other, 0)
+            low, high = (size[o], size) if small else (size, size[o])
+            open_ |= there & (sig[o] == sig) & (100 * low >= t * high)
+        sig, ids, size = sig[open_], ids[open_], size[open_]
+        near = (sig[1:] == sig[:-1]) & (100 * size[:-1] >= t * size[1:]) & (ids[1:] != ids[:-1])
+        pairs = np.unique(np.stack([ids[1:][near], ids[:-1][near]], 1), axis=0)
+        return pd.DataFrame(forest(pairs[:, 0].tolist(), pairs[:, 1].tolist()), columns=["a", "b"], dtype="int64")
 
+    found = marked.select("doc_id", "label", "text").mapInArrow(read, "bucket int, sig binary, ids binary, labels binary, sizes binary")
+    edges = written(thinned(found.groupBy("bucket").applyInPandas(join, "a long, b long"), "a", "b"))
+    return components(edges, "a", "b")
+
+
+def _linked(docs: DataFrame, groups: DataFrame, sizes: DataFrame, equal: DataFrame, n: int, t: int, block: int,
+            level: Broadcast, buckets: int) -> DataFrame:
+    """Edges that connect all linked documents of ``groups`` (node, component) and those of ``equal``;
+    ``sizes`` has the units of each document."""
+
+    def sized(found: DataFrame, units: DataFrame) -> DataFrame:
+        """found (node, component) with the units of the document and those of its group."""
+        each = written(found.join(units, found["node"] == units["doc_id"]).select("node", "component", "units"), rows=known)
+        total = each.groupBy("component").agg(F.sum("units").alias("total"))
+        return written(each.join(total, "component"), rows=known)
 
-def _linked(docs: DataFrame, groups: DataFrame, n: int, t: int, block: int) -> DataFrame:
-    """Edges that connect all linked documents of ``groups`` (node, component)."""
     known = groups.count()
-    sizes = written(groups.groupBy("component").agg(F.count("*").alias("count")), rows=known)
-    total = sizes.agg(F.sum("count"), F.max("count")).first()
-    if not total[0]:
-        return docs.sparkSession.createDataFrame([], "a long, b long")
-    few = max(1, math.ceil(total[0] / block))  # small groups share blocks
-    members = written(groups.join(sizes, "component").select(
-        F.col("node").alias("_id"), F.col("component").alias("comp"), "count"), rows=known)
+    if not known:
+        return equal
+    members = sized(groups, sizes)
     # Whole texts move once, as a plain shuffle at every size, and only those of groups are kept.
     texts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        members.hint("merge"), F.col("doc_id") == F.col("_id")).select("comp", "count", "doc_id", "text"))
-    small = F.col("count") <= block
-    apart = F.xxhash64("comp", _chunk(F.col("count"), "doc_id", block))
-    alone = texts.select(
-        "doc_id", F.col("doc_id").alias("label"), "text", F.when(small, F.col("comp")).otherwise(apart).alias("part"),
-        F.when(small, F.pmod(F.xxhash64("comp"), F.lit(few))).otherwise(few + F.abs(apart % 2**40)).alias("block"))
-    edges = written(thinned(_multiplied(alone, n, t), "a", "b"))
-    if total[1] <= block:
-        return edges
-    big = texts.where(~small).select("comp", "doc_id", "text")
-    for last in (False, True):
+        members.select(F.col("node").alias("_id"), F.col("component").alias("comp"), "units", "total").hint("merge"),
+        F.col("doc_id") == F.col("_id")).drop("_id").withColumn("label", F.col("doc_id")))
+    edges, seed, classes = equal, 0, None
+    while True:
+        # Small groups share blocks and are compared whole; large ones are cut at random.
+        small = F.col("total") <= block
+        few = max(1, math.ceil((texts.where(small).agg(F.sum("units")).first()[0] or 0) / block))
+        apart = F.xxhash64("comp", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.ceil(F.col("total") / block)))
+        cut = texts.select("doc_id", "label", "text", F.when(small, F.col("comp")).otherwise(apart).alias("part"),
+                           F.when(small, F.pmod(F.xxhash64("comp"), F.lit(few))).otherwise(few + F.abs(apart % 2**40)).alias("block"))
+        found = thinned(_multiplied(cut, n, t), "a", "b")
+        edges = written(edges.unionByName(found))
+        big = texts.where(~small)
+        if not big.limit(1).count():
+            return edges
         label = components(edges, "a", "b")
-        marked = written(big.join(label, big["doc_id"] == label["node"], "left").select(
-            "comp", "doc_id", "text", F.coalesce("component", "doc_id").alias("label")))
-        if not last:
-            # One row per class: what joins these joins the classes.
-            heads = marked.where(F.col("label") == F.col("doc_id"))
-            counts = written(heads.groupBy("comp").agg(F.count("*").alias("count")).where("count > 1"), rows=known)
-            cut = heads.join(counts, "comp").withColumn("part", F.xxhash64("comp", _chunk(F.col("count"), "doc_id", block)))
-            found = thinned(_multiplied(cut.withColumn("block", F.col("part")), n, t), "a", "b")
-            edges = written(edges.unionByName(found))
+        marked = written(big.select("doc_id", "units", "text").join(label, big["doc_id"] == label["node"], "left").select(
+            "doc_id", "units", "text", F.coalesce("component", "doc_id").alias("label")))
+        again = sized(_contested(marked, n, t, level, buckets), marked.groupBy("doc_id").agg(F.max("units").alias("units")))
+        texts = written(marked.join(again.select(F.col("node").alias("_id"), F.col("component").alias("comp"), "total").hint("merge"),
+                                    F.col("doc_id") == F.col("_id")).drop("_id"))
+        left = texts.where(F.col("total") > block).agg(F.countDistinct("label")).first()[0]
+        if not left or classes is None or 2 * left < classes:
+            classes, seed = left, seed + 1
             continue
-        open_ = written(marked.groupBy("comp").agg(F.count("*").alias("count"), F.min("label").alias("x"), F.max("label").alias("y"))
-                        .where("x < y"), rows=known)
-        cut = marked.join(open_, "comp").withColumn("chunks", F.ceil(F.col("count") / (block / 2)).cast("long"))
-        cut = cut.withColumn("own", F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.col("chunks")))
-        # Every pair of chunks meets in one block; a chunk goes to as many blocks as there are chunks.
-        cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-        part = F.xxhash64("comp", F.least("own", "other"), F.greatest("own", "other"))
-        found = thinned(_multiplied(cut.withColumn("part", part).withColumn("block", part), n, t), "a", "b")
-        edges = written(edges.unionByName(found))
-    return edges
+        small = texts.where(F.col("total") <= block)
+        large = _across(texts.where(F.col("total") > block), n, t, block)
+        alone = _multiplied(small.select("doc_id", "label", "text", F.col("comp").alias("part"), F.col("comp").alias("block")), n, t)
+        return written(edges.unionByName(thinned(large, "a", "b")).unionByName(thinned(alone, "a", "b")))
+
+
+def _across(rows: DataFrame, n: int, t: int, block: int) -> DataFrame:
+    """Links between the classes of large groups (comp, doc_id, label, units, text): parts of the
+    largest class meet parts of the others, and these each other."""
+    of = written(rows.groupBy("comp", "label").agg(F.sum("units").alias("units")))
+    top = of.groupBy("comp").agg(F.max_by("label", F.struct("units", "label")).alias("most"), F.max("units").alias("of_most"), F.sum("units").alias("of_all"))
+    half = block / 2
+    cut = rows.join(written(top), "comp").withColumns({
+        "main": F.ceil(F.col("of_most") / half).cast("long"), "side": F.ceil((F.col("of_all") - F.col("of_most")) / half).cast("long"),
+        "is_main": F.col("label") == F.col("most")})
+    own = F.pmod(F.xxhash64(F.lit(-1), "doc_id"), F.when(F.col("is_main"), F.col("main")).otherwise(F.col("side")))
+    sides = F.sequence(F.lit(0).cast("long"), F.col("side") - 1)
+    mains = F.sequence(F.lit(0).cast("long"), F.col("main") - 1)
+    own = cut.withColumn("own", own)
+    parts = F.when(F.col("is_main"), F.transform(sides, lambda x: F.xxhash64("comp", F.lit(0), "own", x))).otherwise(F.concat(
+        F.transform(mains, lambda x: F.xxhash64("comp", F.lit(0), x, "own")),
+        F.transform(sides, lambda x: F.xxhash64("comp", F.lit(1), F.least(x, F.col("own")), F.greatest(x, F.col("own"))))))
+    met = own.select("doc_id", "label", "text", F.explode(parts).alias("part"))
+    return _multiplied(met.withColumn("block", F.col("part")), n, t)
 
 
 def joined(docs: DataFrame, n: int = 5, t: int = 80, block: int = BLOCK, buckets: int = BUCKETS) -> DataFrame:
@@ -258,22 +347,26 @@ def joined(docs: DataFrame, n: int = 5, t: int = 80, block: int = BLOCK, buckets
     and have no component. Rows that repeat an id are one node with the links of all their texts.
     Other columns are not read; an empty table gives an empty result.
     """
-    scan = written(_scanned(docs, n, t, buckets))
+    levels, grams = counted(docs, n)
+    level = docs.sparkSession.sparkContext.broadcast(levels)  # a byte per counter
+    buckets = max(buckets, math.ceil(grams * (100 - t) / 100 / ENTRIES))
+    scan = written(_scanned(docs, n, t, level, buckets))
     keys = scan.where("bucket = -1").select("doc_id", "n_shingles", "k1", "k2")
     shared = scan.where("bucket >= 0").select("bucket", "sig", "ids", "sizes").groupBy("bucket").applyInPandas(
         _shared(t), "a long, b long")
     groups = components(thinned(shared, "a", "b"), "a", "b")
-    edges = _linked(docs, groups, n, t, block)
+    units = keys.groupBy("doc_id").agg(F.max(F.ceil(F.greatest(F.col("n_shingles"), F.lit(1)) / UNIT)).alias("units"))
     least = written(keys.where("n_shingles > 0").groupBy("n_shingles", "k1", "k2").agg(
         F.min("doc_id").alias("b"), F.count("*").alias("times")).where("times > 1").drop("times"), rows=keys.count())
-    equal = keys.join(least, ["n_shingles", "k1", "k2"]).select(F.col("doc_id").alias("a"), "b")
-    label = components(edges.unionByName(equal), "a", "b")
+    equal = keys.join(least, ["n_shingles", "k1", "k2"]).select(F.col("doc_id").alias("a"), "b").where("a <> b")
+    edges = _linked(docs, groups, units, written(equal, rows=keys.count()), n, t, block, level, buckets)
+    label = components(edges, "a", "b")
     return keys.join(label, keys["doc_id"] == label["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def deduplicated(docs: DataFrame, n: int = 5, t: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component; rows without id stay."""
-    found = joined(docs, n, t)
-    dropped = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(dropped.hint("merge"), docs["doc_id"] == F.col("_id"), "left_anti")
+    found, own = joined(docs, n, t), f"_{uuid4().hex}"  # no name that a column of docs can have
+    dropped = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct())
+    return docs.join(dropped.hint("merge"), docs["doc_id"] == F.col(own), "left_anti")

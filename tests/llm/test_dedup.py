@@ -164,3 +164,35 @@ def test_exact_with_full_buckets(spark):
     rows = [(i, f"text {i % 70}") for i in range(100)]
     got = exactdedup.classes(spark.createDataFrame(rows, "doc_id long, text string"), bits=1).collect()
     assert sorted(r.doc_id for r in got if r.kept) == list(range(30, 100))
+
+
+@pytest.mark.parametrize("block", [8, 24])
+def test_large_groups_of_several_classes(spark, block):
+    """Chains of near copies and templates that share rare passages: groups beyond a block that stay open."""
+    rng = random.Random(block)
+    shared = [" ".join(f"s{k}x{j}" for j in range(60)) for k in range(4)]
+    texts = [f"{shared[k % 4]} {shared[(k + k // 4) % 4]} " + " ".join(f"u{k}v{j}" for j in range(rng.choice([2, 5, 12, 30]))) for k in range(70)]
+    for chain in range(3):
+        own = [f"c{chain}w{j}" for j in range(60)]
+        for step in range(30):  # each links with its neighbours, the ends do not
+            own[(7 * step) % 60] = f"c{chain}n{step}"
+            texts.append(" ".join(own))
+    texts += texts[100:110]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts)) + [(3, texts[50]), (4, None)]
+    frame = spark.createDataFrame([(i, x, 1, 2, "y") for i, x in rows], "doc_id long, text string, label int, units int, comp string")
+    got = ngramjoin.joined(frame.repartition(6), 3, 80, block=block, buckets=3)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=repr) == joined_by_force(rows, 3, 80)
+
+
+def test_contested_documents_are_those_of_open_pairs(spark):
+    """Exactly what shares a prefix n-gram with another label at a possible size, by what connects it."""
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(25)}" for _ in range(rng.randint(1, 14))) for _ in range(120)]
+    rows = [(i, rng.randrange(6), x) for i, x in enumerate(texts)]
+    levels, total = ngramjoin.counted(spark.createDataFrame([(x,) for x in texts], "text string"), 2, bits=12)
+    assert total == sum(len(grams_of(x, 2)) for x in texts)
+    level = spark.sparkContext.broadcast(levels)
+    got = {r.node for r in ngramjoin._contested(spark.createDataFrame(rows, "doc_id long, label long, text string"), 2, 50, level, 4).collect()}
+    heads = [(i, label, len(g), set(ngramjoin.prefix(g, levels, 50).tolist())) for i, label, x in rows for g in [hashing.shingles(x, 2)]]
+    assert got == {i for i, p, m, x in heads for j, q, n, y in heads if p != q and x & y and 100 * min(m, n) >= 50 * max(m, n)}

@@ -13,9 +13,10 @@ counts overlaps. Only blocks that can hold a link are multiplied:
 3. A group is cut into blocks of bounded size; a task multiplies one block (or a pair of blocks) of
    the incidence matrix, accumulates overlap counts, discards pairs below the overlap that their
    sizes ask for, and returns the edges of a spanning forest of the links it found, never the pairs.
-4. Large groups are cut at random and multiplied in parts, then grouped anew: only a document that
-   shares a prefix n-gram with one of another class is still open, and what such pairs connect is a
-   group of its own, small as a rule. Rounds go on while they merge classes. In what is left, the
+4. Large groups are cut at random and multiplied in parts, then grouped anew: a document with too many
+   n-grams that no other class has is done; of the others, with the columns ordered by their own
+   counts, only one that shares a prefix n-gram with another class is still open, and what such pairs
+   connect is a group of its own, small as a rule. Rounds go on while they merge classes. In what is left, the
    parts of the largest class meet the parts of the others and these each other, so no link is lost
    and the members of a class are not compared again.
 
@@ -28,7 +29,7 @@ Rows with equal sets are linked by definition and compared through one of them.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import numpy as np
@@ -226,9 +227,8 @@ def _multiplied(rows: DataFrame, n: int, t: int) -> DataFrame:
     return rows.groupBy("block").applyInPandas(multiply, "a long, b long")
 
 
-def _contested(marked: DataFrame, n: int, t: int, level: Broadcast, buckets: int) -> DataFrame:
-    """(node, component): the documents of ``marked`` (doc_id, label, text) that share a prefix n-gram
-    with one of another label and of a size that allows a link, by what such pairs connect."""
+def _postings(marked: DataFrame, n: int, buckets: int, pick: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Rows of the n-grams that ``pick`` takes of ``marked`` (doc_id, label, text), by bucket."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -237,14 +237,47 @@ def _contested(marked: DataFrame, n: int, t: int, level: Broadcast, buckets: int
                 sigs, beside = [], ([], [], [])
                 for doc_id, label, text in zip(*(c.to_pylist() for c in part.columns)):
                     grams = shingles(text, n)
-                    if len(grams):
-                        sigs.append(prefix(grams, level.value, t))
-                        for x, value, kind in zip(beside, (doc_id, label, len(grams)), (np.int64, np.int64, np.uint32)):
-                            x.append(np.full(len(sigs[-1]), value, kind))
-                rows = list(_bucketed(sigs, buckets, *beside)) if sigs else []
+                    sigs.append(pick(grams))
+                    for x, value, kind in zip(beside, (doc_id, label, len(grams)), (np.int64, np.int64, np.uint32)):
+                        x.append(np.full(len(sigs[-1]), value, kind))
+                rows = list(_bucketed(sigs, buckets, *beside)) if any(map(len, sigs)) else []
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int32() if not k else pa.binary()) for k in range(5)],
                                                  names=["bucket", "sig", "ids", "labels", "sizes"])
 
+    return marked.select("doc_id", "label", "text").mapInArrow(read, "bucket int, sig binary, ids binary, labels binary, sizes binary")
+
+
+def _possible(marked: DataFrame, n: int, t: int, buckets: int) -> DataFrame:
+    """The rows of ``marked`` that may still link with one of another label.
+
+    All but ``size - ceil(t * size)`` n-grams of a document would have to be shared with such a row.
+    Half of the columns are looked at: a document that has more n-grams than that of its label alone
+    among these is done. Rows that repeat an id stay.
+    """
+
+    def lone(frame: pd.DataFrame) -> pd.DataFrame:
+        sig, ids, label, size = _unpacked(frame, ids=np.int64, labels=np.int64, sizes=np.uint32)
+        order = np.lexsort((label, sig))
+        sig, ids, label, size = sig[order], ids[order], label[order], size[order]
+        start = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+        end = np.append(start[1:], len(sig))
+        own = np.repeat(label[start] == label[end - 1], end - start)
+        docs, at, times = np.unique(ids[own], return_index=True, return_counts=True)
+        return pd.DataFrame({"of": docs, "size": size[own][at], "n": times})
+
+    found = _postings(marked, n, buckets, lambda grams: grams[(grams >> np.uint64(32)) & np.uint64(1) == 0])
+    counts = found.groupBy("bucket").applyInPandas(lone, "of long, size long, n long").groupBy("of").agg(
+        F.sum("n").alias("n"), F.max("size").alias("size"))
+    done = written(counts.where(F.col("n") > F.col("size") - F.ceil(F.lit(t) * F.col("size") / 100)).select("of"))
+    again = marked.groupBy("doc_id").agg(F.count("*").alias("times")).where("times > 1").select(F.col("doc_id").alias("of"))
+    done = written(done.join(again, "of", "left_anti"))
+    return written(marked.join(done.hint("merge"), marked["doc_id"] == done["of"], "left_anti"))
+
+
+def _contested(marked: DataFrame, n: int, t: int, level: Broadcast, buckets: int) -> DataFrame:
+    """(node, component): the documents of ``marked`` (doc_id, label, text) that share a prefix n-gram
+    with one of another label and of a size that allows a link, by what such pairs connect."""
+
     def join(frame: pd.DataFrame) -> pd.DataFrame:
         sig, ids, label, size = _unpacked(frame, ids=np.int64, labels=np.int64, sizes=np.uint32)
         order = np.lexsort((ids, label, size, sig))
@@ -265,13 +298,13 @@ def _contested(marked: DataFrame, n: int, t: int, level: Broadcast, buckets: int
         pairs = np.unique(np.stack([ids[1:][near], ids[:-1][near]], 1), axis=0)
         return pd.DataFrame(forest(pairs[:, 0].tolist(), pairs[:, 1].tolist()), columns=["a", "b"], dtype="int64")
 
-    found = marked.select("doc_id", "label", "text").mapInArrow(read, "bucket int, sig binary, ids binary, labels binary, sizes binary")
+    found = _postings(marked, n, buckets, lambda grams: prefix(grams, level.value, t))
     edges = written(thinned(found.groupBy("bucket").applyInPandas(join, "a long, b long"), "a", "b"))
     return components(edges, "a", "b")
 
 
 def _linked(docs: DataFrame, groups: DataFrame, sizes: DataFrame, equal: DataFrame, n: int, t: int, block: int,
-            level: Broadcast, buckets: int) -> DataFrame:
+            buckets: int) -> DataFrame:
     """Edges that connect all linked documents of ``groups`` (node, component) and those of ``equal``;
     ``sizes`` has the units of each document."""
 
@@ -305,6 +338,9 @@ def _linked(docs: DataFrame, groups: DataFrame, sizes: DataFrame, equal: DataFra
         label = components(edges, "a", "b")
         marked = written(big.select("doc_id", "units", "text").join(label, big["doc_id"] == label["node"], "left").select(
             "doc_id", "units", "text", F.coalesce("component", "doc_id").alias("label")))
+        marked = _possible(marked, n, t, buckets)
+        # Counts of the few that are left tell their rare n-grams apart, as those of the table cannot.
+        level = docs.sparkSession.sparkContext.broadcast(counted(marked, n)[0])
         again = sized(_contested(marked, n, t, level, buckets), marked.groupBy("doc_id").agg(F.max("units").alias("units")))
         texts = written(marked.join(again.select(F.col("node").alias("_id"), F.col("component").alias("comp"), "total").hint("merge"),
                                     F.col("doc_id") == F.col("_id")).drop("_id"))
@@ -359,7 +395,7 @@ def joined(docs: DataFrame, n: int = 5, t: int = 80, block: int = BLOCK, buckets
     least = written(keys.where("n_shingles > 0").groupBy("n_shingles", "k1", "k2").agg(
         F.min("doc_id").alias("b"), F.count("*").alias("times")).where("times > 1").drop("times"), rows=keys.count())
     equal = keys.join(least, ["n_shingles", "k1", "k2"]).select(F.col("doc_id").alias("a"), "b").where("a <> b")
-    edges = _linked(docs, groups, units, written(equal, rows=keys.count()), n, t, block, level, buckets)
+    edges = _linked(docs, groups, units, written(equal, rows=keys.count()), n, t, block, buckets)
     label = components(edges, "a", "b")
     return keys.join(label, keys["doc_id"] == label["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

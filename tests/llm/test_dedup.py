@@ -196,3 +196,14 @@ def test_contested_documents_are_those_of_open_pairs(spark):
     got = {r.node for r in ngramjoin._contested(spark.createDataFrame(rows, "doc_id long, label long, text string"), 2, 50, level, 4).collect()}
     heads = [(i, label, len(g), set(ngramjoin.prefix(g, levels, 50).tolist())) for i, label, x in rows for g in [hashing.shingles(x, 2)]]
     assert got == {i for i, p, m, x in heads for j, q, n, y in heads if p != q and x & y and 100 * min(m, n) >= 50 * max(m, n)}
+
+
+def test_done_documents_cannot_link(spark):
+    """No document with a link to another label is taken out; ids that repeat stay."""
+    rng = random.Random(21)
+    texts = corpus(31, 20, 8, 60, 4)
+    rows = [(i, i if rng.random() < 0.7 else i // 3, x) for i, x in enumerate(texts)] + [(5, 5, "lone words of a repeated id " * 4)]
+    left = [r.doc_id for r in ngramjoin._possible(spark.createDataFrame(rows, "doc_id long, label long, text string"), 2, 80, 3).collect()]
+    sets = [(i, label, grams_of(x, 2)) for i, label, x in rows]
+    linked = {i for i, p, x in sets for j, q, y in sets if p != q and x & y and 100 * len(x & y) >= 80 * len(x | y)}
+    assert linked <= set(left) and left.count(5) == 2 and len(left) < len(rows)

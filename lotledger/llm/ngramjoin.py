@@ -390,12 +390,19 @@ def joined(docs: DataFrame, n: int = 5, t: int = 80, block: int = BLOCK, buckets
     keys = scan.where("bucket = -1").select("doc_id", "n_shingles", "k1", "k2")
     shared = scan.where("bucket >= 0").select("bucket", "sig", "ids", "sizes").groupBy("bucket").applyInPandas(
         _shared(t), "a long, b long")
-    groups = components(thinned(shared, "a", "b"), "a", "b")
     units = keys.groupBy("doc_id").agg(F.max(F.ceil(F.greatest(F.col("n_shingles"), F.lit(1)) / UNIT)).alias("units"))
     least = written(keys.where("n_shingles > 0").groupBy("n_shingles", "k1", "k2").agg(
         F.min("doc_id").alias("b"), F.count("*").alias("times")).where("times > 1").drop("times"), rows=keys.count())
     equal = keys.join(least, ["n_shingles", "k1", "k2"]).select(F.col("doc_id").alias("a"), "b").where("a <> b")
-    edges = _linked(docs, groups, units, written(equal, rows=keys.count()), n, t, block, buckets)
+    equal = written(equal, rows=keys.count())
+    found = components(thinned(shared, "a", "b"), "a", "b")
+    # Of equal sets, which share all n-grams and so a group, one document is compared; an id that
+    # repeats stays, as its other rows may have other sets.
+    once = keys.groupBy("doc_id").agg(F.count("*").alias("times")).where("times = 1").select("doc_id")
+    same = written(equal.join(once, equal["a"] == once["doc_id"], "left_semi"), rows=keys.count())
+    groups = written(found.join(same, found["node"] == same["a"], "left").select(
+        F.coalesce("b", "node").alias("node"), "component").distinct())
+    edges = _linked(docs, groups, units, equal, n, t, block, buckets)
     label = components(edges, "a", "b")
     return keys.join(label, keys["doc_id"] == label["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotledger.functions.text import amount
+from lotledger.operators.facts import with_keys
 from lotledger.operators.panel import cell_of
 from lotledger.operators.quality import one_per
 
@@ -64,9 +65,8 @@ def exempt_lots(raw: DataFrame, panel: DataFrame, lots: DataFrame, estimates: Da
     """
     keys = EXEMPT_KEYS_AS_RUN if mode == "as_run" else EXEMPT_KEYS
     exempt = (
-        raw.filter(
-            F.lower("key").isin(list(keys))
-            & (F.col("activitythrough") == F.lit(at).cast("date"))
+        with_keys(raw, keys).filter(
+            (F.col("activitythrough") == F.lit(at).cast("date"))
             & (F.col("bbl") % 10_000 < 1000)
         )
         .groupBy("bbl")

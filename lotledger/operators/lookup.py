@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotledger.functions.lots import block_of, borough_of, lot_of
 from lotledger.operators.facts import STABILIZATION_KEY
+from lotledger.operators.quality import one_per
 
 
 def _place(raw: DataFrame) -> list[Column]:
@@ -96,7 +97,7 @@ def list_only_entries(units: DataFrame, listed: DataFrame) -> DataFrame:
 
 def list_only_lots(units: DataFrame, listed: DataFrame, lots: DataFrame) -> DataFrame:
     """The same with parcel units."""
-    parcels = lots.select("bbl", "unitstotal", "unitsres")
+    parcels = one_per(lots.select("bbl", "unitstotal", "unitsres"), ["bbl"])
     return parcels.join(list_only_entries(units, listed), "bbl")
 
 

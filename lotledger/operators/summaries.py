@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lotledger.functions.lots import borough_of
 from lotledger.operators.panel import PARCEL_COLUMNS, cell_of
+from lotledger.operators.quality import one_per
 
 SPAN_CODES = ("j51", "421a", "scrie", "drie", "420c")
 
@@ -170,7 +171,7 @@ def landmark_change(panel: DataFrame, landmarks: DataFrame, years: Sequence[int]
     mention it (and lots without codes)."""
     if without is not None:
         panel = panel.filter(~cell_of(years, last, "abat").like(f"%{without}%"))
-    marks = landmarks.select(F.col("bbl").alias("mark_bbl"), "histdist", "landmark")
+    marks = one_per(landmarks.select(F.col("bbl").alias("mark_bbl"), "histdist", "landmark"), ["mark_bbl"])
     historic = F.col("histdist").isNotNull() | F.col("landmark").isNotNull()
     a, b = F.sum(cell_of(years, first, "uc")), F.sum(cell_of(years, last, "uc"))
     return (

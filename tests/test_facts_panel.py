@@ -273,3 +273,15 @@ def test_shards_keep_copies(spark):
     for at, bbl in enumerate(sorted(ids)):
         want[bbl, at // 7] = want.get((bbl, at // 7), 0) + 1
     assert {(r.bbl, r.shard): r.copies for r in got} == want
+
+
+def test_doubled_parcels_count_once(spark):
+    units = spark.createDataFrame([(1, 1999)], "bbl long, year int")
+    listed = spark.createDataFrame([(1, 1999), (2, 1999)], "bbl long, year int")
+    lots = spark.createDataFrame([(2, 5, 4), (2, 5, 4), (2, 6, None), (None, 1, 1)], "bbl long, unitstotal int, unitsres int")
+    assert [tuple(r) for r in lookup.list_only_lots(units, listed, lots).collect()] == [(2, 6, None)]
+    cells = "array<struct<year:int,uc:int,abat:string>>"
+    panel = spark.createDataFrame([(2, 101, [(1998, 4, None), (1999, 3, None)])], f"ucbbl long, cd int, cells {cells}")
+    marks = spark.createDataFrame([(2, "H", None), (2, "H", None)], "bbl long, histdist string, landmark string")
+    got = summaries.landmark_change(panel, marks, (1998, 1999), 1998, 1999).collect()
+    assert [(r.cd, r.ishist, r["1998"], r["1999"], r.change) for r in got] == [(101, True, 4, 3, -25.0)]

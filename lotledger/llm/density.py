@@ -1,10 +1,13 @@
 """Main text of web pages by composite text density.
 
 Every node of the page's tree has a link-adjusted number of characters per tag; the density sum of
-a node is that of its children taken together. The node with the largest sum anchors the content.
-The threshold is the smallest density on the path from that node to the body; a subtree belongs to
-the content when its density reaches the threshold. Within the anchor nothing is left out but what
-is not text of the article by its markup (menus, forms, scripts, adverts and the like).
+a node is that of its children and of its own text taken together. The node with the largest sum,
+or the container that it is a paragraph of, anchors the content. The threshold is the smallest
+density on the path from there to the body. The anchor grows to its parent while most of the text
+beside it reaches the threshold; beside the path, subtrees that reach it and headings are content.
+No element name marks an article. Elements that are none by their markup (menus, forms, scripts)
+are never read; names of classes only weigh: a subtree whose name says advert, comments or the like
+competes with ``NAMED`` of its sum, adds none to what holds it, and is left out unless it holds the anchor or most of its text.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp svg math object".split())
 OUTSIDE = frozenset(
-    "nav header footer aside form script style noscript iframe template svg math object head title "
+    "nav form script style noscript iframe template svg math object head title "
     "button select textarea input label fieldset dialog menu canvas audio video map".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -35,12 +39,21 @@ CLOSES = {  # an open tag ends these open elements, up to the fence
     "body": ({"head"}, set())}
 ENDS_P = BLOCKS - {"body", "html", "li", "dt", "dd", "tr", "td", "th", "tbody", "tfoot", "thead", "caption", "option"}
 FENCES = frozenset("table td th caption button object html body".split())
-HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banner|sponsor(?:ed|s)?|promo(?:tion)?s?|"
-    r"nav(?:bar|igation)?|menus?|breadcrumbs?|sidebars?|side|footer|foot|masthead|site-?header|page-?header|topbar|"
-    r"cookies?|consent|gdpr|notices?|newsletters?|subscribe|subscription|popup|modal|overlay|"
-    r"comments?|comment-?list|disqus|replies|respond|related|recommended|share|sharing|social|widgets?|"
-    r"toolbar|pagination|pager|login|signup|search|copyright|skip-?link|tags?-?cloud)(?:$|[\s_-])", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTAINERS = frozenset("body html div section article main td center details".split())
+# Names count on elements that hold others, not on a paragraph, heading or item.
+NAMEABLE = CONTAINERS - {"body", "html"} | frozenset("span ul ol dl table header footer aside figure a".split())
+BESIDE = frozenset("footer aside".split())
+# A class or id says something where all its words are of these two lists, and one of the first.
+HINTS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense banner sponsor sponsored sponsors promo "
+    "promos promotion promotions nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars footer "
+    "foot masthead topbar cookie cookies consent gdpr notice notices newsletter newsletters subscribe subscription "
+    "popup modal overlay comment comments disqus replies respond related recommended share sharing social widget "
+    "widgets toolbar pagination pager login signup search copyright skiplink tagcloud".split())
+FILLERS = frozenset(
+    "the site page main top bottom left right side box bar list wrapper wrap container section area block inner "
+    "outer content links link header head form policy text thread buttons icons items item unit slot".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert".split())
 
 _TOKEN = re.compile(
@@ -48,35 +61,46 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/\"']|$)", re.I)
 _SPACE = re.compile(r"\s+")
+_WORDS = re.compile(r"[^\W\d_]+")
+NAMED = 0.02  # weight of the density sum in a subtree that a name marks
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "out", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "kids", "out", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.kids, self.out = tag, parent, [], out
+    def __init__(self, tag: str, parent: Node | None, out: bool = False, named: bool = False):
+        self.tag, self.parent, self.kids, self.out, self.named = tag, parent, [], out, named
         self.chars = self.link_chars = 0
         self.tags = self.link_tags = 0
 
 
-def _outside(tag: str, attributes: str) -> bool:
-    """Whether an element is no part of an article by its name, role, class or id."""
+def _says(value: str) -> bool:
+    """Whether a class or id names something that is no article."""
+    for name in value.lower().split():
+        words = _WORDS.findall(name.replace("_", " "))
+        if words and HINTS.intersection(words) and all(w in HINTS or w in FILLERS for w in words):
+            return True
+    return False
+
+
+def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is no part of an article by its markup, and whether its name says so."""
     if tag in OUTSIDE:
-        return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return True, False
+    named = tag in BESIDE
+    if not attributes or tag in ("html", "body"):
+        return False, named
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "role" and value.lower() in ROLES or name in ("class", "id") and HINT.search(value):
-            return True
-    return False
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES:
+            return True, False
+        named |= name in ("class", "id") and tag in NAMEABLE and _says(value)
+    return False, named
 
 
 def tree(page: str) -> Node:
     """The page's elements and texts; unclosed and stray tags are resolved as browsers do."""
-    root = at = Node("html", None, False)
+    root = at = Node("html", None)
     pos, n = 0, len(page)
     while pos < n:
         m = _TOKEN.search(page, pos)
@@ -110,7 +134,7 @@ def tree(page: str) -> Node:
                 up = up.parent
             if stop is not None:
                 at = stop.parent
-        node = Node(tag, at, _outside(tag, rest))
+        node = Node(tag, at, *_marks(tag, rest))
         at.kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>?", re.I).search(page, pos)
@@ -148,18 +172,51 @@ def _measure(order: list[Node], body: Node) -> None:
         plain = max(1, c - lc)
         base = math.log(c / plain * lc + share * c + math.e)
         node.density = c / tags * math.log(c / max(1, lc) * tags / lt + 1) / math.log(base + 1) if c else 0.0
-    for node in reversed(order):
-        node.total = sum(k.density for k in node.kids if type(k) is Node and not k.out)
+    for node in order:
+        own = sum(len(k.strip()) for k in node.kids if type(k) is str)
+        alone = own * math.log(own + 1) / math.log(math.log(share * own + math.e) + 1)
+        node.total = alone + sum(k.density for k in _kids(node) if not k.named)
+
+
+def _path(node: Node, body: Node) -> list[Node]:
+    """A node and what it lies in, up to the body."""
+    path = [node]
+    while path[-1] is not body:
+        path.append(path[-1].parent)
+    return path
 
 
-def _anchor(order: list[Node]) -> Node:
-    """The node of the largest density sum; text of its own counts as a child's."""
-    return max(order, key=lambda x: x.total + sum(len(k.strip()) for k in x.kids if type(k) is str))
+def _kids(node: Node) -> Iterator[Node]:
+    return (k for k in node.kids if type(k) is Node and not k.out)
 
 
-def _blocks(node: Node, take: set[int] | None, skip: set[int] = frozenset()) -> list[str]:
-    """Block texts in page order. ``take``: ids of the subtrees to read, None for all; ``skip``:
-    ids of subtrees to leave out."""
+def _anchor(order: list[Node], body: Node) -> Node:
+    """The node of the largest density sum, or the container that it is a paragraph of."""
+    inside: dict[int, bool] = {}
+    for node in order:  # parents come first
+        inside[id(node)] = node.named or node.tag == "header" or inside.get(id(node.parent), False)
+    best = max(order, key=lambda x: x.total * (NAMED if inside[id(x)] else 1.0))
+    return next(x for x in _path(best, body) if x is body or x.tag in CONTAINERS)
+
+
+def _linked(node: Node) -> bool:
+    """Whether a subtree is mostly a list of links."""
+    return node.link_tags > 1 and node.link_chars > 0.66 * node.chars
+
+
+def _grown(anchor: Node, body: Node, threshold: float) -> Node:
+    """The anchor, or what it lies in where most of the text beside it reaches the threshold."""
+    while anchor is not body and anchor.parent is not body:
+        beside = [k for k in _kids(anchor.parent) if k is not anchor and not k.named]
+        dense = sum(k.chars for k in beside if k.density >= threshold and not _linked(k))
+        if 2 * dense < sum(k.chars for k in beside if k.tag not in HEADINGS):
+            break
+        anchor = anchor.parent
+    return anchor
+
+
+def _blocks(node: Node, take: set[int], skip: set[int]) -> list[str]:
+    """Block texts in page order; ``take``: ids of the subtrees to read, ``skip``: to leave out."""
     out, parts = [], []
 
     def end() -> None:
@@ -168,7 +225,7 @@ def _blocks(node: Node, take: set[int] | None, skip: set[int] = frozenset()) ->
             out.append(text)
         parts.clear()
 
-    todo: list[tuple[Node | str | None, bool]] = [(node, take is None)]
+    todo: list[tuple[Node | str | None, bool]] = [(node, False)]
     while todo:
         item, on = todo.pop()
         if item is None:
@@ -194,40 +251,33 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = tree(page)
-    order = _nodes(root)
-    body = next((x for x in order if x.tag == "body"), root)
+    body = next((x for x in _nodes(root) if x.tag == "body"), root)
     order = _nodes(body)
     _measure(order, body)
-    article = [x for x in order if x.tag in ("article", "main") and x.chars]
-    anchor = _anchor(order)
-    threshold, up = anchor.density, anchor
-    while up is not None:
-        threshold = min(threshold, up.density)
-        up = up.parent if up is not body else None
-    for node in article:  # an article that holds the anchor is wholly content
-        up = anchor
-        while up is not None and up is not node:
-            up = up.parent
-        if up is node:
-            return "\n\n".join(_blocks(node, None))
-    take = {id(x) for x in order if x.density >= threshold and x.chars and x.link_chars < 0.5 * x.chars
-            and x is not body and _within(x, anchor)}
-    take.add(id(anchor))
-    # Lists of links below the threshold are menus, wherever they stand.
-    skip = {id(x) for x in order if x.tag in BLOCKS and x is not anchor and x.link_tags > 1
-            and x.link_chars > 0.66 * x.chars and x.density < threshold}
+    anchor = _anchor(order, body)
+    threshold = min(x.density for x in _path(anchor, body))
+    anchor = _grown(anchor, body, threshold)
+    path = _path(anchor, body)
+    held = {id(x) for x in path}
+    take, skip = {id(anchor)}, set()
+    for node in path[1:]:
+        before = True
+        for kid in _kids(node):
+            if id(kid) in held:
+                before = False
+            elif kid.tag == "header":  # of the article, unless it is the page's
+                if node is not body and before:
+                    take.add(id(kid))
+            elif not kid.named and kid.chars and (
+                    before and kid.tag in HEADINGS or kid.density >= threshold and 2 * kid.link_chars < kid.chars):
+                take.add(id(kid))
+    for x in order:
+        if id(x) not in held and (x.named and 2 * x.chars < anchor.chars or x.tag in BLOCKS and _linked(x) and x.density < threshold
+                                  or x.tag == "header" and x.parent is body):
+            skip.add(id(x))
     return "\n\n".join(_blocks(body, take, skip))
 
 
-def _within(node: Node, anchor: Node) -> bool:
-    """Whether a node lies below the anchor or beside it, under the same parent."""
-    while node is not None:
-        if node is anchor or node.parent is anchor.parent:
-            return True
-        node = node.parent
-    return False
-
-
 def extracted(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text (empty if none), n_chars (code points).
 

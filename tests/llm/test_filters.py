@@ -135,6 +135,26 @@ def test_main_text_of_broken_pages(page):
     assert isinstance(density.main_text(page), str)
 
 
+@pytest.mark.parametrize("element", ["article", "div"])
+@pytest.mark.parametrize("inner, want", [
+    (f'<div class="layout with-sidebar"><article><h1>T</h1><p>{LONG}</p></article></div>', ["T", LONG]),
+    (f'<div class="post no-comments"><h1>T</h1><p>{LONG}</p></div>', ["T", LONG]),
+    (f'<div id="search-results-page"><div><h1>T</h1><p>{LONG}</p></div></div>', ["T", LONG]),
+    (f'<article><p>{LONG}</p><p class="notice">Mind the gap.</p><p id="search">Look.</p><div class="share-price">9.5</div></article>',
+     [LONG, "Mind the gap.", "Look.", "9.5"]),
+    (f"<article><header><h1>Head</h1></header><p>{LONG}</p></article>", ["Head", LONG]),
+    (f'<div class="sidebar"><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div>', ["T", LONG, LONG]),
+    (f"<article><h1>T</h1><section><p>{LONG}</p><p>{LONG}</p></section><section><h2>B</h2><p>{LONG}</p></section></article>",
+     ["T", LONG, LONG, "B", LONG]),
+    (f'<div><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><div id="comments">' + '<div class="comment"><p>A reader has something to say.</p></div>' * 12
+     + "</div>", ["T", LONG, LONG]),
+])
+def test_names_do_not_decide(element, inner, want):
+    inner = inner.replace("<article", f"<{element}").replace("</article", f"</{element}")
+    page = f"<html><body><header>Site</header>{inner}<nav><a href=1>Menu</a></nav><footer>Foot &copy; more</footer></body></html>"
+    assert density.main_text(page) == "\n\n".join(x.strip() for x in want)
+
+
 def test_main_text_plain():
     assert density.main_text("only  text") == "only text"
     assert density.main_text(None) == ""
@@ -156,6 +176,8 @@ def test_articles_of_the_given_pages(spark):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " " if "<br>" in b else "", b)).split())
                   for b in re.split(r"</?(?:p|h1)>", inner)]
         assert r.text == "\n\n".join(b for b in blocks if b)
+        renamed = r.html.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert density.main_text(renamed) == r.text  # no element name marks the article
 
 
 def test_slopes_match_differences():

@@ -17,6 +17,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 import pyarrow.fs
@@ -26,10 +27,10 @@ from pyspark.sql import functions as F
 from lotledger.llm.common import scratch_dir, written
 
 MANIFEST = ("path string, offset long, length long, record_id string, page_id long, uri string, "
-            "record_type string, payload_bytes long, payload_digest string, refers_to long")
+            "record_type string, payload_bytes long, payload_digest string, refers_to long, date string")
 FILE_RECORDS = 2000
+TASK_BYTES = 128 << 20  # of compressed archives that a task reads
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-DATE = "2024-01-01T00:00:00Z"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 
 
@@ -46,12 +47,12 @@ def _clean(value: str) -> str:
 
 
 def record(page_id: int | None, uri: str | None, payload: bytes | None, size: int, digest32: str,
-           original: tuple[int | None, str] | None = None) -> bytes:
-    """The bytes of a response record, or of a revisit of ``original`` (page_id, record id)."""
+           original: tuple[int | None, str, str | None, str] | None = None, date: str = "1970-01-01T00:00:00Z") -> bytes:
+    """The bytes of a response record, or of a revisit of ``original`` (page_id, record id, uri, date)."""
     http = _HTTP.format(size).encode()
     block = http if original else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if original else 'response'}",
-            f"WARC-Record-ID: {record_id(page_id, digest32)}", f"WARC-Date: {DATE}",
+            f"WARC-Record-ID: {record_id(page_id, digest32)}", f"WARC-Date: {date}",
             f"WARC-Payload-Digest: sha1:{digest32}", f"WARC-Block-Digest: sha1:{digest(block)}",
             "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}",
             f"X-Payload-Length: {size}"]
@@ -60,7 +61,9 @@ def record(page_id: int | None, uri: str | None, payload: bytes | None, size: in
     if uri is not None:
         head.append(f"WARC-Target-URI: {_clean(uri)}")
     if original:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {original[1]}"]
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {original[1]}", f"WARC-Refers-To-Date: {original[3]}"]
+        if original[2] is not None:
+            head.append(f"WARC-Refers-To-Target-URI: {_clean(original[2])}")
         if original[0] is not None:
             head.append(f"X-Refers-To-Page-ID: {original[0]}")
     return "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -86,7 +89,7 @@ def _number(value: str | None) -> int | None:
 def _facts(fields: dict[str, str]) -> tuple:
     return (fields["warc-record-id"], _number(fields.get("x-page-id")), fields.get("warc-target-uri"),
             fields["warc-type"], int(fields["x-payload-length"]),
-            fields["warc-payload-digest"].removeprefix("sha1:"), _number(fields.get("x-refers-to-page-id")))
+            fields["warc-payload-digest"].removeprefix("sha1:"), _number(fields.get("x-refers-to-page-id")), fields["warc-date"])
 
 
 class _Writer:
@@ -134,12 +137,24 @@ def _read(path: str, spans: list[tuple[int, int]]) -> Iterator[bytes]:
             yield zlib.decompress(file.read(length), 31)
 
 
-def write_archives(pages: DataFrame, folder: str) -> DataFrame:
+def _runs(path: list[str], offset: list[int], length: list[int]) -> Iterator[tuple[int, bytes]]:
+    """(index, record) of the spans; a file is opened once for those that follow one another."""
+    at = 0
+    while at < len(path):
+        end = at
+        while end < len(path) and path[end] == path[at]:
+            end += 1
+        yield from enumerate(_read(path[at], list(zip(offset[at:end], length[at:end]))), at)
+        at = end
+
+
+def write_archives(pages: DataFrame, folder: str, date: str | None = None) -> DataFrame:
     """Writes a response record per row of ``pages`` (page_id, url, html) and returns the manifest.
 
     The payload is the html in UTF-8, empty for null. Null ids and urls leave their header out.
-    Rows that repeat an id are records of their own.
+    Rows that repeat an id are records of their own. ``date`` is the records' date, by default now.
     """
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Writer(folder)
@@ -147,8 +162,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             for page_id, uri, html in zip(*(c.to_pylist() for c in batch.columns)):
                 payload = html or b""
                 sha = digest(payload)
-                data = record(page_id, uri, payload, len(payload), sha)
-                out.add(data, (record_id(page_id, sha), page_id, uri, "response", len(payload), sha, None))
+                data = record(page_id, uri, payload, len(payload), sha, date=date)
+                out.add(data, (record_id(page_id, sha), page_id, uri, "response", len(payload), sha, None, date))
                 if out.full():
                     yield from out.close()
         yield from out.close()
@@ -159,7 +174,12 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
 
 def _by_file(manifest: DataFrame) -> DataFrame:
-    return manifest.repartition("path").sortWithinPartitions("path", "offset")
+    """Spans by file and place, in as many tasks as the archives' bytes ask for: a count by the bytes
+    of the manifest would leave them to one."""
+    total, files = manifest.agg(F.sum("length"), F.approx_count_distinct("path")).first()
+    spread = min(files, 2 * manifest.sparkSession.sparkContext.defaultParallelism)
+    tasks = max(1, spread, -(-(total or 0) // TASK_BYTES))
+    return manifest.repartition(tasks, "path").sortWithinPartitions("path", "offset")
 
 
 def headers(manifest: DataFrame) -> DataFrame:
@@ -169,18 +189,13 @@ def headers(manifest: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             path, offset, length = (c.to_pylist() for c in batch.columns)
-            rows, at = [], 0
-            while at < len(path):
-                end = at
-                while end < len(path) and path[end] == path[at]:
-                    end += 1
-                for k, data in enumerate(_read(path[at], list(zip(offset[at:end], length[at:end]))), at):
-                    fields, payload = parsed(data)
-                    facts = _facts(fields)
-                    if facts[3] == "response" and (len(payload), digest(payload)) != facts[4:6]:
-                        raise ValueError(f"damaged payload in {facts[0]}")
-                    rows.append((path[k], offset[k], length[k], *facts))
-                at = end
+            rows = []
+            for k, data in _runs(path, offset, length):
+                fields, payload = parsed(data)
+                facts = _facts(fields)
+                if facts[3] == "response" and (len(payload), digest(payload)) != facts[4:6]:
+                    raise ValueError(f"damaged payload in {facts[0]}")
+                rows.append((path[k], offset[k], length[k], *facts))
             if rows:
                 yield _batch(rows)
 
@@ -198,25 +213,27 @@ def resolve_revisits(manifest: DataFrame, folder: str, min_bytes: int = 0) -> Da
     place = F.struct(F.coalesce(F.col("page_id"), F.lit(-(2**63))), "path", "offset")
     firsts = written(found.where(F.col("payload_bytes") >= min_bytes)
                      .groupBy("payload_digest", "payload_bytes")
-                     .agg(F.max(F.struct(place.alias("place"), "page_id", "record_id")).alias("first"))
+                     .agg(F.max(F.struct(place.alias("place"), "page_id", "record_id", "uri", "date")).alias("first"))
                      .select("payload_digest", "payload_bytes", "first.*"))
     decided = found.join(
         firsts.select("payload_digest", "payload_bytes", F.col("page_id").alias("first_page"),
-                      F.col("record_id").alias("first_record"), F.col("place").alias("first_place")),
+                      F.col("record_id").alias("first_record"), F.col("uri").alias("first_uri"), F.col("date").alias("first_date"),
+                      F.col("place").alias("first_place")),
         ["payload_digest", "payload_bytes"], "left")
     revisit = F.col("first_place").isNotNull() & (F.col("first_place") != place)
-    plan = decided.select("path", "offset", "length", "first_page",
-                          F.when(revisit, F.col("first_record")).alias("first_record"))
+    plan = written(decided.select("path", "offset", "length", "first_page", "first_uri", "first_date",
+                                  F.when(revisit, F.col("first_record")).alias("first_record")))
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Writer(folder)
         for batch in batches:
-            for path, offset, length, page, first in zip(*(c.to_pylist() for c in batch.columns)):
-                fields, payload = parsed(next(_read(path, [(offset, length)])))
-                rid, page_id, uri, _, size, sha, _ = _facts(fields)
-                original = (page, first) if first else None
-                facts = (rid, page_id, uri, "revisit" if first else "response", size, sha, page if first else None)
-                out.add(record(page_id, uri, payload, size, sha, original), facts)
+            path, offset, length, pages, uris, dates, firsts = (c.to_pylist() for c in batch.columns)
+            for k, data in _runs(path, offset, length):
+                fields, payload = parsed(data)
+                rid, page_id, uri, _, size, sha, _, date = _facts(fields)
+                original = (pages[k], firsts[k], uris[k], dates[k]) if firsts[k] else None
+                facts = (rid, page_id, uri, "revisit" if original else "response", size, sha, pages[k] if original else None, date)
+                out.add(record(page_id, uri, payload, size, sha, original, date), facts)
                 if out.full():
                     yield from out.close()
         yield from out.close()

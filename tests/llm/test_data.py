@@ -73,6 +73,7 @@ def test_archive_files_are_plain_warc(spark):
             if fields["WARC-Type"] == "revisit":
                 refers.add(fields["WARC-Refers-To"])
                 assert block.endswith(b"\r\n\r\n") and fields["WARC-Profile"] == warc.PROFILE
+                assert fields["WARC-Refers-To-Date"] == fields["WARC-Date"] and "WARC-Refers-To-Target-URI" in fields
     assert refers and refers <= ids
 
 

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lotledger.llm import density, ordinal, secretspans, urltree
 from lotledger.llm.common import table
@@ -103,6 +104,31 @@ def test_secrets(spark):
     assert not any("random" in r.spans for r in list(got.values())[:200])
 
 
+ORDINARY = ("AbstractSingletonProxyFactoryBean2 JavaScriptSerializer_v1_final_copy get_user_password_by_id_v2 "
+            "org/apache/spark/sql/catalyst2 IndexOutOfBoundsException2024 https/example/com/2024/05/12/article-name "
+            "MyQuantumThermometerWrapper77 kubernetes-ingress-nginx-4 Wirtschaftspruefungsgesellschaft2020").split()
+
+
+def test_models_tell_held_out_strings_apart(spark):
+    docs = table(spark, SF, "documents")
+    model = secretspans.as_column(secretspans.fitted(docs))
+    names = spark.createDataFrame([(0, n) for n in ORDINARY] + [(1, RANDOM)], "random int, token string")
+    held = secretspans.made_strings(spark, 2000, 1_000_000).where(
+        "length(token) >= 20 and token rlike '[0-9]' and token rlike '[A-Za-z]'").unionByName(names)
+    got = [(r.random, r.token, r.ratio >= secretspans.MARGIN) for r in held.select(
+        "random", "token", secretspans.ratio(F.col("token"), model).alias("ratio")).collect()]
+    assert not [t for r, t, hit in got if hit and t in ORDINARY]
+    found, right, all_ = sum(hit for *_, hit in got), sum(hit and r == 1 for r, _, hit in got), sum(r == 1 for r, *_ in got)
+    assert right >= 0.98 * all_ and right >= 0.98 * found and all_ > 1500
+
+
+def test_secrets_of_repeated_rows(spark):
+    text = f"see {RANDOM} and password=hunter2hunter2 for {ORDINARY[0]}"
+    frame = spark.createDataFrame([(1, text), (1, text), (None, text)], "doc_id long, text string")
+    spans = {r.spans for r in secretspans.reported(frame).collect()}
+    assert spans == {f"random:4:{4 + len(RANDOM)},assign:{9 + len(RANDOM)}:{9 + len(RANDOM) + 23}"}
+
+
 def test_secrets_without_samples(spark):
     frame = spark.createDataFrame([(None, "nothing here"), (None, "nothing here")], "doc_id long, text string")
     assert [r.spans for r in secretspans.reported(frame).collect()] == ["", ""]

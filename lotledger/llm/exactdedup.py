@@ -9,6 +9,8 @@ costs their hash, never the result. Rows of ids and digests are all that is shuf
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,12 +68,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     pass as they are.
     """
     found = classes(docs)
-    ids = found.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept")
-    dropped = written(ids.where("not kept").select("_id", "_sha").distinct())
+    own, full, copy = (f"_{uuid4().hex}" for _ in range(3))  # no names that columns of docs can have
+    ids = found.select(F.col("doc_id").alias(own), F.col("text_sha256").alias(full), "kept")
+    dropped = written(ids.where("not kept").select(own, full).distinct())
     # Kept, but another row repeats its id and text, so it is among the dropped too.
-    again = written(ids.where("kept").select("_id", "_sha").intersect(dropped))
+    again = written(ids.where("kept").select(own, full).intersect(dropped))
     sha = F.sha2(text_of(), 256)
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
+    match = F.col("doc_id").eqNullSafe(F.col(own)) & (sha == F.col(full))
     first = F.row_number().over(Window.partitionBy("doc_id", sha).orderBy("doc_id"))
-    one = docs.join(again, match, "left_semi").withColumn("_copy", first).where("_copy = 1").drop("_copy")
+    one = docs.join(again, match, "left_semi").withColumn(copy, first).where(F.col(copy) == 1).drop(copy)
     return docs.join(dropped.hint("merge"), match, "left_anti").unionByName(one)

@@ -22,6 +22,7 @@ import math
 from collections.abc import Iterable, Iterator, Mapping
 from decimal import Decimal
 from fractions import Fraction
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -229,7 +230,8 @@ def interleaved(docs: DataFrame, weights: Mapping[str, float] | None = None, blo
 
     Rows that repeat an id stand at the first of its positions.
     """
-    order = written(mixed(docs, weights, block).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.min("position").alias("_position")))
-    met = docs.join(order.hint("merge"), docs["doc_id"].eqNullSafe(order["_id"])).drop("_id")
-    return met.repartitionByRange("_position").sortWithinPartitions("_position").drop("_position")
+    own, place = (f"_{uuid4().hex}" for _ in range(2))  # no names that columns of docs can have
+    order = written(mixed(docs, weights, block).groupBy(F.col("doc_id").alias(own)).agg(
+        F.min("position").alias(place)))
+    met = docs.join(order.hint("merge"), docs["doc_id"].eqNullSafe(order[own])).drop(own)
+    return met.repartitionByRange(place).sortWithinPartitions(place).drop(place)

@@ -1,7 +1,11 @@
 """URL templates, secrets, main text, quality."""
 
 import hashlib
+import itertools
+import math
+import random
 import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -67,6 +71,111 @@ def test_only_labels_count_in_the_purity(spark):
     assert {r.verdict for r in got if r.host == "both.com"} == {"allow"}
 
 
+def test_deep_paths_are_told_apart(spark):
+    """What differs in the sixth segment has verdicts of its own; a common start takes one step."""
+    urls = [f"http://h.org/2024/05/12/a/b/ads/{i}" for i in range(40)] + [f"http://h.org/2024/05/12/a/b/news/{i}" for i in range(40)]
+    rules = [("h.org", f"/2024/05/12/a/b/ads/{i}", "block") for i in range(2, 10)] + [
+        ("h.org", f"/2024/05/12/a/b/news/{i}", "allow") for i in range(2, 10)]  # 2 to 9 and 20 to 39
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in urltree.judged(frame, rules).collect()}
+    assert got[0].template == "/2024/05/12/a/b/ads/{n}".replace("2024", "{n}").replace("05", "{n}").replace("12", "{n}")
+    assert got[0].rule is None and got[0].verdict == "block"
+    assert got[40].rule is None and got[40].verdict == "allow" and got[40].template.endswith("/news/{n}")
+
+
+def test_clusters_never_join_what_contradicts():
+    pairs = [("a", "b", 0.1), ("b", "c", 0.05), ("d", "e", 0.2), ("d", "f", 0.2), ("e", "f", 0.2)]
+    assert urltree.clusters(pairs) == {t: ["b", "c"] for t in "bc"} | {t: ["d", "e", "f"] for t in "def"}
+
+
+def tree_of(urls):
+    """{(host, segments): (template, purity, labelled)}, node by node; ``urls``: (host, path, label)."""
+    def kind(s):
+        if re.fullmatch(r"[0-9]+", s):
+            return "{n}"
+        if re.fullmatch(r"(?=.*[0-9])[0-9a-fA-F-]{8,}", s):
+            return "{x}"
+        return "{n}." + s.rsplit(".", 1)[1] if re.fullmatch(r"[0-9]+\.[A-Za-z]{1,5}", s) else s
+
+    def sums(rows):
+        return len(rows), sum(r[2] == "block" for r in rows), sum(r[2] == "allow" for r in rows)
+
+    def alike(one, two):
+        (n, b, a), (m, c, d) = sums(one), sums(two)
+        after = [Counter(r[1][1] if len(r[1]) > 1 else "" for r in side) for side in (one, two)]
+        near = sum(math.sqrt(after[0][k] * after[1][k]) for k in after[0]) / math.sqrt(n * m)
+        far = math.sqrt(max(0.0, 1 - near))
+        if not near or far > urltree.DISTANCE:
+            return None
+        if a + b and c + d:
+            return far if abs(b / (a + b) - c / (c + d)) <= urltree.CONTRAST else None
+        if a + b + c + d:
+            rate = (b + c) / (a + b + c + d)
+            clear = a + b + c + d >= urltree.LABELS and min(rate, 1 - rate) <= urltree.CONTRAST
+            return far if clear else None
+        return far
+
+    placed = {}
+
+    def walk(rows, prefix):  # rows: (full segments, what is left of them, label)
+        if len(rows) < urltree.LABELS:
+            placed.update({r[0]: prefix + ("/**" if r[1] else "") for r in rows})
+            return
+        children = defaultdict(list)
+        for r in rows:
+            if r[1]:
+                children[r[1][0]].append(r)
+            else:
+                placed[r[0]] = prefix
+        tokens = defaultdict(list)
+        for s, rs in children.items():
+            kept = s in ("{n}", "{x}") or len(rs) >= max(2.0, len(rows) * urltree.SHARE)
+            tokens[s if kept else "*"] += rs
+        pairs = [(a, b, alike(tokens[a], tokens[b])) for a, b in itertools.combinations(sorted(tokens), 2)]
+        groups = urltree.clusters([p for p in pairs if p[2] is not None])
+        below = defaultdict(list)
+        for t, rs in tokens.items():
+            g = groups.get(t, [t])
+            below[g[0] if len(g) == 1 else "*" if "*" in g else "{" + "|".join(g) + "}"] += rs
+        for t, rs in below.items():
+            walk([(f, rest[1:], label) for f, rest, label in rs], f"{prefix}/{t}")
+
+    hosts, out = defaultdict(list), {}
+    for host, path, label in urls:
+        segments = tuple(kind(s) for s in path.split("/") if s)
+        hosts[host].append((segments, segments, label))
+    _, blocked, allowed = sums([(0, 0, u[2]) for u in urls])
+    prior = blocked / max(1, blocked + allowed)
+    for host, rows in hosts.items():
+        placed.clear()
+        walk(rows, "")
+        by = defaultdict(list)
+        for r in rows:
+            by[placed[r[0]]].append(r)
+        for template, rs in by.items():
+            _, b, a = sums(rs)
+            for r in rs:
+                out[host, r[0]] = (template, (b + urltree.WEIGHT * prior) / (a + b + urltree.WEIGHT), a + b)
+    return out
+
+
+def test_templates_against_brute_force(spark):
+    rng, urls = random.Random(5), []
+    for _ in range(1500):
+        host = rng.choice(["a.net", "b.com", "c.org"])
+        depth, words = rng.choice([0, 1, 2, 2, 3, 5, 8]), ["es", "fr", "en", "tag", "page", "12", "3.html", "deadbeef01"]
+        parts = [rng.choice(words[: 3 + k % 6]) if rng.random() < 0.85 else f"s{rng.randrange(10 ** 6)}" for k in range(depth)]
+        label = rng.choice([None, None, "block" if parts[:1] == ["es"] else "allow"])
+        urls.append((host, "/" + "/".join(parts), label))
+    frame = spark.createDataFrame(urls, "host string, path string, label string")
+    got = {(r.host, tuple(r.segments)): (r.template, r.purity, r.labelled) for r in urltree.templates(frame).collect()}
+    want = tree_of(urls)
+    assert got.keys() == want.keys()
+    for key, (template, purity, labelled) in want.items():
+        assert got[key][0] == template and got[key][2] == labelled, key
+        assert abs(got[key][1] - purity) < 1e-9
+
+
 def test_urls_empty(spark):
     assert urltree.judged(spark.createDataFrame([], "page_id long, url string"), RULES).count() == 0
 

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), ".."))
 
 import corpus_pipeline  # noqa: E402
 import __spark_entry__ as entry_module  # noqa: E402
-from lotledger.llm import ordinal, queries  # noqa: E402
+from lotledger.llm import exactdedup, mixing, ngramjoin, ordinal, queries  # noqa: E402
 from lotledger.llm.common import table, written  # noqa: E402
 from oracle_check import compare, connect  # noqa: E402
 from test_data import TOKENIZER, check_pieces  # noqa: E402, F401
@@ -69,3 +69,15 @@ def test_stages_of_odd_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Extra columns, also named like helpers of the stages, pass whole."""
+    names = ["_id", "_sha", "_copy", "_position", "kept", "position", "block", "slot", "component_id", "n_bytes", "bucket"]
+    rows = [(i, f"text number {i % 4} of a few words " * 3, "s", *[f"{n}{i}" for n in names]) for i in range(8)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    for stage in (exactdedup.deduplicated, ngramjoin.deduplicated, mixing.interleaved):
+        got = stage(docs)
+        assert got.columns == docs.columns
+        assert {tuple(r) for r in got.collect()} <= set(rows)
+        assert got.count() == (8 if stage is mixing.interleaved else 4)

@@ -284,13 +284,13 @@ class Views:
 
     @once
     def listed(self) -> DataFrame:
-        """Published list: lots by year."""
-        bill = self.bills()
+        """List entries: lots by year; years before ``LIST_FROM`` are known but were not published."""
         return (
-            bill.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= LIST_FROM))
+            self.bills().filter(F.col("o_orderstatus") == "F")
             .select(
                 "bbl",
                 F.year("o_orderdate").alias("year"),
+                (F.col("o_orderdate") >= LIST_FROM).alias("published"),
                 F.call_function("div", F.col("bbl"), F.lit(1_000_000_000)).cast("int")
                 .alias("boro_code"),
                 (F.call_function("div", F.col("bbl"), F.lit(10_000)) % 100_000).cast("int")
@@ -302,7 +302,7 @@ class Views:
 
     @once
     def official(self) -> DataFrame:
-        """Official yearly totals by borough."""
+        """Yearly totals by borough; borough 5 has drafts (source ``draft``) only from 1998 on."""
         bill = self.bills()
         status = F.col("o_orderstatus")
         counts = bill.groupBy(
@@ -314,11 +314,12 @@ class Views:
             (-F.count_if(status == "P")).cast("int").alias("total_sub"),
         )
         add = F.col("add_421a") * 1.5
+        draft = (F.col("year") >= 1998) & (F.col("borough") == 5)
         return counts.select(
-            F.lit("rgb").alias("source"), "borough", "year", "add_421a", "total_sub",
+            F.when(draft, "draft").otherwise("rgb").alias("source"), "borough", "year", "add_421a", "total_sub",
             add.cast("float").alias("total_add"),
             (add + F.col("total_sub")).cast("float").alias("net"),
-        ).filter((F.col("year") < 1998) | (F.col("borough") != 5))
+        )
 
     @once
     def bill_paths(self) -> DataFrame:

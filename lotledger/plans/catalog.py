@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,16 @@ LOT = 1_000_000_018
 class Tables(ad.Views):
     """The adapter views and the tables derived from them."""
 
+    @ad.once
+    def published(self) -> DataFrame:
+        """The published entries of the list."""
+        return self.listed().filter("published")
+
+    @ad.once
+    def totals(self) -> DataFrame:
+        """The published ones of the official totals."""
+        return self.official().filter("source = 'rgb'")
+
     @ad.once
     def counts(self) -> DataFrame:
         return facts.unit_counts(self.rawdata(), cutoff=ad.CUTOFF)
@@ -50,7 +61,7 @@ class Tables(ad.Views):
 
     @ad.once
     def registrations(self) -> DataFrame:
-        return facts.registrations(self.counts(), self.listed())
+        return facts.registrations(self.counts(), self.published())
 
     @ad.once
     def units_by_year(self) -> DataFrame:
@@ -78,7 +89,7 @@ class Tables(ad.Views):
 
     @ad.once
     def comparison(self) -> DataFrame:
-        return compare.compare_official(self.panel(), self.official())
+        return compare.compare_official(self.panel(), self.totals())
 
     def exempt(self, mode: str = "intended") -> DataFrame:
         return income.exempt_lots(
@@ -154,7 +165,7 @@ _BUILD: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "official_comparison": lambda t: t.comparison(),
     "comparison_rollup": lambda t: compare.rollup_comparison(t.comparison()),
-    "percent_error": lambda t: compare.percent_error(t.panel(), t.official()),
+    "percent_error": lambda t: compare.percent_error(t.panel(), t.totals()),
     "income_by_year": lambda t: income.income_by_year(t.estimates(), t.lots(), YEARS),
     "income_by_year_as_run": lambda t: income.income_by_year(
         t.estimates(), t.lots(), YEARS, "as_run"
@@ -167,9 +178,9 @@ _BUILD: dict[str, Callable[[Tables], DataFrame]] = {
     "lot_summary": lambda t: lookup.lot_summary(t.rawdata()),
     "lot_profile": lambda t: t.profile(),
     "missing_stabilized": lambda t: lookup.missing_stabilized(t.profile()),
-    "list_only_lots": lambda t: lookup.list_only_lots(t.counts(), t.listed(), t.lots()),
-    "list_only_ids": lambda t: lookup.list_only_ids(t.counts(), t.listed()),
-    "list_only_by_borough": lambda t: lookup.list_only_by_borough(t.counts(), t.listed()),
+    "list_only_lots": lambda t: lookup.list_only_lots(t.counts(), t.published(), t.lots()),
+    "list_only_ids": lambda t: lookup.list_only_ids(t.counts(), t.published()),
+    "list_only_by_borough": lambda t: lookup.list_only_by_borough(t.counts(), t.published()),
     "all_lots": lambda t: lookup.all_lots(t.lots(), t.listed()),
     "lots_held": lambda t: lookup.lots_held(t.rawdata()),
     "duplicate_registrations": lambda t: quality.duplicates(
@@ -227,20 +238,18 @@ def _classified(t: Tables) -> DataFrame:
 
 
 def _ingested(t: Tables) -> DataFrame:
-    """The order file replayed as a stream of bills, read batch by batch into a table."""
-    spark = t.spark
-    streamed = Tables(spark, t.sf_dir)
-    streamed.built["orders"] = (
-        spark.readStream.schema(t.table("orders").schema)
-        .option("pathGlobFilter", "orders.parquet").parquet(t.sf_dir)
-    )
-    folder = ingest.working_folder(spark)
-    sink = f"{folder}/tables"
-    ingest.start_ingest(
-        streamed.bill_documents(), sink, f"{folder}/progress"
-    ).awaitTermination()
-    return ingest.ingested_rows(spark, sink)
-
+    """Bills that arrive in three parts, read by one run each; the later parts list closed orders
+    of earlier ones again."""
+    spark, folder, orders = t.spark, ingest.working_folder(t.spark), t.table("orders")
+    part, closed = F.col("o_orderkey") % 3, F.col("o_orderstatus") == "F"
+    for n in range(3):
+        orders.filter((part == n) | ((part < n) & closed)).write.mode("append").parquet(f"{folder}/orders")
+        streamed = Tables(spark, t.sf_dir)
+        streamed.built["orders"] = spark.readStream.schema(orders.schema).parquet(f"{folder}/orders")
+        ingest.start_ingest(
+            streamed.bill_documents(), f"{folder}/tables", f"{folder}/progress"
+        ).awaitTermination()
+    return ingest.ingested_rows(spark, f"{folder}/tables")
 
 
 def _event_periods(t: Tables) -> DataFrame:
@@ -341,9 +350,9 @@ def _kept_roll(t: Tables) -> DataFrame:
 
 
 def _kept_json(t: Tables) -> DataFrame:
-    """Rows of the parcels' notices as JSON, a folder per lot."""
+    """All rows as JSON, a folder per lot."""
     path = _place(t, "json")
-    writers.write_lot_json(t.rawdata().filter("section = 'nopv'"), path)
+    writers.write_lot_json(t.rawdata(), path)
     return t.spark.read.schema("bbl BIGINT, activityThrough DATE, key STRING, value STRING").json(
         path, recursiveFileLookup=True)
 
@@ -372,12 +381,36 @@ def _ranked_charges(t: Tables) -> DataFrame:
 
 
 def _extracted(t: Tables) -> DataFrame:
-    """Rows of printed bills, stored and read back: what the facts start from."""
+    """Rows of printed bills, statements and notices, stored and read back: what the facts start from."""
     path = _place(t, "extracted")
-    writers.write_rawdata(extract.bill_rows(t.bill_documents()), path)
+    writers.write_rawdata(_rows(t), path)
     return readers.read_raw_store(t.spark, path)
 
 
+def _extracted_panel(t: Tables) -> DataFrame:
+    """The whole chain: documents, rows, facts, matched list, year panel, filled gaps."""
+    raw = _extracted(t)
+    regs = facts.registrations(facts.unit_counts(raw, cutoff=ad.CUTOFF), t.published())
+    joined = panel.panel(regs, facts.abatements(raw), t.lots(), YEARS)
+    return panel.to_wide(panel.fill(joined, YEARS), YEARS)
+
+
+def _replaced(t: Tables) -> DataFrame:
+    """A table of owners that becomes one of addresses while a reader holds it open."""
+    name, raw = f"lot_values_{uuid4().hex}", t.rawdata()
+    writers.replace_table(facts.owners(raw).withColumnRenamed("owner", "value"), name)
+    before = t.spark.table(name)
+    writers.replace_table(facts.addresses(raw).withColumnRenamed("address", "value"), name)
+    after = t.spark.table(name)
+    return before.withColumn("seen", F.lit("before")).unionByName(after.withColumn("seen", F.lit("after")))
+
+
+def _bills_as_lots(t: Tables) -> DataFrame:
+    """Every bill as a lot of its own, so that most have a single bill day."""
+    bill = F.call_function("div", F.col("line_no"), F.lit(100))
+    return t.rawdata().withColumn("bbl", bill + 1_000_000_000)
+
+
 def _key_violations(t: Tables) -> DataFrame:
     """The derived tables with the keys that they must have."""
     return quality.violations({
@@ -409,6 +442,10 @@ _BUILD |= {
     "ranked_charges": _ranked_charges,
     "extracted_unit_counts": lambda t: facts.unit_counts(_extracted(t), cutoff=ad.CUTOFF),
     "extracted_unit_history": lambda t: lookup.unit_history(_extracted(t)),
+    "extracted_panel": _extracted_panel,
+    "replaced_table": _replaced,
+    "missing_stabilized_bills": lambda t: lookup.missing_stabilized(
+        lookup.lot_profile(_bills_as_lots(t), ad.BILL_DAY)),
     "extracted_lot_summary": lambda t: lookup.lot_summary(_extracted(t)),
 }
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotledger.functions.lots import block_of, borough_of, lot_of, pad
 from lotledger.operators.facts import key_class
 from lotledger.operators.ordering import ordered
+from lotledger.sources.working import working_folder
 
 HEADERS = {
     "bbl": "bbl", "activitythrough": "activityThrough", "section": "section", "key": "key",
@@ -76,6 +77,14 @@ def write_relayout(df: DataFrame, path: str) -> None:
     )
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Create or replace a staging table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str) -> str:
+    """Create or replace a staging table; returns the folder of the new version.
+
+    Rows go to a new folder below the working folder, then a view is switched to it. Readers that
+    have opened the table keep the version they saw, and a write that fails changes nothing.
+    Folders of earlier versions stay until the working folder is cleaned.
+    """
+    spark, path = df.sparkSession, working_folder(df.sparkSession)
+    df.write.parquet(path)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    return path

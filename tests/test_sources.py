@@ -177,3 +177,20 @@ def test_working_folder_must_be_shared(monkeypatch):
     for master in ("yarn", "local-cluster[2,1,1024]", "spark://x"):
         with pytest.raises(ValueError):
             working_folder(session(master, **warehouse))
+
+
+def test_replace_table_switches_versions(spark):
+    """Readers keep the version they opened; a write that fails leaves the table as it is."""
+    frame = lambda *rows: spark.createDataFrame(list(rows), "a bigint, b string")
+    first = writers.replace_table(frame((1, "x"), (2, None)), "staged")
+    opened = spark.table("staged")
+    second = writers.replace_table(frame((3, "y")), "staged")
+    assert first != second
+    assert sorted(map(tuple, opened.collect())) == [(1, "x"), (2, None)]
+    assert [tuple(r) for r in spark.table("staged").collect()] == [(3, "y")]
+    with pytest.raises(Exception):
+        writers.replace_table(frame((4, "z")).selectExpr("a", "cast(b AS int) AS b"), "staged")
+    assert [tuple(r) for r in spark.table("staged").collect()] == [(3, "y")]
+    writers.replace_table(frame(), "staged")  # an empty version is a table too
+    assert spark.table("staged").count() == 0
+    spark.sql("DROP VIEW staged")

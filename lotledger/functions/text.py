@@ -76,17 +76,63 @@ def whole(c: Column) -> Column:
     return F.when(clean.rlike(WHOLE), clean.try_cast("int"))
 
 
-def bill_date(c: Column, formats: Mapping[str, str] = DATE_FORMATS) -> Column:
-    """A date in one of the formats, else NULL.
+def bill_date(c: Column, formats: Mapping[str, str] = DATE_FORMATS, spelled: bool = True) -> Column:
+    """A date in one of the formats, else (``spelled``) by the grammar of ``spelled_date``, else NULL.
 
     Only the format whose shape fits is tried: a failed attempt costs far more than a match. The
     first format is the first one tested, so the usual one should lead.
     """
-    text = strip(c)
-    found = F.lit(None).cast("timestamp")
+    text, found = strip(c), F.lit(None).cast("timestamp")
     for form, shape in reversed(formats.items()):
         found = F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(form))).otherwise(found)
-    return found.cast("date")
+    return (F.coalesce(found, spelled_date(text)) if spelled else found).cast("date")
+
+
+# Token classes of dates. A month is a name or its abbreviation; weekdays, the endings of ordinals
+# and small words carry nothing; blanks and marks between tokens separate.
+MONTH = r"jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+IDLE = (r"(?<![a-z])(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?(?![a-z])"
+        r"|(?<=[0-9])(?:st|nd|rd|th)(?![a-z])|(?<![a-z])(?:of|the)(?![a-z])")
+BETWEEN = r"[\s,./-]+"
+
+# What three tokens mean, by their classes: places of year, month and day. The first rule that fits
+# holds, so numbers are month first unless the first one cannot be a month.
+DATE_RULES = [
+    (rf"^(?:{MONTH}) [0-9]{{1,2}} (?:[0-9]{{4}}|[0-9]{{2}})$", (2, 0, 1)),
+    (rf"^[0-9]{{1,2}} (?:{MONTH}) (?:[0-9]{{4}}|[0-9]{{2}})$", (2, 1, 0)),
+    (rf"^[0-9]{{4}} (?:{MONTH}) [0-9]{{1,2}}$", (0, 1, 2)),
+    (r"^[0-9]{4} [0-9]{1,2} [0-9]{1,2}$", (0, 1, 2)),
+    (r"^(?:0?[1-9]|1[0-2]) [0-9]{1,2} [0-9]{4}$", (2, 0, 1)),
+    (r"^[0-9]{1,2} [0-9]{1,2} [0-9]{4}$", (2, 1, 0)),
+]
+
+
+def spelled_date(text: Column) -> Column:
+    """A date spelled in any order that ``DATE_RULES`` knows, as a timestamp; NULL otherwise.
+
+    Text with a month's name and digits, or three numbers with one kind of mark between them, is
+    looked at; years of two digits are of this century, and only stand next to a month's name.
+    Days that do not exist and text with any other word are no dates.
+    """
+    low = F.lower(text)
+    likely = low.rlike(r"^[a-z0-9].*[0-9]") & low.rlike(rf"(?<![a-z])(?:{MONTH})(?![a-z])") | low.rlike(
+        r"^[0-9]{1,4}([/.-])[0-9]{1,2}\1[0-9]{1,4}$")
+    plain = F.btrim(F.regexp_replace(F.regexp_replace(low, IDLE, " "), BETWEEN, " "))
+    part = F.split(plain, " ")
+
+    def year(c: Column) -> Column:
+        return F.when(F.length(c) == 2, F.concat(F.lit("20"), c)).otherwise(c)
+
+    def month(c: Column) -> Column:
+        return F.when(c.rlike("^[0-9]"), c).otherwise(
+            F.array_position(F.array(*map(F.lit, MONTHS)), F.substring(c, 1, 3)).cast("string"))
+
+    found = F.lit(None).cast("string")
+    for shape, (y, m, d) in reversed(DATE_RULES):
+        found = F.when(plain.rlike(shape), F.concat_ws(
+            "-", year(part[y]), month(part[m]), part[d])).otherwise(found)
+    return F.when(likely, F.try_to_timestamp(found, F.lit("yyyy-M-d")))
 
 
 def contains_any(c: Column, words: Sequence[str]) -> Column:

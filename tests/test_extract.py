@@ -215,6 +215,10 @@ def test_lenient_dates(spark):
         "06/02/2017      -$24,705.75", "Jun 2, 2017      -$24,705.75")
     rows, rejects = extract.extract_all(docs(spark, (BILL, text)))
     assert short(rows) == HEAD + DETAILS + CHARGES and rejects.count() == 0
+    text = TEXT.replace("04/01/2017     $1,000.00", "Sat, 1st of April 2017     $1,000.00").replace(
+        "06/02/2017      -$24,705.75", "2-JUN-2017      -$24,705.75").replace("38  04/01/2017 0226386", "38  2017/4/1 0226386")
+    rows, rejects = extract.extract_all(docs(spark, (BILL, text)))
+    assert short(rows) == HEAD + DETAILS + CHARGES and rejects.count() == 0
 
 
 def test_number_text(spark):
@@ -257,3 +261,24 @@ def test_many_lines(spark):
     more = "".join(f"Line {k}     04/01/2017     $1.00\n" for k in range(3000))
     rows, rejects = extract.extract_all(docs(spark, (BILL, TEXT.replace("Total current charges", more + "Total current charges"))))
     assert rejects.count() == 0 and rows.filter("key like 'Line %' and duedate = date'2017-04-01'").count() == 3000
+
+
+def test_dates_by_token_classes(spark):
+    """Weekdays, ordinals, day first, missing commas; numbers are month first where they can be."""
+    day = datetime.date(2017, 6, 2)
+    from pyspark.sql import functions as F
+
+    from lotledger.functions import text
+
+    same = ["June 2 2017", "Friday, June 2, 2017", "Fri June 2nd, 2017", "2nd of June 2017", "2 June, 2017", "the 2nd of june 2017",
+            "02-Jun-2017", "2017 June 2", "2017/06/02", "6.2.2017", "June 2, 17", "JUNE 02,2017", "2-jun-17"]
+    others = {"13/6/2017": (2017, 6, 13), "12/6/2017": (2017, 12, 6), "13.6.2017": (2017, 6, 13), "Sept. 30 2016": (2016, 9, 30),
+              "29 February 2016": (2016, 2, 29), "Tues 31st May 2016": (2016, 5, 31)}
+    none = ["", "29 February 2017", "June 31 2017", "BANK 6 2 2017", "6 2 2017", "1-2-17", "June 2017", "Mayor 2 2017", "2 June 2017 x",
+            "-6-2-2017", "6/2-2017", "123 June 2017", "June 2 201", "$6.2", "1-URGENT", "May", None]
+    want = {t: day for t in same} | {t: datetime.date(*d) for t, d in others.items()} | dict.fromkeys(none)
+    frame = spark.createDataFrame([(t,) for t in want], "t string")
+    got = {r.t: r.d for r in frame.select("t", text.bill_date(F.col("t")).alias("d")).collect()}
+    assert {t: (got[t], d) for t, d in want.items() if got[t] != d} == {}
+    plain = frame.select(text.bill_date(F.col("t"), spelled=False).alias("d")).where("d is not null")
+    assert plain.count() < len(same)

@@ -85,7 +85,8 @@ def bill_date(c: Column, formats: Mapping[str, str] = DATE_FORMATS, spelled: boo
     text, found = strip(c), F.lit(None).cast("timestamp")
     for form, shape in reversed(formats.items()):
         found = F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(form))).otherwise(found)
-    return (F.coalesce(found, spelled_date(text)) if spelled else found).cast("date")
+    found = F.coalesce(found, spelled_date(text)) if spelled else found
+    return F.when(text.rlike("[0-9]"), found).cast("date")  # words without a digit need no further test
 
 
 # Token classes of dates. A month is a name or its abbreviation; weekdays, the endings of ordinals

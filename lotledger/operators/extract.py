@@ -34,7 +34,7 @@ OWNER_AREA = (
     r"(Outstanding\s+Charges|Statement\s+Billing\s+Summary)"
 )
 DETAIL_AREA = (
-    r"(?isd)(Annual property tax detail|How We Calculated Your Property Tax).*"
+    r"(?isd)(?=[ah])(Annual property tax detail|How We Calculated Your Property Tax).*"
     r"annual property tax.*?\n"
 )
 CHARGE_HEADINGS = (
@@ -43,7 +43,7 @@ CHARGE_HEADINGS = (
     "Overpayments/[Cc]redits", "Payment Agreement", "Previous Balance", "Previous Charges",
 )
 CHARGE_BLOCK = (
-    rf"(?sd)({'|'.join(CHARGE_HEADINGS)})[ \n\r]+Activity Date.*?"
+    rf"(?sd)(?=[CATOP])({'|'.join(CHARGE_HEADINGS)})[ \n\r]+Activity Date.*?"  # the first letters: fewer tries
     r"(Total|Unpaid Balance, [iI]f Any)[\S ]*"
 )
 HTML_HEADINGS = (
@@ -51,7 +51,7 @@ HTML_HEADINGS = (
     r"New Charges Due \w+ \d{2}, \d{4}", "Remaining Balance/Credits from Your Last Statement",
     "Previous Balance",
 )
-HTML_BLOCK = rf"(?d)({'|'.join(HTML_HEADINGS)})[^_]+?Activity Date.*?_{{17}}"
+HTML_BLOCK = rf"(?d)(?=[CANRP])({'|'.join(HTML_HEADINGS)})[^_]+?Activity Date.*?_{{17}}"
 HTML_RENT = r"(?id)(Housing-Rent Stabilization.*?)<"
 HTML_OWNER = r"(?id)Owner Name:.*?<img[^>]*>([^<]*)<"
 INCOME = (
@@ -127,16 +127,38 @@ def _made_row(section=None, key=None, value=None, line_no=None, due=None, meta=N
 
 def _html_found(as_run: bool) -> Column:
     text = F.expr("substring(text, 17)") if as_run else F.col("text")
-    sections = F.arrays_zip(
-        F.regexp_extract_all(text, F.lit(HTML_BLOCK), F.lit(1)).alias("section"),
-        F.regexp_extract_all(text, F.lit(HTML_BLOCK), F.lit(0)).alias("content"),
-    )
-    return F.flatten(F.transform(sections, lambda s: F.transform(
-        F.regexp_extract_all(s["content"], F.lit(HTML_RENT), F.lit(1)),
-        lambda line: F.struct(s["section"].alias("section"), tokens(line).alias("t")),
+    sections = F.regexp_extract_all(text, F.lit(HTML_BLOCK), F.lit(0))
+    return F.flatten(F.transform(sections, lambda content: F.transform(
+        F.regexp_extract_all(content, F.lit(HTML_RENT), F.lit(1)),
+        lambda line: F.struct(F.regexp_extract(content, HTML_BLOCK, 1).alias("section"), tokens(line).alias("t")),
     )))
 
 
+def _html_owner() -> Column:
+    return F.when(F.col("text").rlike(HTML_OWNER), strip(F.regexp_extract("text", HTML_OWNER, 1)))
+
+
+def _statement_rows(as_run: bool, formats: Mapping[str, str]) -> Column:
+    """Rows of a statement behind its owner, up to the first unreadable one, which follows as a reject."""
+    def due(r: Column) -> Column:
+        day = F.when(F.size(r["t"]) == 7, bill_date(F.get(r["t"], F.lit(3)), formats))
+        return F.struct(r["section"].alias("section"), r["t"].alias("t"), day.alias("due"))
+
+    def rent(r: Column, i: Column) -> Column:
+        t = r["t"]
+        return F.when(r["due"].isNull(), _made_row(line_no=i, reason="row", line=F.array_join(t, " "))).otherwise(_made_row(
+            r["section"], F.concat_ws(" ", cell(t, 0), cell(t, 1)), cell(t, 6), i,
+            due=r["due"], meta=F.concat_ws(" ", cell(t, 4), cell(t, 5)), apts=cell(t, 2)))
+
+    def up_to_reject(rows: Column) -> Column:
+        at = F.array_position(F.transform(rows, lambda r: r["reason"].isNotNull()), True)
+        return F.when(at > 0, F.slice(rows, F.lit(1), at)).otherwise(rows)
+
+    rows = F.transform(F.transform(_html_found(as_run), due), rent)
+    # One element, so that the rows are made once for both uses of them.
+    return F.flatten(F.transform(F.array(rows), up_to_reject))
+
+
 def _made(docs: DataFrame, as_run: bool, formats: Mapping[str, str]) -> DataFrame:
     """One row per document with ``owner_area`` (bills) and ``made``: rows and rejects of
     statements and notices, and rejects of documents that cannot be read at all.
@@ -145,50 +167,26 @@ def _made(docs: DataFrame, as_run: bool, formats: Mapping[str, str]) -> DataFram
     """
     kind, dated = F.col("kind"), F.col("activity_through").isNotNull()
     html, notice = dated & (kind == "html"), dated & (kind == "notice")
-
-    def readable(r: Column) -> Column:
-        return (F.size(r["t"]) == 7) & bill_date(F.get(r["t"], F.lit(3)), formats).isNotNull()
-
     staged = docs.select(
         *DOCUMENT, "kind", "text",
         F.when(dated & (kind == "text"), F.regexp_extract("text", OWNER_AREA, 0)).alias("owner_area"),
-        F.when(html, _html_found(as_run)).alias("found"),
-        F.when(html & F.col("text").rlike(HTML_OWNER),
-               strip(F.regexp_extract("text", HTML_OWNER, 1))).alias("owner"),
-        F.when(notice, F.array(*[F.struct(
-            F.lit(key).alias("key"), F.lit(i).alias("line_no"),
-            F.col("text").rlike(pattern).alias("has"), _estimate(pattern).alias("printed"),
-            amount(_estimate(pattern)).alias("number"),
-        ) for i, (key, pattern) in enumerate((("gross income", INCOME), ("expenses", EXPENSES)))])
-        ).alias("estimates"),
-    ).withColumn("first_bad", F.array_position(F.transform("found", readable), False))
-
-    def rent(r: Column, i: Column) -> Column:
-        t = r["t"]
-        return _made_row(
-            r["section"], F.concat_ws(" ", cell(t, 0), cell(t, 1)), cell(t, 6), i,
-            due=bill_date(cell(t, 3), formats), meta=F.concat_ws(" ", cell(t, 4), cell(t, 5)),
-            apts=cell(t, 2))
-
+        F.when(html, _html_owner()).alias("owner"),
+        *[c.alias(f"{name}_{part}") for name, pattern in (("income", INCOME), ("expenses", EXPENSES))
+          for part, c in (("has", F.when(notice, F.col("text").rlike(pattern))), ("printed", F.when(notice, _estimate(pattern))))],
+    ).withColumns({"income": amount(F.col("income_printed")), "expenses": amount(F.col("expenses_printed"))})
     none = F.slice(F.array(_made_row()), 1, 0)
-    first_bad = F.col("first_bad")
-    good = F.when(first_bad > 0, F.slice("found", F.lit(1), first_bad - 1)).otherwise(F.col("found"))
     statement = F.when(F.col("owner").isNull(), F.array(_made_row(reason="owner"))).otherwise(F.concat(
         F.array(_made_row(key=F.lit("Owner name"), value=F.col("owner"), line_no=F.lit(-2))),
-        F.transform(good, rent),
-        F.when(first_bad > 0, F.array(_made_row(
-            line_no=first_bad - 1, reason="row",
-            line=F.array_join(F.get("found", (first_bad - 1).cast("int"))["t"], " "),
-        ))).otherwise(none),
+        _statement_rows(as_run, formats),
     ))
-    income_read = F.get("estimates", F.lit(0))
-    hides = income_read["has"] & income_read["number"].isNull()
-    value_rows = F.filter(F.transform("estimates", lambda e: F.when(
-        e["number"].isNotNull() & ~((e["line_no"] == 1) & hides),
-        _made_row(F.lit("nopv"), e["key"], number_text(e["number"]), e["line_no"]),
-    ).when(e["has"] & e["number"].isNull(),
-           _made_row(line_no=e["line_no"], reason="amount", line=e["printed"]))),
-        lambda r: r.isNotNull())
+
+    def estimate(name: str, key: str, i: int, hidden: Column) -> Column:
+        has, number = F.col(f"{name}_has"), F.col(name)
+        return F.when(number.isNotNull() & ~hidden, F.array(_made_row(F.lit("nopv"), F.lit(key), number_text(number), F.lit(i)))).when(
+            has & number.isNull(), F.array(_made_row(line_no=F.lit(i), reason="amount", line=F.col(f"{name}_printed")))).otherwise(none)
+
+    hides = F.col("income_has") & F.col("income").isNull()
+    value_rows = F.concat(estimate("income", "gross income", 0, F.lit(False)), estimate("expenses", "expenses", 1, hides))
     made = (
         F.when(~dated, F.array(_made_row(reason="date")))
         .when(kind == "html", statement)
@@ -202,6 +200,13 @@ def _made(docs: DataFrame, as_run: bool, formats: Mapping[str, str]) -> DataFram
 _LINE = ["block", "heading", "line_no", "line"]
 
 
+def _owner_lines() -> Column:
+    """Owner, and mailing address with its three lines joined by a literal backslash-n."""
+    parts = [cells(F.regexp_extract("owner_area", OWNER_AREA, i)) for i in (1, 2, 3)]
+    mailing = F.concat_ws("\\n", *[F.coalesce(cell(p, 1), F.lit("")) for p in parts])
+    return F.array(cell(parts[0], 0), strip(mailing))
+
+
 def document_lines(docs: DataFrame, as_run: bool = False,
                    formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
     """One row per document: what ``_made`` gives, and for bills the two owner lines (owner, mailing
@@ -210,8 +215,6 @@ def document_lines(docs: DataFrame, as_run: bool = False,
 
     Each text is read once, whatever its kind, and its lines stay in its row.
     """
-    parts = [cells(F.regexp_extract("owner_area", OWNER_AREA, i)) for i in (1, 2, 3)]
-    mailing = F.concat_ws("\\n", *[F.coalesce(cell(p, 1), F.lit("")) for p in parts])
     bill = F.col("owner_area") != ""
     blocks = F.filter(
         F.transform(F.regexp_extract_all("text", F.lit(CHARGE_BLOCK), F.lit(0)), lambda b, i: F.struct(
@@ -225,7 +228,7 @@ def document_lines(docs: DataFrame, as_run: bool = False,
 
     return _made(docs, as_run, formats).select(
         *DOCUMENT, "kind", "made",
-        F.when(bill, F.array(cell(parts[0], 0), strip(mailing))).alias("owner_lines"),
+        F.when(bill, _owner_lines()).alias("owner_lines"),
         F.when(bill, F.regexp_extract("text", DETAIL_AREA, 0)).alias("detail"),
         F.when(bill, blocks).alias("blocks"),
     ).select(
@@ -483,8 +486,12 @@ def bill_rows(docs: DataFrame) -> DataFrame:
 
 
 def owner_address(docs: DataFrame) -> DataFrame:
-    """Owner name and mailing address of bills."""
-    return bill_rows(docs).filter("line_no < 0")
+    """Owner name and mailing address of bills: they come before any line that may be unreadable, so no
+    other line is read."""
+    area = _of_kind(docs, "text").select(*DOCUMENT, F.regexp_extract("text", OWNER_AREA, 0).alias("owner_area"))
+    lines = area.filter(F.col("owner_area") != "").select(*DOCUMENT, F.posexplode_outer(_owner_lines()).alias("nr", "line"))
+    key = F.when(F.col("nr") == 0, "Owner name").otherwise("Mailing address")
+    return lines.select(_row(None, key, F.col("line"), F.col("nr") - 2))
 
 
 def detail_rows(docs: DataFrame) -> DataFrame:
@@ -512,9 +519,11 @@ def document_rejects(docs: DataFrame) -> DataFrame:
 
 def _inside(docs: DataFrame, kind: str, as_run: bool = False) -> DataFrame:
     """Rows read inside the documents of a kind, without a shuffle."""
+    # The outer form keeps the optimizer from testing the array for emptiness beforehand, which
+    # would read the documents twice.
     return (
         _made(_of_kind(docs, kind), as_run, DATE_FORMATS)
-        .select(*DOCUMENT, F.explode("made").alias("made")).filter(F.col("made.reason").isNull())
+        .select(*DOCUMENT, F.explode_outer("made").alias("made")).filter(F.col("made.reason").isNull() & F.col("made.key").isNotNull())
         .select(_row(F.col("made.section"), F.col("made.key"), F.col("made.value"),
                      F.col("made.line_no"), duedate=F.col("made.due"), meta=F.col("made.meta"),
                      apts=F.col("made.apts")))
@@ -532,7 +541,9 @@ def html_rows(docs: DataFrame, as_run: bool = False) -> DataFrame:
 
 
 def html_owner(docs: DataFrame) -> DataFrame:
-    return html_rows(docs).filter("line_no < 0")
+    """The owner rows of ``html_rows``, which depend on nothing else."""
+    return _of_kind(docs, "html").select(*DOCUMENT, _html_owner().alias("owner")).filter(F.col("owner").isNotNull()).select(
+        _row(None, F.lit("Owner name"), F.col("owner"), F.lit(-2)))
 
 
 def html_rent_rows(docs: DataFrame) -> DataFrame:

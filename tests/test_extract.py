@@ -282,3 +282,14 @@ def test_dates_by_token_classes(spark):
     assert {t: (got[t], d) for t, d in want.items() if got[t] != d} == {}
     plain = frame.select(text.bill_date(F.col("t"), spelled=False).alias("d")).where("d is not null")
     assert plain.count() < len(same)
+
+
+def test_rows_inside_documents_are_read_once(spark):
+    """No condition on the rows is copied below the step that makes them, where it would make them again."""
+    listed = docs(spark, (BILL, TEXT), (HTML, "<html></html>"))
+    for found in (extract.html_owner(listed), extract.html_rent_rows(listed), extract.value_notice_rows(listed), extract.owner_address(listed)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Filter ((size(" not in plan and "Filter (size(" not in plan
+    owners = extract.owner_address(listed)
+    assert "activity date" not in owners._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert sorted((r.line_no, r.key) for r in owners.collect()) == [(-2, "Owner name"), (-1, "Mailing address")]

@@ -42,21 +42,28 @@ def write_rawdata(rows: DataFrame, path: str) -> None:
     )
 
 
-def write_lot_json(rows: DataFrame, path: str) -> None:
-    """One folder of JSON rows per lot, ``borough=/block=/lot=``.
+LOT_FOLDERS = ("borough", "block", "lot")
+
+
+def _in_folders(df: DataFrame, folders: Sequence[str]) -> DataFrame:
+    """Rows dealt by the columns of their folders; within a file by lot, if lots have no folders."""
+    dealt = df.hint("rebalance", *folders)
+    return dealt if set(LOT_FOLDERS) <= set(folders) else dealt.sortWithinPartitions(
+        *folders, *[c for c in LOT_FOLDERS if c not in folders])
+
+
+def write_lot_json(rows: DataFrame, path: str, folders: Sequence[str] = LOT_FOLDERS) -> None:
+    """JSON rows in one folder per lot, ``borough=/block=/lot=``, or in fewer ``folders``.
 
     Rows stay rows (JSON lines): a lot with very many rows is spread over several files instead
-    of being collected into one array.
+    of being collected into one array. Each folder costs files and requests of its own, so where lots
+    are many, name fewer columns: the files then grow with the bytes, and lots lie together in them.
     """
     bbl = F.col("bbl")
-    (
-        _headed(rows)
-        .withColumns({
-            "borough": borough_of(bbl), "block": pad(block_of(bbl), 5), "lot": pad(lot_of(bbl), 4)
-        })
-        .hint("rebalance", "borough", "block", "lot")
-        .write.mode("overwrite").partitionBy("borough", "block", "lot").json(path)
-    )
+    lots = _headed(rows).withColumns({
+        "borough": borough_of(bbl), "block": pad(block_of(bbl), 5), "lot": pad(lot_of(bbl), 4)
+    })
+    _in_folders(lots, folders).write.mode("overwrite").partitionBy(*folders).json(path)
 
 
 def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
@@ -69,12 +76,10 @@ def export_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
                                    quote='"', escape='"')
 
 
-def write_relayout(df: DataFrame, path: str) -> None:
-    """Rows with borough, block and lot columns as partition folders."""
-    (
-        df.hint("rebalance", "borough", "block", "lot")
-        .write.mode("overwrite").partitionBy("borough", "block", "lot").parquet(path)
-    )
+def write_relayout(df: DataFrame, path: str, folders: Sequence[str] = LOT_FOLDERS) -> None:
+    """Rows with borough, block and lot columns as partition folders, or in fewer ``folders`` (see
+    ``write_lot_json``)."""
+    _in_folders(df, folders).write.mode("overwrite").partitionBy(*folders).parquet(path)
 
 
 def replace_table(df: DataFrame, name: str) -> str:

@@ -1,3 +1,4 @@
+import pathlib
 import json
 
 import pytest
@@ -194,3 +195,14 @@ def test_replace_table_switches_versions(spark):
     writers.replace_table(frame(), "staged")  # an empty version is a table too
     assert spark.table("staged").count() == 0
     spark.sql("DROP VIEW staged")
+
+
+def test_kept_layouts_do_not_make_a_folder_per_lot(spark, monkeypatch):
+    from lotledger.plans import catalog
+
+    for name, writer in (("kept_relayout", "write_relayout"), ("kept_lot_json", "write_lot_json")):
+        paths, write = [], getattr(writers, writer)
+        monkeypatch.setattr(writers, writer, lambda df, path, *a, _w=write, _p=paths, **k: (_w(df, path, *a, **k), _p.append(path)))
+        rows = catalog.queries()[name](spark, "/root/testdata/sf0.001").count()
+        folder = pathlib.Path(paths[0].removeprefix("file:"))
+        assert rows >= 150 and sum(p.is_dir() for p in folder.rglob("*")) <= 5

@@ -206,3 +206,14 @@ def test_kept_layouts_do_not_make_a_folder_per_lot(spark, monkeypatch):
         rows = catalog.queries()[name](spark, "/root/testdata/sf0.001").count()
         folder = pathlib.Path(paths[0].removeprefix("file:"))
         assert rows >= 150 and sum(p.is_dir() for p in folder.rglob("*")) <= 5
+
+
+def test_orders_are_printed_in_one_pass(spark):
+    from lotledger.plans import catalog
+
+    sf = "/root/testdata/sf0.001"
+    plan = catalog.queries()["document_rows"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("o_orderpriority") and plan.count("Relation [o_orderkey") == 1  # three before
+    t = catalog.Tables(spark, sf)
+    apart = t.bill_documents().union(t.html_documents()).union(t.notice_documents())
+    assert t.every_document().exceptAll(apart).count() == apart.exceptAll(t.every_document()).count() == 0

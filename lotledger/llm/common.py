@@ -52,7 +52,11 @@ def text_of(column: str = "text") -> Column:
 
 
 def forest(a: Iterable[int], b: Iterable[int]) -> list[tuple[int, int]]:
-    """The edges (a, b) that connect what the ones before did not."""
+    """A star for each component of the edges (a, b): every other node with the smallest one.
+
+    As many as the edges of a spanning forest, but none is further than one step from the smallest
+    node, so that ``components`` needs few steps where the edges given are long chains.
+    """
     up: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -60,17 +64,16 @@ def forest(a: Iterable[int], b: Iterable[int]) -> list[tuple[int, int]]:
             up[x] = x = up[up[x]]
         return x
 
-    out = []
     for x, y in zip(a, b):
         p, q = top(x), top(y)
         if p != q:
             up[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return out
+    return [(x, top(x)) for x in up if top(x) != x]
 
 
 def thinned(edges: DataFrame, left: str, right: str) -> DataFrame:
-    """(a, b): the edges that each partition needs for what its edges connect, batch by batch."""
+    """(a, b): stars that connect what the edges of a partition connect, batch by batch. ``edges`` should be
+    read from files: behind other Python code each task would hold two Python workers."""
 
     def thin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

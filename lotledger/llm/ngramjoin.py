@@ -12,7 +12,7 @@ counts overlaps. Only blocks that can hold a link are multiplied:
    share none are never multiplied. This is exact: no link is lost.
 3. A group is cut into blocks of bounded size; a task multiplies one block (or a pair of blocks) of
    the incidence matrix, accumulates overlap counts, discards pairs below the overlap that their
-   sizes ask for, and returns the edges of a spanning forest of the links it found, never the pairs.
+   sizes ask for, and returns stars that connect what the links it found connect, never the pairs.
 4. Large groups are cut at random and multiplied in parts, then grouped anew: a document with too many
    n-grams that no other class has is done; of the others, with the columns ordered by their own
    counts, only one that shares a prefix n-gram with another class is still open, and what such pairs
@@ -69,22 +69,19 @@ def counted(docs: DataFrame, n: int, bits: int = COUNTERS) -> tuple[np.ndarray,
                     classes, times = np.unique(shingles(text, n) >> np.uint64(64 - bits), return_counts=True)
                     counts[classes.astype(np.int64)] += times.astype(np.uint32)
         task = TaskContext.get().partitionId() // TASKS
-        rows = [counts[k * width:(k + 1) * width].tobytes() for k in range(parts)]
+        # The four bytes of the counts apart: the upper ones are nearly all zero and compress to nothing.
+        rows = [np.ascontiguousarray(counts[k * width:(k + 1) * width].view(np.uint8).reshape(-1, 4).T).tobytes() for k in range(parts)]
         yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([task] * parts, pa.int32()), pa.array(rows, pa.binary())],
                                          names=["part", "task", "counts"])
 
-    def total_of(rows: pd.Series, kind: type) -> np.ndarray:
-        total = np.zeros(width, np.uint64)
-        for raw in rows:
-            total += np.frombuffer(raw, kind)
-        return total
-
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = total_of(frame["counts"], np.uint32)
+        total = np.zeros(width, np.uint64)
+        for raw in frame["counts"]:
+            total += np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
         return pd.DataFrame({"part": frame["part"].iloc[:1], "counts": [total.tobytes()]})
 
     def level(frame: pd.DataFrame) -> pd.DataFrame:
-        total = total_of(frame["counts"], np.uint64).astype(float)
+        total = np.sum([np.frombuffer(raw, np.uint64) for raw in frame["counts"]], axis=0).astype(float)
         levels = np.rint(4 * np.log2(total + 1)).astype(np.uint8)  # a quarter of a bit is fine enough
         return pd.DataFrame({"part": frame["part"].iloc[:1], "n": [int(total.sum())], "counts": [levels.tobytes()]})
 
@@ -132,7 +129,7 @@ def overlaps(rows: list[np.ndarray]) -> np.ndarray:
 
 
 def block_links(ids: np.ndarray, rows: list[np.ndarray], label: np.ndarray, t: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links of a block, between rows of different labels."""
+    """Stars that connect what the links of a block, between rows of different labels, connect."""
     size = np.array([len(r) for r in rows])
     both = size[:, None] + size[None, :]
     need = -(-t * both // (100 + t))  # the overlap that the sizes ask for
@@ -196,7 +193,7 @@ def _scanned(docs: DataFrame, n: int, t: int, level: Broadcast, buckets: int) ->
 
 
 def _shared(t: int):
-    """Edges, as a spanning forest, between documents that share an n-gram of their prefixes.
+    """Edges, as stars, that connect the documents that share an n-gram of their prefixes.
 
     Those that share one are sorted by size and joined each to the next, unless the next is too
     large for a link: of two that may link, all between them may too.
@@ -299,8 +296,8 @@ def _contested(marked: DataFrame, n: int, t: int, level: Broadcast, buckets: int
         return pd.DataFrame(forest(pairs[:, 0].tolist(), pairs[:, 1].tolist()), columns=["a", "b"], dtype="int64")
 
     found = _postings(marked, n, buckets, lambda grams: prefix(grams, level.value, t))
-    edges = written(thinned(found.groupBy("bucket").applyInPandas(join, "a long, b long"), "a", "b"))
-    return components(edges, "a", "b")
+    edges = written(found.groupBy("bucket").applyInPandas(join, "a long, b long"))
+    return components(thinned(edges, "a", "b"), "a", "b")
 
 
 def _linked(docs: DataFrame, groups: DataFrame, sizes: DataFrame, equal: DataFrame, n: int, t: int, block: int,
@@ -330,8 +327,7 @@ def _linked(docs: DataFrame, groups: DataFrame, sizes: DataFrame, equal: DataFra
         apart = F.xxhash64("comp", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.ceil(F.col("total") / block)))
         cut = texts.select("doc_id", "label", "text", F.when(small, F.col("comp")).otherwise(apart).alias("part"),
                            F.when(small, F.pmod(F.xxhash64("comp"), F.lit(few))).otherwise(few + F.abs(apart % 2**40)).alias("block"))
-        found = thinned(_multiplied(cut, n, t), "a", "b")
-        edges = written(edges.unionByName(found))
+        edges = written(edges.unionByName(_multiplied(cut, n, t)))
         big = texts.where(~small)
         if not big.limit(1).count():
             return edges
@@ -351,7 +347,7 @@ def _linked(docs: DataFrame, groups: DataFrame, sizes: DataFrame, equal: DataFra
         small = texts.where(F.col("total") <= block)
         large = _across(texts.where(F.col("total") > block), n, t, block)
         alone = _multiplied(small.select("doc_id", "label", "text", F.col("comp").alias("part"), F.col("comp").alias("block")), n, t)
-        return written(edges.unionByName(thinned(large, "a", "b")).unionByName(thinned(alone, "a", "b")))
+        return written(edges.unionByName(large).unionByName(alone))
 
 
 def _across(rows: DataFrame, n: int, t: int, block: int) -> DataFrame:
@@ -390,7 +386,7 @@ def joined(docs: DataFrame, n: int = 5, t: int = 80, block: int = BLOCK, buckets
     keys = scan.where("bucket = -1").select("doc_id", "n_shingles", "k1", "k2")
     shared = scan.where("bucket >= 0").select("bucket", "sig", "ids", "sizes").groupBy("bucket").applyInPandas(
         _shared(t), "a long, b long")
-    groups = components(thinned(shared, "a", "b"), "a", "b")
+    groups = components(thinned(written(shared), "a", "b"), "a", "b")
     units = keys.groupBy("doc_id").agg(F.max(F.ceil(F.greatest(F.col("n_shingles"), F.lit(1)) / UNIT)).alias("units"))
     least = written(keys.where("n_shingles > 0").groupBy("n_shingles", "k1", "k2").agg(
         F.min("doc_id").alias("b"), F.count("*").alias("times")).where("times > 1").drop("times"), rows=keys.count())

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from lotledger.llm import exactdedup, hashing, ngramjoin
-from lotledger.llm.common import components
+from lotledger.llm.common import components, forest
 
 
 def words_of(text):
@@ -207,3 +207,10 @@ def test_done_documents_cannot_link(spark):
     sets = [(i, label, grams_of(x, 2)) for i, label, x in rows]
     linked = {i for i, p, x in sets for j, q, y in sets if p != q and x & y and 100 * len(x & y) >= 80 * len(x | y)}
     assert linked <= set(left) and left.count(5) == 2 and len(left) < len(rows)
+
+
+def test_forest_is_stars():
+    chain = [(i + 1, i) for i in range(50)]
+    assert sorted(forest(*zip(*chain))) == [(i, 0) for i in range(1, 51)]
+    assert sorted(forest([5, 9, 3, 7, 4], [3, 8, 4, 7, 5])) == [(4, 3), (5, 3), (9, 8)]
+    assert forest([], []) == []

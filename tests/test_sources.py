@@ -217,3 +217,10 @@ def test_orders_are_printed_in_one_pass(spark):
     t = catalog.Tables(spark, sf)
     apart = t.bill_documents().union(t.html_documents()).union(t.notice_documents())
     assert t.every_document().exceptAll(apart).count() == apart.exceptAll(t.every_document()).count() == 0
+
+
+def test_amounts_and_dates_are_printed_once_per_order(spark):
+    from lotledger.plans import catalog
+
+    plan = catalog.Tables(spark, "/root/testdata/sf0.001").every_document()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("format_number(o_totalprice") == plan.count("MM/dd/yyyy") == 1

@@ -221,10 +221,10 @@ def _owner_lines() -> Column:
 
 
 def document_lines(docs: DataFrame, as_run: bool = False,
-                   formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
+                   formats: Mapping[str, str] = DATE_FORMATS, charges: bool = True) -> DataFrame:
     """One row per document: what ``_made`` gives, and for bills the two owner lines (owner, mailing
     address with its three lines joined by a literal backslash-n), the lines of the tax detail, and
-    those of all charge blocks with the number and heading of theirs.
+    those of all charge blocks with the number and heading of theirs (without ``charges`` NULL).
 
     Each text is read once, whatever its kind, and its lines stay in its row.
     """
@@ -238,7 +238,7 @@ def document_lines(docs: DataFrame, as_run: bool = False,
         *DOCUMENT, "kind", "made",
         F.when(bill, _owner_lines()).alias("owner_lines"),
         F.when(bill, F.regexp_extract("text", DETAIL_AREA, 0)).alias("detail"),
-        F.when(bill, blocks).alias("blocks"),
+        F.when(bill & F.lit(charges), blocks).alias("blocks"),
     ).select(
         *DOCUMENT, "kind", "made", "owner_lines",
         F.transform(F.split(F.nullif("detail", F.lit("")), "\n"), lambda line, i: F.struct(
@@ -476,17 +476,18 @@ def _owner_entries(lines: Column) -> Column:
     ) for i, (block, key) in enumerate(kinds)])
 
 
-def _read_bills(docs: DataFrame, as_run: bool, formats: Mapping[str, str]) -> DataFrame:
+def _read_bills(docs: DataFrame, as_run: bool, formats: Mapping[str, str], charges: bool) -> DataFrame:
     """Documents with ``made`` and ``read``, the entries of a bill in the order of its lines through the first
     unreadable one. Every step is a projection: no line leaves its document."""
     empty = F.slice(F.array(_entry()), 1, 0)
+    read = document_lines(docs, as_run, formats, charges)
     details, charges = _detail_lines("detail_lines"), _charge_lines("charge_lines")
 
     def staged(df: DataFrame, **found: Column) -> DataFrame:
         # What a later step names several times is a column of a stage of its own, so it is computed once.
         return df.select(*DOCUMENT, "kind", "made", "owner_lines", *[c.alias(n) for n, c in found.items()])
 
-    lines = staged(document_lines(docs, as_run, formats), details=details.array, charges=charges.array)
+    lines = staged(read, details=details.array, charges=charges.array)
     details, charges = Lines("details", details.names), Lines("charges", charges.names)
     # Each start is named in several places, which also keeps it out of the passes over the lines.
     modes = _with_modes(details, F.col("starts"))
@@ -504,8 +505,8 @@ def _read_bills(docs: DataFrame, as_run: bool, formats: Mapping[str, str]) -> Da
     )
 
 
-def _bills(docs: DataFrame) -> DataFrame:
-    return read_all(docs.filter(F.col("kind") == "text"))
+def _bills(docs: DataFrame, charges: bool = True) -> DataFrame:
+    return read_all(docs.filter(F.col("kind") == "text"), charges=charges)
 
 
 def bill_rows(docs: DataFrame) -> DataFrame:
@@ -523,7 +524,8 @@ def owner_address(docs: DataFrame) -> DataFrame:
 
 
 def detail_rows(docs: DataFrame) -> DataFrame:
-    return bill_rows(docs).filter(F.col("line_no").between(0, BLOCK_STEP - 1))
+    """Rows of the tax detail. Charges are read behind it and change nothing in it, so they are left out."""
+    return rows_of(_bills(docs, charges=False)).filter(F.col("line_no").between(0, BLOCK_STEP - 1))
 
 
 def charge_rows(docs: DataFrame) -> DataFrame:
@@ -627,18 +629,19 @@ def value_notice_wide(docs: DataFrame) -> DataFrame:
 
 
 def read_all(docs: DataFrame, as_run: bool = False,
-             formats: Mapping[str, str] = DATE_FORMATS) -> DataFrame:
+             formats: Mapping[str, str] = DATE_FORMATS, charges: bool = True) -> DataFrame:
     """Rows and rejects of all documents in one frame, from one scan of the texts and no shuffle.
 
     Rows have a NULL ``reason``; rejects have NULL row columns and ``path``, ``kind``, ``block``,
-    ``reject_line``, ``line``. Write it once and take both parts from what was written.
+    ``reject_line``, ``line``. Write it once and take both parts from what was written. Without ``charges``
+    the charges of bills, and what is unreadable there, are left out.
     """
     none = F.slice(F.array(_entry()), 1, 0)
     # The outer form keeps the optimizer from testing the array for emptiness beforehand, which
     # would read the documents twice.
     every = F.explode_outer(F.concat("made", F.coalesce("read", none)))
     e, block = F.col("e"), F.col("e.block").cast("bigint")
-    found = _read_bills(docs, as_run, formats).select(*DOCUMENT, "kind", every.alias("e")).filter(e.isNotNull()).withColumn(
+    found = _read_bills(docs, as_run, formats, charges).select(*DOCUMENT, "kind", every.alias("e")).filter(e.isNotNull()).withColumn(
         "reason", F.coalesce(e["reason"], F.when(_is_bad(e), "line")))
     row = F.col("reason").isNull()
     at = F.when(block.isNull(), e["line_no"].cast("bigint")).when(block < 0, block).otherwise(block * BLOCK_STEP + e["line_no"])

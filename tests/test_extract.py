@@ -293,3 +293,13 @@ def test_rows_inside_documents_are_read_once(spark):
     owners = extract.owner_address(listed)
     assert "activity date" not in owners._jdf.queryExecution().optimizedPlan().toString().lower()
     assert sorted((r.line_no, r.key) for r in owners.collect()) == [(-2, "Owner name"), (-1, "Mailing address")]
+
+
+def test_detail_rows_read_no_charges(spark):
+    """Charges come behind the detail: its rows are the same without them, and no charge area is cut out."""
+    torn = TEXT.replace("Payment      BANK ONE     06/02/2017      -$24,705.75", "Payment     BANK ONE     06/02/2017     n/a")
+    listed = docs(spark, (BILL, TEXT), (BILL.replace("June 2", "June 3"), TEXT.replace("-$12,892", "n/a")), (BILL.replace("June 2", "June 4"), torn))
+    found = extract.detail_rows(listed)
+    assert "Charges You Can Pre-pay" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = extract.bill_rows(listed).filter(f"line_no between 0 and {extract.BLOCK_STEP - 1}")
+    assert short(found) == short(want) and found.count() > 2 * len(DETAILS)

@@ -214,3 +214,15 @@ def test_forest_is_stars():
     assert sorted(forest(*zip(*chain))) == [(i, 0) for i in range(1, 51)]
     assert sorted(forest([5, 9, 3, 7, 4], [3, 8, 4, 7, 5])) == [(4, 3), (5, 3), (9, 8)]
     assert forest([], []) == []
+
+
+def test_scratch_files_are_packed_tightly(spark, tmp_path):
+    """Scratch tables stay on disk beside the shuffles, whatever codec the session writes results in."""
+    import pyarrow.parquet as pq
+
+    from lotledger.llm.common import written
+
+    path = str(tmp_path / "kept")
+    assert sorted(r.id for r in written(spark.range(50), path).collect()) == list(range(50))
+    parts = [pq.ParquetFile(f).metadata for f in (tmp_path / "kept").glob("*.parquet")]
+    assert {m.row_group(0).column(0).compression for m in parts if m.num_row_groups} == {"ZSTD"}

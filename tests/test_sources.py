@@ -224,3 +224,20 @@ def test_amounts_and_dates_are_printed_once_per_order(spark):
 
     plan = catalog.Tables(spark, "/root/testdata/sf0.001").every_document()._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("format_number(o_totalprice") == plan.count("MM/dd/yyyy") == 1
+
+
+def test_kept_lot_json_is_packed(spark, monkeypatch, tmp_path):
+    """Plain lines took eleven times the disk; the rows in them, block and lot included, stay the same."""
+    from lotledger.plans import catalog
+
+    paths, write = [], writers.write_lot_json
+    monkeypatch.setattr(writers, "write_lot_json", lambda df, path, *a, **k: (write(df, path, *a, **k), paths.append(path)))
+    t = catalog.Tables(spark, "/root/testdata/sf0.001")
+    catalog._BUILD["kept_lot_json"](t)
+    write(t.rawdata(), str(tmp_path / "plain"), folders=["borough"])
+    size = lambda path: sum(p.stat().st_size for p in pathlib.Path(path).rglob("part-*"))
+    packed = paths[0].removeprefix("file:")
+    assert 5 * size(packed) < size(tmp_path / "plain")
+    a, b = spark.read.json(packed), spark.read.json(str(tmp_path / "plain"))
+    assert {"block", "lot"} <= set(a.columns) and a.columns == b.columns and a.count() == t.rawdata().count()
+    assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0

@@ -232,12 +232,16 @@ def test_kept_lot_json_is_packed(spark, monkeypatch, tmp_path):
 
     paths, write = [], writers.write_lot_json
     monkeypatch.setattr(writers, "write_lot_json", lambda df, path, *a, **k: (write(df, path, *a, **k), paths.append(path)))
-    t = catalog.Tables(spark, "/root/testdata/sf0.001")
+    t = catalog.Tables(spark, "")
+    t.built["rawdata"] = rows = spark.range(20_000).selectExpr(
+        "(id % 5 + 1) * 1000000000 + id % 700 as bbl", "date'1998-04-01' as activitythrough", "'Current Charges' as section",
+        "concat('Payment ', id % 9) as key", "cast(null as date) as duedate", "date'1998-05-01' as activitydate",
+        "cast(id * 7 % 1000 as string) as value", "cast(null as string) as meta", "cast(null as string) as apts", "id as line_no")
     catalog._BUILD["kept_lot_json"](t)
-    write(t.rawdata(), str(tmp_path / "plain"), folders=["borough"])
+    write(rows, str(tmp_path / "plain"), folders=["borough"])
     size = lambda path: sum(p.stat().st_size for p in pathlib.Path(path).rglob("part-*"))
     packed = paths[0].removeprefix("file:")
     assert 5 * size(packed) < size(tmp_path / "plain")
     a, b = spark.read.json(packed), spark.read.json(str(tmp_path / "plain"))
-    assert {"block", "lot"} <= set(a.columns) and a.columns == b.columns and a.count() == t.rawdata().count()
+    assert {"block", "lot"} <= set(a.columns) and a.columns == b.columns and a.count() == 20_000
     assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0

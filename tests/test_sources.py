@@ -227,7 +227,9 @@ def test_amounts_and_dates_are_printed_once_per_order(spark):
 
 
 def test_kept_lot_json_is_packed(spark, monkeypatch, tmp_path):
-    """Plain lines took eleven times the disk; the rows in them, block and lot included, stay the same."""
+    """Plain lines took over ten times the disk, a shuffle before them more than packed ones; the rows, block and lot included, stay."""
+    from pyspark.sql import functions as F
+
     from lotledger.plans import catalog
 
     paths, write = [], writers.write_lot_json
@@ -245,3 +247,7 @@ def test_kept_lot_json_is_packed(spark, monkeypatch, tmp_path):
     a, b = spark.read.json(packed), spark.read.json(str(tmp_path / "plain"))
     assert {"block", "lot"} <= set(a.columns) and a.columns == b.columns and a.count() == 20_000
     assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+    bare = rows.withColumn("borough", (F.col("bbl") / 10**9).cast("int"))
+    made = {"block": F.lit("0"), "lot": F.lit("0")}
+    plans = [writers._in_folders(bare, ["borough"], made, deal)._jdf.queryExecution().optimizedPlan().toString() for deal in (True, False)]
+    assert ["Rebalance" in plan for plan in plans] == [True, False]
